@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickforge.operators import anomalies as A
+from clickforge.operators import clean as C
 from clickforge.operators import funnel as FN
 from clickforge.operators import metrics as M
 from clickforge.operators import paths as P
+from clickforge.sources import raw as R
 from clickforge.sources import testdata as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +106,30 @@ def q_anomaly_counts(spark, d):
     return A.anomaly_type_counts(_anoms(spark, d))
 
 
+AS_OF = "2026-01-01 00:00:00"
+
+
+def _raw(spark, d, et):
+    lines = T.raw_event_lines(spark, d).filter(F.col("event_type") == et)
+    return R.parse_json_lines(lines, et)
+
+
+def q_clean(spark, d):
+    c = C.clean_events(_raw(spark, d, "page_view"), "page_view",
+                       as_of=F.lit(AS_OF).cast("timestamp"))
+    return c.withColumn("event_timestamp",
+                        F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+
+def q_clean_counts(spark, d):
+    from clickforge.schemas import EVENT_TYPES
+    raw = {et: _raw(spark, d, et) for et in EVENT_TYPES}
+    clean, failures = C.clean_all(raw, as_of=F.lit(AS_OF).cast("timestamp"))
+    if failures:
+        raise RuntimeError(f"cleaning failed for {failures}")
+    return C.row_counts(raw, clean)
+
+
 def queries() -> dict[str, Query]:
     return {
         "top_pages_by_time": q_top_pages,
@@ -123,4 +149,6 @@ def queries() -> dict[str, Query]:
         "dwell_time_anomalies": q_dwell,
         "anomalies": q_anomalies,
         "anomaly_type_counts": q_anomaly_counts,
+        "clean_events": q_clean,
+        "clean_row_counts": q_clean_counts,
     }

@@ -228,4 +228,95 @@ SELECT event_date, session_id, user_id, page_url, page_type, round(z_score, 6) A
         "anomaly_type_counts": _with(ANOMALIES, select="""
 SELECT event_date, anomaly_type, count(*) AS anomaly_count FROM an
 GROUP BY event_date, anomaly_type"""),
+        **clean_queries(),
     }
+
+
+# ---- cleaning ---------------------------------------------------------------------------------
+# Raw field expressions of the cleaning fixture (mirrors testdata._raw_fields).
+RAW_FIELD_SQL = {
+    "user_id": "CASE WHEN event_id % 17 <> 0 THEN user_id END",
+    "session_id": "session_id",
+    "page_url": "page_url",
+    "page_type": "CASE WHEN results_count % 5 <> 0 THEN (CASE WHEN event_id % 2 = 0 "
+                 "THEN ' ' || upper(page_type) ELSE page_type END) END",
+    "timestamp": "CASE WHEN event_id % 17 = 0 THEN tss WHEN event_id % 19 = 0 "
+                 "THEN substr(tss, 1, 10) WHEN event_id % 23 = 0 THEN '2099' || substr(tss, 5) "
+                 "ELSE tss END",
+    "time_on_page_seconds": "CASE WHEN results_count % 3 <> 0 THEN time_on_page_seconds END",
+    "referrer": "CASE WHEN results_count % 4 <> 0 THEN '' END",
+    "device_type": "CASE WHEN event_id % 2 = 0 THEN ' ' || upper(device_type) "
+                   "ELSE device_type END",
+    "country": "upper(country)",
+    "element_id": "'elem-' || CAST(event_id AS VARCHAR)",
+    "element_type": "CASE results_count % 7 WHEN 0 THEN 'button' WHEN 1 THEN 'link' "
+                    "WHEN 2 THEN 'image' WHEN 3 THEN 'product_card' WHEN 4 THEN 'menu' "
+                    "WHEN 5 THEN 'banner' ELSE 'search_result' END",
+    "x_position": "CASE WHEN results_count % 3 <> 0 THEN results_count * 10 END",
+    "y_position": "CASE WHEN results_count % 3 <> 0 THEN results_count * 5 END",
+    "query": "query",
+    "results_count": "CASE WHEN results_count % 3 <> 0 THEN results_count END",
+    "product_id": "product_id",
+    "category": "CASE WHEN results_count % 5 <> 0 THEN (CASE WHEN event_id % 2 = 0 "
+                "THEN ' ' || upper(category) ELSE category END) END",
+    "price": "CASE WHEN results_count % 5 <> 0 THEN price END",
+    "action": "CASE WHEN event_id % 2 = 0 THEN ' ' || upper(action) ELSE action END",
+}
+
+RAW_TYPE_FIELDS = {
+    "page_view": ["user_id", "session_id", "page_url", "page_type", "timestamp",
+                  "time_on_page_seconds", "referrer", "device_type", "country"],
+    "click": ["user_id", "session_id", "element_id", "element_type", "page_url",
+              "timestamp", "x_position", "y_position"],
+    "search": ["user_id", "session_id", "query", "results_count", "timestamp"],
+    "product_view": ["user_id", "session_id", "product_id", "category", "price",
+                     "timestamp", "time_on_page_seconds"],
+    "cart_event": ["user_id", "session_id", "product_id", "action", "timestamp"],
+}
+SOURCE_OF = {"page_view": "view", "click": "click", "product_view": "error",
+             "cart_event": "purchase", "search": "signup"}
+DEFAULTS = {"referrer": "'direct'", "device_type": "'unknown'", "country": "'XX'",
+            "page_type": "'other'", "category": "'other'", "price": "0.0",
+            "time_on_page_seconds": "0", "results_count": "0", "x_position": "0",
+            "y_position": "0"}
+LOWERED = ("page_type", "device_type", "country", "category", "action")
+RAWSRC = """rawsrc AS (
+  SELECT *, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS tss FROM d)"""
+
+
+def raw_cte(et: str) -> str:
+    cols = ", ".join(f"{RAW_FIELD_SQL[f]} AS {f}" for f in RAW_TYPE_FIELDS[et])
+    src = SOURCE_OF[et]
+    body = f"SELECT '{et}' AS event_type, {cols} FROM rawsrc WHERE source_type = '{src}'"
+    return f"raw_{et} AS ({body}\n  UNION ALL {body} AND event_id % 10 = 0)"
+
+
+def clean_cte(et: str, as_of: str = "TIMESTAMP '2026-01-01 00:00:00'") -> str:
+    f = RAW_TYPE_FIELDS[et]
+    filled = ", ".join(
+        (f"lower(trim(coalesce({c}, {DEFAULTS[c]})))" if c in LOWERED and c in DEFAULTS
+         else f"lower(trim({c}))" if c in LOWERED
+         else f"coalesce({c}, {DEFAULTS[c]})" if c in DEFAULTS else c) + f" AS {c}"
+        for c in f if c != "timestamp")
+    return f"""clean_{et} AS (
+  SELECT * FROM (
+    SELECT event_type, {filled},
+           CAST(try_strptime(timestamp, '%Y-%m-%dT%H:%M:%S%z') AS TIMESTAMP) AS event_timestamp
+    FROM (SELECT DISTINCT * FROM raw_{et})
+    WHERE user_id IS NOT NULL AND session_id IS NOT NULL AND timestamp IS NOT NULL)
+  WHERE event_timestamp IS NOT NULL AND event_timestamp <= {as_of})"""
+
+
+def clean_queries() -> dict[str, str]:
+    pv_cols = [c for c in RAW_TYPE_FIELDS["page_view"] if c != "timestamp"]
+    clean_pv = _with(RAWSRC, raw_cte("page_view"), clean_cte("page_view"), select=f"""
+SELECT event_type, {', '.join(pv_cols)},
+       strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS event_timestamp,
+       CAST(event_timestamp AS DATE) AS event_date
+FROM clean_page_view""")
+    ctes = [RAWSRC] + [raw_cte(e) for e in RAW_TYPE_FIELDS] + \
+           [clean_cte(e) for e in RAW_TYPE_FIELDS]
+    counts = " UNION ALL ".join(
+        f"SELECT '{e}' AS event_type, (SELECT count(*) FROM raw_{e}) AS raw_rows, "
+        f"(SELECT count(*) FROM clean_{e}) AS clean_rows" for e in RAW_TYPE_FIELDS)
+    return {"clean_events": clean_pv, "clean_row_counts": _with(*ctes, select=counts)}

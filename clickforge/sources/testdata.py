@@ -110,3 +110,76 @@ def cart_events(spark, sf_dir):
 
 def searches(spark, sf_dir):
     return view(spark, sf_dir, "search")
+
+
+# ---- raw JSONL fixture derived from ``events`` ------------------------------------------
+# Element types in their declared order (index = k % 7).
+ELEMENT_TYPES = ["button", "link", "image", "product_card", "menu", "banner",
+                 "search_result"]
+
+FILE_TYPE_OF = {v: k for k, v in VIEW_OF.items()}
+
+
+def _raw_fields(d: DataFrame) -> dict[str, Column]:
+    """Raw field expressions with faults injected by residue class (cleaning fixture):
+    user null when id % 17 = 0, else date-only timestamp when id % 19 = 0, else year 2099
+    when id % 23 = 0; page type / category null when k % 5 = 0; dwell / positions /
+    results null when k % 3 = 0; enum-like strings padded and upper-cased on even ids."""
+    i = F.col("event_id")
+    k = F.col("results_count")
+    ts = F.concat(F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    ts = (F.when(i % 17 == 0, ts).when(i % 19 == 0, F.substring(ts, 1, 10))
+           .when(i % 23 == 0, F.concat(F.lit("2099"), F.substring(ts, 5, 100)))
+           .otherwise(ts))
+    even = i % 2 == 0
+
+    def messy(c):
+        return F.when(even, F.concat(F.lit(" "), F.upper(c))).otherwise(c)
+
+    n5, n3 = k % 5 == 0, k % 3 == 0
+    elem = F.element_at(F.array(*[F.lit(e) for e in ELEMENT_TYPES]), (k % 7) + 1)
+    return {
+        "user_id": F.when(i % 17 != 0, F.col("user_id")),
+        "session_id": F.col("session_id"),
+        "page_url": F.col("page_url"),
+        "page_type": F.when(~n5, messy(F.col("page_type"))),
+        "timestamp": ts,
+        "time_on_page_seconds": F.when(~n3, F.col("time_on_page_seconds")),
+        "referrer": F.when(k % 4 != 0, F.lit("")),
+        "device_type": messy(F.col("device_type")),
+        "country": F.upper("country"),
+        "element_id": F.concat(F.lit("elem-"), i.cast("string")),
+        "element_type": elem,
+        "x_position": F.when(~n3, k * 10),
+        "y_position": F.when(~n3, k * 5),
+        "query": F.col("query"),
+        "results_count": F.when(~n3, k),
+        "product_id": F.col("product_id"),
+        "category": F.when(~n5, messy(F.col("category"))),
+        "price": F.when(~n5, F.col("price")),
+        "action": messy(F.col("action")),
+    }
+
+
+def raw_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaning fixture: one raw JSON line per ``events`` row, typed by its source type,
+    with rows where ``event_id % 10 = 0`` appended a second time (exact duplicates).
+
+    Columns: ``event_type`` (file type), ``event_date`` (batch date), ``line``.
+    """
+    from clickforge.schemas import RAW_SCHEMAS
+    d = derive(table(spark, sf_dir, "events"))
+    fields = _raw_fields(d)
+    parts = []
+    for src, et in FILE_TYPE_OF.items():
+        names = [f.name for f in RAW_SCHEMAS[et].fields]
+        obj = F.struct(*[(F.lit(et) if n == "event_type" else fields[n]).alias(n)
+                         for n in names])
+        parts.append(d.filter(F.col("source_type") == src).select(
+            F.lit(et).alias("event_type"), "event_date", "event_id",
+            F.to_json(obj).alias("line")))
+    lines = parts[0]
+    for p in parts[1:]:
+        lines = lines.unionByName(p)
+    dup = lines.filter(F.col("event_id") % 10 == 0)
+    return lines.unionByName(dup).drop("event_id")
