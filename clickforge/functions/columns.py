@@ -50,3 +50,15 @@ def shorten_label(s, rewrites) -> Column:
     for old, new in rewrites:
         s = first_replace(s, old, new)
     return s
+
+
+def materialize(df, **cols: Column):
+    """Add columns that are evaluated exactly once per row.
+
+    ``withColumn`` results can be inlined by Catalyst into every later reference, which
+    repeats an expensive expression (a parse, a higher-order function) per use. Emitting
+    them through ``inline(array(struct(...)))`` makes them the output of a ``Generate``
+    node, which later projections can only reference, never re-evaluate.
+    """
+    packed = F.struct(*[c.alias(n) for n, c in cols.items()])
+    return df.select("*", F.inline(F.array(packed)))

@@ -130,6 +130,69 @@ def q_clean_counts(spark, d):
     return C.row_counts(raw, clean)
 
 
+def _fixture(spark, d):
+    from clickforge.sources.ingest_fixture import fixture_lines
+    return fixture_lines(spark, d)
+
+
+def _annotated(spark, d, profile="ingest"):
+    from clickforge.operators import validate as V
+    lines = _fixture(spark, d).filter(~R.is_quarantined(F.col("file_path")))
+    return V.annotate(R.lines_to_records(lines), profile)
+
+
+def q_event_type(spark, d):
+    lines = _fixture(spark, d).filter(~R.is_quarantined(F.col("file_path")))
+    return lines.select("file_path", R.event_type_from_path(F.col("file_path"))
+                        .alias("event_type")).distinct()
+
+
+def q_skip_quarantine(spark, d):
+    return _fixture(spark, d).filter(R.is_quarantined(F.col("file_path"))) \
+        .select("file_path").distinct()
+
+
+def q_errors(spark, d):
+    from clickforge.operators import validate as V
+    return V.validation_errors(_annotated(spark, d))
+
+
+def _errors_of(*codes):
+    def q(spark, d):
+        return q_errors(spark, d).filter(F.col("error_code").isin(*codes))
+    return q
+
+
+def q_summary(spark, d):
+    from clickforge.operators import validate as V
+    return V.validation_summary(_annotated(spark, d))
+
+
+def q_metrics(spark, d):
+    from clickforge.operators import validate as V
+    return V.ingest_metrics(q_summary(spark, d))
+
+
+def q_empty(spark, d):
+    return q_metrics(spark, d).filter(F.col("EmptyFiles") == 1).select("file_path",
+                                                                        "event_type")
+
+
+def q_run_summary(spark, d):
+    from clickforge.operators import validate as V
+    return V.run_summary(q_metrics(spark, d))
+
+
+def q_valid(spark, d):
+    from clickforge.operators import validate as V
+    return V.valid_events(_annotated(spark, d))
+
+
+def q_contract(spark, d):
+    from clickforge.operators import validate as V
+    return V.error_counts(V.validation_errors(_annotated(spark, d, "contract")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "top_pages_by_time": q_top_pages,
@@ -151,4 +214,19 @@ def queries() -> dict[str, Query]:
         "anomaly_type_counts": q_anomaly_counts,
         "clean_events": q_clean,
         "clean_row_counts": q_clean_counts,
+        "ingest_event_type": q_event_type,
+        "ingest_skip_quarantine": q_skip_quarantine,
+        "validate_unknown_type": _errors_of("unknown_event_type"),
+        "validate_required": _errors_of("missing_field", "null_field"),
+        "validate_types": _errors_of("wrong_type"),
+        "validate_enums": _errors_of("invalid_enum"),
+        "validate_ranges": _errors_of("out_of_range"),
+        "validate_timestamp": _errors_of("timestamp_type", "timestamp_format"),
+        "validation_errors": q_errors,
+        "validation_summary": q_summary,
+        "ingest_empty_files": q_empty,
+        "ingest_metrics": q_metrics,
+        "ingest_run_summary": q_run_summary,
+        "valid_events": q_valid,
+        "validate_contract": q_contract,
     }

@@ -229,6 +229,7 @@ SELECT event_date, session_id, user_id, page_url, page_type, round(z_score, 6) A
 SELECT event_date, anomaly_type, count(*) AS anomaly_count FROM an
 GROUP BY event_date, anomaly_type"""),
         **clean_queries(),
+        **validation_queries(),
     }
 
 
@@ -320,3 +321,166 @@ FROM clean_page_view""")
         f"SELECT '{e}' AS event_type, (SELECT count(*) FROM raw_{e}) AS raw_rows, "
         f"(SELECT count(*) FROM clean_{e}) AS clean_rows" for e in RAW_TYPE_FIELDS)
     return {"clean_events": clean_pv, "clean_row_counts": _with(*ctes, select=counts)}
+
+
+# ---- ingest validation --------------------------------------------------------------------
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _jt(f: str) -> str:
+    return f"json_type(j, '$.{f}')"
+
+
+def _pt(f: str) -> str:
+    return (f"(CASE {_jt(f)} WHEN 'VARCHAR' THEN 'str' WHEN 'BIGINT' THEN 'int' "
+            f"WHEN 'UBIGINT' THEN 'int' WHEN 'DOUBLE' THEN 'float' WHEN 'BOOLEAN' THEN 'bool' "
+            f"WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'dict' WHEN 'NULL' THEN 'NoneType' "
+            f"END)")
+
+
+def _txt(f: str) -> str:
+    return (f"(CASE WHEN {_pt(f)} = 'bool' THEN (CASE WHEN json_extract_string(j, '$.{f}') = "
+            f"'true' THEN 'True' ELSE 'False' END) WHEN {_pt(f)} IN ('str', 'int', 'float') "
+            f"THEN json_extract_string(j, '$.{f}') ELSE CAST(json_extract(j, '$.{f}') AS VARCHAR) "
+            f"END)")
+
+
+KIND_OK = {"str": "= 'str'", "num": "IN ('int', 'float', 'bool')", "int": "= 'int'"}
+EXPECTED = {"str": "str", "num": "int o float", "int": "int"}
+ISO_RE = (r"^\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2}T\p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2}"
+          r"(\.\p{Nd}+)?(Z|[+-]\p{Nd}{2}:\p{Nd}{2})$")
+
+
+def validation_ctes(profile: str = "ingest") -> list[str]:
+    from clickforge.rules import PROFILES
+    from clickforge.sources.ingest_fixture import fixture_selects
+    rules = PROFILES[profile]
+    fx = " UNION ALL ".join(
+        f"SELECT {p} AS file_path, event_id AS line_id, {ln} AS line FROM rawsrc WHERE {flt}"
+        for p, ln, flt in fixture_selects())
+    who = ("(CASE WHEN json_type(j, '$.user_id') IS NULL THEN 'unknown' "
+           "WHEN json_type(j, '$.user_id') = 'NULL' THEN NULL ELSE " + _txt("user_id") +
+           " END) AS user_id, (CASE WHEN json_type(j, '$.session_id') IS NULL THEN 'unknown' "
+           "WHEN json_type(j, '$.session_id') = 'NULL' THEN NULL ELSE " + _txt("session_id") +
+           " END) AS session_id")
+    head = f"SELECT file_path, event_type, line_id, record_index, {who}"
+    req, oth = [], []
+    for et, spec in rules.items():
+        for f in spec["required"]:
+            req.append(f"{head}, 'missing_field' AS error_code, '{f}' AS field, "
+                       f"{_q(f'Campo obligatorio faltante: {chr(39)}{f}{chr(39)}')} AS reason "
+                       f"FROM recs WHERE event_type = '{et}' AND {_jt(f)} IS NULL")
+            req.append(f"{head}, 'null_field', '{f}', "
+                       f"{_q(f'Campo obligatorio es null: {chr(39)}{f}{chr(39)}')} "
+                       f"FROM recs WHERE event_type = '{et}' AND {_jt(f)} = 'NULL'")
+        for f, kind in spec["types"].items():
+            oth.append(f"{head}, 'wrong_type', '{f}', "
+                       f"'''{f}'' debe ser {EXPECTED[kind]}, recibido ' || {_pt(f)} "
+                       f"FROM okrecs WHERE event_type = '{et}' AND {_jt(f)} IS NOT NULL "
+                       f"AND NOT coalesce({_pt(f)} {KIND_OK[kind]}, FALSE)")
+        for f, vals in spec["enums"].items():
+            inl = ", ".join(_q(v) for v in vals)
+            oth.append(f"{head}, 'invalid_enum', '{f}', "
+                       f"'''{f}'' valor invalido: ''' || {_txt(f)} || '''' "
+                       f"FROM okrecs WHERE event_type = '{et}' AND {_jt(f)} IS NOT NULL AND NOT "
+                       f"({_pt(f)} = 'str' AND json_extract_string(j, '$.{f}') IN ({inl}))")
+        for f, (lo, hi) in spec["ranges"].items():
+            x = (f"(CASE WHEN {_pt(f)} = 'bool' THEN (CASE WHEN json_extract_string(j, '$.{f}')"
+                 f" = 'true' THEN 1.0 ELSE 0.0 END) ELSE CAST(json_extract(j, '$.{f}') AS DOUBLE)"
+                 f" END)")
+            oth.append(f"{head}, 'out_of_range', '{f}', "
+                       f"'''{f}'' fuera de rango [{lo}, {hi}]: ' || {_txt(f)} "
+                       f"FROM okrecs WHERE event_type = '{et}' AND {_jt(f)} IS NOT NULL AND "
+                       f"{_pt(f)} IN ('int', 'float', 'bool') AND NOT ({x} BETWEEN {lo} AND {hi})")
+        oth.append(f"{head}, 'timestamp_type', 'timestamp', "
+                   f"'timestamp debe ser string, recibido ' || {_pt('timestamp')} "
+                   f"FROM okrecs WHERE event_type = '{et}' AND {_jt('timestamp')} IS NOT NULL "
+                   f"AND {_pt('timestamp')} <> 'str'")
+        oth.append(f"{head}, 'timestamp_format', 'timestamp', "
+                   f"'timestamp no tiene formato ISO8601: ''' || "
+                   f"json_extract_string(j, '$.timestamp') || '''' "
+                   f"FROM okrecs WHERE event_type = '{et}' AND {_pt('timestamp')} = 'str' "
+                   f"AND NOT regexp_matches(json_extract_string(j, '$.timestamp'), {_q(ISO_RE)})")
+    known = ", ".join(_q(e) for e in rules)
+    unk = (f"{head}, 'unknown_event_type', NULL, "
+           f"'Tipo de evento desconocido: ''' || event_type || '''' "
+           f"FROM recs WHERE event_type NOT IN ({known})")
+    return [
+        RAWSRC,
+        f"fx AS ({fx})",
+        "fxs AS (SELECT file_path, sum(length(line) + 1) AS file_size FROM fx GROUP BY file_path)",
+        "lines AS (SELECT fx.*, fxs.file_size, regexp_replace(regexp_extract(fx.file_path, "
+        "'([^/]*)$', 1), '\\.jsonl', '') AS event_type FROM fx JOIN fxs USING (file_path) "
+        "WHERE NOT regexp_matches(fx.file_path, '(^|/)quarantine/'))",
+        "recs AS (SELECT file_path, event_type, line_id, trim(line) AS j, row_number() OVER "
+        "(PARTITION BY file_path ORDER BY line_id) - 1 AS record_index FROM lines "
+        "WHERE trim(line) <> '' AND json_valid(trim(line)))",
+        "req AS (" + " UNION ALL ".join(req) + ")",
+        "okrecs AS (SELECT * FROM recs r WHERE NOT EXISTS (SELECT 1 FROM req q "
+        "WHERE q.file_path = r.file_path AND q.line_id = r.line_id))",
+        "errs AS (" + " UNION ALL ".join(req + oth + [unk]) + ")",
+        """summ AS (
+  SELECT l.file_path, l.event_type, max(l.file_size) AS file_size,
+         count(*) FILTER (WHERE trim(l.line) <> '' AND json_valid(trim(l.line))) AS records,
+         count(*) FILTER (WHERE trim(l.line) <> '' AND json_valid(trim(l.line))
+                          AND e.n IS NULL) AS valid_count,
+         CAST(coalesce(sum(e.n), 0) AS BIGINT) AS invalid_count,
+         count(e.n) AS invalid_records,
+         count(*) FILTER (WHERE trim(l.line) <> '' AND NOT json_valid(trim(l.line)))
+           AS skipped_lines
+  FROM lines l LEFT JOIN (SELECT file_path, line_id, count(*) AS n FROM errs
+                          GROUP BY file_path, line_id) e
+    ON l.file_path = e.file_path AND l.line_id = e.line_id
+  GROUP BY l.file_path, l.event_type)""",
+        """met AS (
+  SELECT file_path, event_type,
+    CASE WHEN records = 0 THEN 1 ELSE 0 END AS EmptyFiles,
+    CASE WHEN records = 0 THEN 0 ELSE 1 END AS FilesProcessed,
+    CASE WHEN records > 0 AND invalid_count > 0 THEN 1 ELSE 0 END AS FilesWithErrors,
+    CASE WHEN records = 0 THEN 0 ELSE invalid_count END AS InvalidRecords,
+    CASE WHEN records = 0 THEN 0 ELSE valid_count END AS ValidRecords,
+    CASE WHEN records = 0 THEN 0 ELSE file_size END AS FileSizeBytes,
+    0 AS ProcessingErrors
+  FROM summ)""",
+    ]
+
+
+ERR_COLS = ("file_path, event_type, record_index, user_id, session_id, error_code, field, "
+            "reason")
+ERROR_CODE_KEYS = {
+    "validate_unknown_type": ("unknown_event_type",),
+    "validate_required": ("missing_field", "null_field"),
+    "validate_types": ("wrong_type",),
+    "validate_enums": ("invalid_enum",),
+    "validate_ranges": ("out_of_range",),
+    "validate_timestamp": ("timestamp_type", "timestamp_format"),
+}
+
+
+def validation_queries() -> dict[str, str]:
+    c = validation_ctes("ingest")
+    out = {
+        "ingest_event_type": _with(*c, select="SELECT DISTINCT file_path, event_type FROM lines"),
+        "ingest_skip_quarantine": _with(*c, select="""
+SELECT DISTINCT file_path FROM fx WHERE regexp_matches(file_path, '(^|/)quarantine/')"""),
+        "validation_errors": _with(*c, select=f"SELECT {ERR_COLS} FROM errs"),
+        "validation_summary": _with(*c, select="SELECT * FROM summ"),
+        "ingest_empty_files": _with(*c, select="""
+SELECT file_path, event_type FROM met WHERE EmptyFiles = 1"""),
+        "ingest_metrics": _with(*c, select="SELECT * FROM met"),
+        "ingest_run_summary": _with(*c, select="""
+SELECT CAST(sum(FilesProcessed) AS BIGINT) AS processed_files,
+       CAST(sum(InvalidRecords) AS BIGINT) AS total_errors FROM met"""),
+        "valid_events": _with(*c, select="""
+SELECT file_path, event_type, record_index, j AS line FROM recs r
+WHERE NOT EXISTS (SELECT 1 FROM errs e WHERE e.file_path = r.file_path
+                  AND e.line_id = r.line_id)"""),
+        "validate_contract": _with(*validation_ctes("contract"), select="""
+SELECT event_type, error_code, field, count(*) AS errors FROM errs
+GROUP BY event_type, error_code, field"""),
+    }
+    for key, codes in ERROR_CODE_KEYS.items():
+        inl = ", ".join(_q(x) for x in codes)
+        out[key] = _with(*c, select=f"SELECT {ERR_COLS} FROM errs WHERE error_code IN ({inl})")
+    return out

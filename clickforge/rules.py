@@ -94,8 +94,9 @@ CONTRACT = {
 PROFILES = {"ingest": INGEST, "contract": CONTRACT}
 
 # Timestamp rule: ISO-8601 with a zone offset, optional fraction, no calendar check.
-ISO8601_PATTERN = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}"
-                   r"(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$")
+# Digits are Unicode decimal digits (\p{Nd}), as a Python str pattern's \d matches.
+ISO8601_PATTERN = (r"^\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2}T\p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2}"
+                   r"(\.\p{Nd}+)?(Z|[+-]\p{Nd}{2}:\p{Nd}{2})$")
 
 
 def rule_rows(profile: str = "ingest") -> list[tuple]:

@@ -53,13 +53,19 @@ def read_lines(spark: SparkSession, paths, skip_quarantine: bool = True) -> Data
         F.monotonically_increasing_id().alias("line_id"),
         F.col("value").alias("line"))
     if skip_quarantine:
-        df = df.filter(~F.col("file_path").contains("/" + QUARANTINE_PREFIX))
+        df = df.filter(~is_quarantined(F.col("file_path")))
     return lines_to_records(df)
 
 
+def is_quarantined(path: Column) -> Column:
+    """A key inside a ``quarantine/`` folder (never re-validated)."""
+    return path.rlike("(^|/)" + QUARANTINE_PREFIX)
+
+
 def lines_to_records(df: DataFrame) -> DataFrame:
     """Attach event type and the lenient parse: strip, skip blank, ``try_parse_json``."""
+    from clickforge.functions.columns import materialize
     text = F.trim(F.col("line"))
     v = F.when(text != "", F.try_parse_json(text))
-    return df.withColumn("event_type", event_type_from_path(F.col("file_path"))) \
-             .withColumn("v", v)
+    return materialize(df.withColumn("event_type", event_type_from_path(F.col("file_path"))),
+                       v=v)
