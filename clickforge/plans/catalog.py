@@ -193,6 +193,89 @@ def q_contract(spark, d):
     return V.error_counts(V.validation_errors(_annotated(spark, d, "contract")))
 
 
+def _metrics(spark, d):
+    pv, clk = T.page_views(spark, d), T.clicks(spark, d)
+    prd, crt = T.product_views(spark, d), T.cart_events(spark, d)
+    return {
+        "top_pages_by_time": M.top_pages_by_time(pv, min_visits=2),
+        "bounce_rate": M.bounce_rate(pv),
+        "time_by_device_country": M.time_by_device_country(pv),
+        "conversion_funnel": FN.conversion_funnel(pv, prd, crt),
+        "product_view_vs_cart": FN.product_view_vs_cart(prd, crt),
+        "navigation_paths": P.navigation_paths(pv),
+        "anomalies": A.anomalies(pv, clk, iqr_factor=1.0, exact=True, with_detected_at=False),
+    }
+
+
+def _wh(spark, d):
+    from clickforge.plans import warehouse as W
+    return {t: W.load_table(m, t, with_loaded_at=False) for t, m in _metrics(spark, d).items()}
+
+
+def _wh_query(table):
+    def q(spark, d):
+        return _wh(spark, d)[table]
+    return q
+
+
+def q_violations(spark, d):
+    from clickforge.plans import warehouse as W
+    parts = [W.key_violations(m, t) for t, m in _metrics(spark, d).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_daily_summary(spark, d):
+    from clickforge.plans import warehouse as W
+    w = _wh(spark, d)
+    return W.daily_summary(w["conversion_funnel"], w["bounce_rate"], w["anomalies"])
+
+
+def _serving(fn):
+    def q(spark, d):
+        from clickforge.plans import reports as RP
+        from clickforge.plans import serving as S
+        return fn(S, RP, _wh(spark, d))
+    return q
+
+
+SERVING = {
+    "serve_top_pages": lambda S, RP, w: S.top_pages(w["top_pages_by_time"]),
+    "serve_bounce": lambda S, RP, w: S.top_pages(None, metric="bounce_rate",
+                                                 bounce_t=w["bounce_rate"]),
+    "serve_dates": lambda S, RP, w: S.available_dates(w["bounce_rate"]),
+    "serve_sessions": lambda S, RP, w: S.session_summary(w["time_by_device_country"]),
+    "serve_sessions_filtered": lambda S, RP, w: S.session_summary(
+        w["time_by_device_country"], date="2024-01-06", country="C3", device="Mobile"),
+    "serve_session_totals": lambda S, RP, w: S.session_totals(
+        S.session_summary(w["time_by_device_country"])),
+    "serve_filters": lambda S, RP, w: S.available_filters(w["time_by_device_country"]),
+    "serve_anomalies": lambda S, RP, w: S.anomaly_search(w["anomalies"]),
+    "serve_anomalies_filtered": lambda S, RP, w: S.anomaly_search(
+        w["anomalies"], anomaly_type="zscore_time_on_page_seconds", min_zscore="3.5"),
+    "serve_anomaly_counts": lambda S, RP, w: S.anomaly_counts(S.anomaly_search(w["anomalies"])),
+    "report_timeline": lambda S, RP, w: RP.timeline(w["time_by_device_country"],
+                                                    w["anomalies"], w["bounce_rate"]),
+    "report_sessions_by_device": lambda S, RP, w: RP.sessions_by_device(
+        S.session_summary(w["time_by_device_country"])),
+    "report_anomaly_severity": lambda S, RP, w: RP.anomaly_severity(
+        S.anomaly_search(w["anomalies"])),
+    "report_bounce_bands": lambda S, RP, w: RP.bounce_bands(
+        S.bounce_summary(w["bounce_rate"])),
+    "report_kpis": lambda S, RP, w: RP.kpis(
+        S.session_totals(S.session_summary(w["time_by_device_country"])),
+        S.anomaly_counts(S.anomaly_search(w["anomalies"])),
+        S.top_pages(w["top_pages_by_time"]), S.available_dates(w["bounce_rate"])),
+    "report_page_labels": lambda S, RP, w: RP.page_labels(S.top_pages(w["top_pages_by_time"])),
+    "report_anomaly_labels": lambda S, RP, w: RP.anomaly_labels(
+        S.anomaly_search(w["anomalies"])),
+    "report_top8_remainder": lambda S, RP, w: RP.top8_remainder(
+        S.anomaly_search(w["anomalies"])),
+}
+
+
 def queries() -> dict[str, Query]:
     return {
         "top_pages_by_time": q_top_pages,
@@ -229,4 +312,10 @@ def queries() -> dict[str, Query]:
         "ingest_run_summary": q_run_summary,
         "valid_events": q_valid,
         "validate_contract": q_contract,
+        **{f"warehouse_{t}": _wh_query(t) for t in (
+            "top_pages_by_time", "bounce_rate", "time_by_device_country", "conversion_funnel",
+            "product_view_vs_cart", "navigation_paths", "anomalies")},
+        "warehouse_key_violations": q_violations,
+        "daily_summary": q_daily_summary,
+        **{k: _serving(f) for k, f in SERVING.items()},
     }

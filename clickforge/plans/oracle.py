@@ -230,6 +230,7 @@ SELECT event_date, anomaly_type, count(*) AS anomaly_count FROM an
 GROUP BY event_date, anomaly_type"""),
         **clean_queries(),
         **validation_queries(),
+        **warehouse_queries(),
     }
 
 
@@ -484,3 +485,208 @@ GROUP BY event_type, error_code, field"""),
         inl = ", ".join(_q(x) for x in codes)
         out[key] = _with(*c, select=f"SELECT {ERR_COLS} FROM errs WHERE error_code IN ({inl})")
     return out
+
+
+# ---- warehouse, serving, reports ---------------------------------------------------------
+def _dec(x: str, typ: str) -> str:
+    scale = int(typ.rstrip(")").split(",")[1])
+    return f"TRY_CAST(round({x}, {scale}) AS {typ.upper()})"
+
+
+def warehouse_ctes() -> list[str]:
+    tp_cte, _ = top_pages_sql(2, 20, True)
+    return [
+        tp_cte, BOUNCE, DEVICE, FUNNEL, product_conv_sql(True), PATHS, ANOMALIES,
+        f"""w_tp AS (
+  SELECT event_date, page_url, page_type,
+         {_dec('avg_time_seconds', 'decimal(10,2)')} AS avg_time_seconds, total_visits
+  FROM tpr WHERE rn <= 20
+  QUALIFY row_number() OVER (PARTITION BY event_date, page_url
+                             ORDER BY total_visits DESC, page_type) = 1)""",
+        f"""w_br AS (
+  SELECT event_date, page_type, total_sessions, bounce_sessions,
+         {_dec('bounce_rate_pct', 'decimal(5,2)')} AS bounce_rate_pct FROM br
+  QUALIFY row_number() OVER (PARTITION BY event_date, page_type
+                             ORDER BY total_sessions DESC) = 1)""",
+        f"""w_tdc AS (
+  SELECT event_date, device_type, country,
+         {_dec('avg_time_seconds', 'decimal(10,2)')} AS avg_time_seconds,
+         total_sessions, unique_users FROM tdc
+  QUALIFY row_number() OVER (PARTITION BY event_date, device_type, country
+                             ORDER BY total_sessions DESC) = 1)""",
+        f"""w_cf AS (
+  SELECT event_date, funnel_stage, users,
+         {_dec('conversion_rate_pct', 'decimal(5,2)')} AS conversion_rate_pct FROM cf
+  QUALIFY row_number() OVER (PARTITION BY event_date, funnel_stage
+                             ORDER BY users DESC) = 1)""",
+        f"""w_pvc AS (
+  SELECT event_date, product_id, category, {_dec('price', 'decimal(12,2)')} AS price,
+         total_views, cart_adds,
+         {_dec('view_to_cart_rate', 'decimal(5,2)')} AS view_to_cart_rate, is_low_conversion
+  FROM pvc
+  QUALIFY row_number() OVER (PARTITION BY event_date, product_id
+                             ORDER BY total_views DESC, category, price) = 1)""",
+        """w_np AS (
+  SELECT event_date, navigation_path, session_count FROM np
+  QUALIFY row_number() OVER (PARTITION BY event_date, navigation_path
+                             ORDER BY session_count DESC) = 1)""",
+        f"""w_an AS (
+  SELECT event_date, session_id, user_id, page_url, page_type,
+         {_dec('z_score', 'decimal(8,4)')} AS z_score, anomaly_type, anomaly_field,
+         {_dec('anomaly_value', 'decimal(15,4)')} AS anomaly_value FROM an)""",
+        """q4 AS (
+  SELECT device_type, country, CAST(event_date AS VARCHAR) AS event_date,
+         avg_time_seconds, total_sessions, unique_users
+  FROM w_tdc ORDER BY total_sessions DESC NULLS FIRST, w_tdc.event_date, device_type, country
+  LIMIT 100)""",
+        """q7 AS (
+  SELECT session_id, user_id, page_url, page_type, round(z_score, 4) AS z_score,
+         anomaly_type, anomaly_field, round(anomaly_value, 2) AS anomaly_value,
+         CAST(event_date AS VARCHAR) AS event_date
+  FROM w_an WHERE z_score >= 0
+  ORDER BY round(z_score, 4) DESC NULLS FIRST, w_an.event_date, session_id, anomaly_type
+  LIMIT 500)""",
+        """q1 AS (
+  SELECT page_url, page_type, CAST(round(avg(avg_time_seconds), 2) AS DECIMAL(12,2))
+           AS avg_time_seconds, CAST(sum(total_visits) AS BIGINT) AS total_visits
+  FROM w_tp GROUP BY page_url, page_type
+  ORDER BY avg_time_seconds DESC NULLS FIRST, page_url, page_type LIMIT 20)""",
+        """q2 AS (
+  SELECT page_type, CAST(sum(total_sessions) AS BIGINT) AS total_sessions,
+         CAST(sum(bounce_sessions) AS BIGINT) AS bounce_sessions,
+         CAST(round(avg(bounce_rate_pct), 2) AS DECIMAL(7,2)) AS bounce_rate_pct
+  FROM w_br GROUP BY page_type ORDER BY bounce_rate_pct DESC NULLS FIRST, page_type LIMIT 20)""",
+        """q3 AS (
+  SELECT CAST(event_date AS VARCHAR) AS date FROM (SELECT DISTINCT event_date FROM w_br)
+  ORDER BY event_date DESC LIMIT 30)""",
+        """q5 AS (
+  SELECT CAST(coalesce(sum(coalesce(total_sessions, 0)), 0) AS BIGINT) AS total_sessions,
+         CAST(coalesce(sum(coalesce(unique_users, 0)), 0) AS BIGINT) AS total_users,
+         count(*) AS count FROM q4)""",
+        """q8 AS (
+  SELECT coalesce(anomaly_type, 'unknown') AS anomaly_type, count(*) AS anomalies
+  FROM q7 GROUP BY 1)""",
+    ]
+
+
+def _label(x: str, pairs) -> str:
+    for old, new in pairs:
+        x = (f"(CASE WHEN strpos({x}, '{old}') > 0 THEN substr({x}, 1, strpos({x}, '{old}') - 1)"
+             f" || '{new}' || substr({x}, strpos({x}, '{old}') + {len(old)}) ELSE {x} END)")
+    return x
+
+
+def warehouse_queries() -> dict[str, str]:
+    from clickforge.functions.columns import ANOMALY_LABEL_REWRITES, PAGE_LABEL_REWRITES
+    c = warehouse_ctes()
+    out = {f"warehouse_{t}": _with(*c, select=f"SELECT * FROM w_{a}")
+           for t, a in [("top_pages_by_time", "tp"), ("bounce_rate", "br"),
+                        ("time_by_device_country", "tdc"), ("conversion_funnel", "cf"),
+                        ("product_view_vs_cart", "pvc"), ("navigation_paths", "np"),
+                        ("anomalies", "an")]}
+    out.update({
+        "daily_summary": _with(*c, select="""
+SELECT cf.event_date, cf.users AS total_users,
+  (SELECT CAST(sum(b.total_sessions) AS BIGINT) FROM w_br b
+   WHERE b.event_date = cf.event_date) AS total_sessions,
+  (SELECT CAST(round(avg(b.bounce_rate_pct), 2) AS DECIMAL(7,2)) FROM w_br b
+   WHERE b.event_date = cf.event_date) AS avg_bounce_rate_pct,
+  (SELECT max(c2.conversion_rate_pct) FROM w_cf c2
+   WHERE c2.event_date = cf.event_date AND c2.funnel_stage = '4_checkout')
+     AS checkout_conversion_pct,
+  (SELECT count(*) FROM w_an a WHERE a.event_date = cf.event_date) AS anomaly_count
+FROM w_cf cf WHERE cf.funnel_stage = '1_page_view'"""),
+        "serve_top_pages": _with(*c, select="SELECT * FROM q1"),
+        "serve_bounce": _with(*c, select="SELECT * FROM q2"),
+        "serve_dates": _with(*c, select="SELECT * FROM q3"),
+        "serve_sessions": _with(*c, select="SELECT * FROM q4"),
+        "serve_sessions_filtered": _with(*c, select="""
+SELECT device_type, country, CAST(event_date AS VARCHAR) AS event_date,
+       avg_time_seconds, total_sessions, unique_users
+FROM w_tdc WHERE event_date = DATE '2024-01-06' AND upper(country) = 'C3'
+  AND device_type = 'mobile'
+ORDER BY total_sessions DESC NULLS FIRST, event_date, device_type, country LIMIT 100"""),
+        "serve_session_totals": _with(*c, select="SELECT * FROM q5"),
+        "serve_filters": _with(*c, select="""
+SELECT DISTINCT 'country' AS filter, country AS value FROM w_tdc
+UNION SELECT DISTINCT 'device', device_type FROM w_tdc"""),
+        "serve_anomalies": _with(*c, select="SELECT * FROM q7"),
+        "serve_anomalies_filtered": _with(*c, select="""
+SELECT session_id, user_id, page_url, page_type, round(z_score, 4) AS z_score,
+       anomaly_type, anomaly_field, round(anomaly_value, 2) AS anomaly_value,
+       CAST(event_date AS VARCHAR) AS event_date
+FROM w_an WHERE z_score >= 3.5 AND anomaly_type = 'zscore_time_on_page_seconds'
+ORDER BY round(z_score, 4) DESC NULLS FIRST, w_an.event_date, session_id, anomaly_type
+LIMIT 500"""),
+        "serve_anomaly_counts": _with(*c, select="SELECT * FROM q8"),
+        "report_timeline": _with(*c, select="""
+SELECT q3.date,
+  CAST(coalesce((SELECT sum(coalesce(total_sessions, 0)) FROM (
+     SELECT total_sessions, row_number() OVER (ORDER BY total_sessions DESC NULLS FIRST,
+            device_type, country) AS rn
+     FROM w_tdc t WHERE CAST(t.event_date AS VARCHAR) = q3.date) WHERE rn <= 100), 0)
+     AS BIGINT) AS sessions,
+  CAST(coalesce((SELECT count(*) FROM (
+     SELECT row_number() OVER (ORDER BY round(z_score, 4) DESC NULLS FIRST, session_id,
+            anomaly_type) AS rn
+     FROM w_an a WHERE CAST(a.event_date AS VARCHAR) = q3.date AND z_score >= 0)
+     WHERE rn <= 500), 0) AS BIGINT) AS anomalies
+FROM q3"""),
+        "report_sessions_by_device": _with(*c, select="""
+SELECT device_type, CAST(sum(total_sessions) AS BIGINT) AS total_sessions FROM q4
+GROUP BY device_type"""),
+        "report_anomaly_severity": _with(*c, select="""
+SELECT *, CASE WHEN z_score > 10 THEN 'high' WHEN z_score > 5 THEN 'med' ELSE 'low' END
+          AS severity FROM q7"""),
+        "report_bounce_bands": _with(*c, select="""
+SELECT *, CASE WHEN CAST(bounce_rate_pct AS DOUBLE) > 80 THEN 'red'
+               WHEN CAST(bounce_rate_pct AS DOUBLE) > 60 THEN 'amber' ELSE 'green' END AS band,
+       round(CAST(bounce_rate_pct AS DOUBLE) / max(CAST(bounce_rate_pct AS DOUBLE)) OVER ()
+             * 100, 1) AS width_pct
+FROM q2"""),
+        "report_kpis": _with(*c, select="""
+SELECT 'sessions' AS kpi, total_sessions AS value FROM q5
+UNION ALL SELECT 'users', total_users FROM q5
+UNION ALL SELECT 'anomalies', CAST(coalesce(sum(anomalies), 0) AS BIGINT) FROM q8
+UNION ALL SELECT 'anomaly_types', count(*) FROM q8
+UNION ALL SELECT 'pages', count(*) FROM q1
+UNION ALL SELECT 'dates', count(*) FROM q3"""),
+        "report_page_labels": _with(*c, select=f"""
+SELECT page_url, {_label('page_url', PAGE_LABEL_REWRITES)} AS label FROM q1"""),
+        "report_anomaly_labels": _with(*c, select=f"""
+SELECT session_id, anomaly_type, {_label('anomaly_type', ANOMALY_LABEL_REWRITES)}
+       AS type_label, substr(coalesce(session_id, ''), 6, 14) AS session_label FROM q7"""),
+        "report_top8_remainder": _with(*c, select="""
+SELECT *, greatest(count(*) OVER () - 8, 0) AS more FROM q7
+ORDER BY z_score DESC NULLS FIRST, event_date, session_id, anomaly_type LIMIT 8"""),
+    })
+    out["warehouse_key_violations"] = _with(*c, select=violations_sql())
+    return out
+
+
+METRIC_SOURCE = {"top_pages_by_time": "(SELECT * FROM tpr WHERE rn <= 20)",
+                 "bounce_rate": "br", "time_by_device_country": "tdc",
+                 "conversion_funnel": "cf", "product_view_vs_cart": "pvc",
+                 "navigation_paths": "np", "anomalies": "an"}
+
+
+def violations_sql() -> str:
+    from clickforge.plans.warehouse import TABLES
+    parts = []
+    for t, spec in TABLES.items():
+        src = METRIC_SOURCE[t]
+        if spec["key"]:
+            k = ", ".join(spec["key"])
+            parts.append(f"SELECT '{t}' AS table_name, 'duplicate_key' AS violation, "
+                         f"CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS rows FROM "
+                         f"(SELECT count(*) AS n FROM {src} GROUP BY {k} HAVING count(*) > 1)")
+        for n, typ, length in spec["columns"]:
+            if n in ("detected_at",):
+                continue
+            if length:
+                parts.append(f"SELECT '{t}', 'too_long:{n}', count(*) FILTER "
+                             f"(WHERE length({n}) > {length}) FROM {src}")
+            if typ.startswith("decimal"):
+                parts.append(f"SELECT '{t}', 'overflow:{n}', count(*) FILTER (WHERE {n} IS NOT "
+                             f"NULL AND {_dec(n, typ)} IS NULL) FROM {src}")
+    return " UNION ALL ".join(parts)
