@@ -16,9 +16,15 @@ QUARANTINE_PREFIX = "quarantine/"
 
 def event_type_from_path(path: Column) -> Column:
     """V1: the last path segment without ``.jsonl`` (the record's own ``event_type`` is
-    not used). The object key is URL-decoded first, as notifications deliver it."""
-    name = F.regexp_extract(F.url_decode(path), r"([^/]*)$", 1)
-    return F.regexp_replace(name, r"\.jsonl", "")
+    not used). The object key is URL-decoded first, as notifications deliver it.
+
+    Files written by :func:`clickforge.sources.files.split_by_type` carry the type as an
+    ``event_type=T`` directory instead (Spark names the part files); that wins when
+    present."""
+    key = F.url_decode(path)
+    name = F.regexp_replace(F.regexp_extract(key, r"([^/]*)$", 1), r"\.jsonl", "")
+    part_dir = F.regexp_extract(key, r"/event_type=([^/]+)/[^/]*$", 1)
+    return F.when(part_dir != "", part_dir).otherwise(name)
 
 
 def read_raw_json(spark: SparkSession, paths, event_type: str) -> DataFrame:
@@ -46,17 +52,26 @@ def read_lines(spark: SparkSession, paths, skip_quarantine: bool = True) -> Data
     v. ``line_id`` orders lines inside one split (a split is at most
     ``spark.sql.files.maxPartitionBytes``), which is what record positions are built from.
     """
-    df = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line_id"),
-        F.col("value").alias("line"))
+    df = with_line_ids(text_with_metadata(spark.read.text(paths)))
     if skip_quarantine:
         df = df.filter(~is_quarantined(F.col("file_path")))
     return lines_to_records(df)
 
 
+def text_with_metadata(text: DataFrame) -> DataFrame:
+    """``file_path, file_size, block_start, line`` of a text scan (batch or stream)."""
+    return text.select(F.col("_metadata.file_path").alias("file_path"),
+                       F.col("_metadata.file_size").alias("file_size"),
+                       F.col("_metadata.file_block_start").alias("block_start"),
+                       F.col("value").alias("line"))
+
+
+def with_line_ids(df: DataFrame) -> DataFrame:
+    """Add ``line_id``, increasing in scan order inside each split (not a shuffle: each
+    task numbers its own rows)."""
+    return df.withColumn("line_id", F.monotonically_increasing_id())
+
+
 def is_quarantined(path: Column) -> Column:
     """A key inside a ``quarantine/`` folder (never re-validated)."""
     return path.rlike("(^|/)" + QUARANTINE_PREFIX)
