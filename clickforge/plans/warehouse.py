@@ -19,27 +19,27 @@ TABLES = {
                     ("page_type", "string", 50), ("avg_time_seconds", "decimal(10,2)", None),
                     ("total_visits", "bigint", None)],
         "key": ["event_date", "page_url"],
-        "prefer": [F.desc("total_visits"), F.asc("page_type")],
+        "prefer": [("total_visits", "desc"), ("page_type", "asc")],
     },
     "bounce_rate": {
         "columns": [("event_date", "date", None), ("page_type", "string", 50),
                     ("total_sessions", "bigint", None), ("bounce_sessions", "bigint", None),
                     ("bounce_rate_pct", "decimal(5,2)", None)],
         "key": ["event_date", "page_type"],
-        "prefer": [F.desc("total_sessions")],
+        "prefer": [("total_sessions", "desc")],
     },
     "time_by_device_country": {
         "columns": [("event_date", "date", None), ("device_type", "string", 20),
                     ("country", "string", 5), ("avg_time_seconds", "decimal(10,2)", None),
                     ("total_sessions", "bigint", None), ("unique_users", "bigint", None)],
         "key": ["event_date", "device_type", "country"],
-        "prefer": [F.desc("total_sessions")],
+        "prefer": [("total_sessions", "desc")],
     },
     "conversion_funnel": {
         "columns": [("event_date", "date", None), ("funnel_stage", "string", 50),
                     ("users", "bigint", None), ("conversion_rate_pct", "decimal(5,2)", None)],
         "key": ["event_date", "funnel_stage"],
-        "prefer": [F.desc("users")],
+        "prefer": [("users", "desc")],
     },
     "product_view_vs_cart": {
         "columns": [("event_date", "date", None), ("product_id", "string", 20),
@@ -48,13 +48,13 @@ TABLES = {
                     ("view_to_cart_rate", "decimal(5,2)", None),
                     ("is_low_conversion", "boolean", None)],
         "key": ["event_date", "product_id"],
-        "prefer": [F.desc("total_views"), F.asc("category"), F.asc("price")],
+        "prefer": [("total_views", "desc"), ("category", "asc"), ("price", "asc")],
     },
     "navigation_paths": {
         "columns": [("event_date", "date", None), ("navigation_path", "string", None),
                     ("session_count", "bigint", None)],
         "key": ["event_date", "navigation_path"],
-        "prefer": [F.desc("session_count")],
+        "prefer": [("session_count", "desc")],
     },
     "anomalies": {
         "columns": [("event_date", "date", None), ("session_id", "string", 100),
@@ -89,7 +89,9 @@ def load_table(metric: DataFrame, table: str, loaded_at: Column | None = None,
     cols = [(n, t) for n, t, _ in spec["columns"] if n in metric.columns]
     df = metric.select(*[_typed(n, t).alias(n) for n, t in cols])
     if spec["key"]:
-        w = Window.partitionBy(*spec["key"]).orderBy(*spec["prefer"])
+        order = [F.col(c).desc() if d == "desc" else F.col(c).asc()
+                 for c, d in spec["prefer"]]
+        w = Window.partitionBy(*spec["key"]).orderBy(*order)
         df = df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     if with_loaded_at:
         df = df.withColumn("loaded_at",
