@@ -188,6 +188,18 @@ def q_valid(spark, d):
     return V.valid_events(_annotated(spark, d))
 
 
+def q_quarantine(spark, d):
+    """S5 over the fixture: one row per quarantined file (the error list reduced to its
+    size and first / last listed record; ``quarantined_at`` is a wall-clock stamp)."""
+    from clickforge.operators import quarantine as Q
+    m = Q.quarantine_metadata(_annotated(spark, d), F.lit(AS_OF).cast("timestamp"))
+    return m.select("source_key", "quarantine_key", "error_key", "error_count",
+                    F.size("errors").cast("long").alias("listed_errors"),
+                    F.col("errors")[0]["record_index"].alias("first_record_index"),
+                    F.element_at("errors", -1)["record_index"]
+                     .alias("last_listed_record_index"))
+
+
 def q_contract(spark, d):
     from clickforge.operators import validate as V
     return V.error_counts(V.validation_errors(_annotated(spark, d, "contract")))
@@ -311,6 +323,7 @@ def queries() -> dict[str, Query]:
         "ingest_metrics": q_metrics,
         "ingest_run_summary": q_run_summary,
         "valid_events": q_valid,
+        "quarantine_files": q_quarantine,
         "validate_contract": q_contract,
         **{f"warehouse_{t}": _wh_query(t) for t in (
             "top_pages_by_time", "bounce_rate", "time_by_device_country", "conversion_funnel",

@@ -477,6 +477,16 @@ SELECT CAST(sum(FilesProcessed) AS BIGINT) AS processed_files,
 SELECT file_path, event_type, record_index, j AS line FROM recs r
 WHERE NOT EXISTS (SELECT 1 FROM errs e WHERE e.file_path = r.file_path
                   AND e.line_id = r.line_id)"""),
+        "quarantine_files": _with(*c, select="""
+SELECT file_path AS source_key, 'quarantine/' || file_path AS quarantine_key,
+       'quarantine/' || file_path || '.errors.json' AS error_key,
+       CAST(max(n) AS BIGINT) AS error_count, CAST(count(*) AS BIGINT) AS listed_errors,
+       CAST(min(record_index) AS BIGINT) AS first_record_index,
+       CAST(max(record_index) AS BIGINT) AS last_listed_record_index
+FROM (SELECT file_path, record_index,
+             row_number() OVER (PARTITION BY file_path ORDER BY record_index) AS rn,
+             count(*) OVER (PARTITION BY file_path) AS n FROM errs) e
+WHERE rn <= 100 GROUP BY file_path"""),
         "validate_contract": _with(*validation_ctes("contract"), select="""
 SELECT event_type, error_code, field, count(*) AS errors FROM errs
 GROUP BY event_type, error_code, field"""),
