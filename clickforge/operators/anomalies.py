@@ -19,8 +19,12 @@ RESULT_COLUMNS = ["z_score", "anomaly_type", "anomaly_field", "anomaly_value"]
 
 def _attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
     if by:
-        return df.join(F.broadcast(stats), by)
-    # Whole input as one batch: the one-row statistics table is joined on a constant key.
+        # Calendar days bound the statistics table (one row per day in the input), so it
+        # is broadcast. For any other batch key the hint is left to AQE, which broadcasts
+        # only when the measured size of the aggregate is below its threshold.
+        return df.join(F.broadcast(stats) if by == ["event_date"] else stats, by)
+    # Whole input as one batch: a global aggregate is exactly one row; it is joined on a
+    # constant key, always broadcast (never a shuffle of all rows onto that key).
     return df.withColumn("_batch", F.lit(0)).join(
         F.broadcast(stats.withColumn("_batch", F.lit(0))), "_batch").drop("_batch")
 
