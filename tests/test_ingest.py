@@ -118,3 +118,29 @@ def test_split_by_type_round_trip(spark, tmp_dir):
         F.get_json_object("line", "$.user_id").alias("u"))
     assert _rows(typed, "et", "u") == [("click", "u2"), ("page_view", "u1"),
                                        ("page_view", "u3")]
+
+
+def test_stream_restart_processes_only_new_files(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    _raw_tree(raw)
+    out, ckpt = os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "ckpt")
+    I.start_ingest_stream(spark, raw, out, checkpoint=ckpt).awaitTermination(300)
+    I.start_ingest_stream(spark, raw, out, checkpoint=ckpt).awaitTermination(300)
+    m = spark.read.parquet(os.path.join(out, "ingest_metrics"))
+    assert m.count() == 4 and m.select("batch_id").distinct().count() == 1
+    _write(os.path.join(raw, "year=2024", "month=01", "day=17", "page_view.jsonl"), [OK, BAD])
+    I.start_ingest_stream(spark, raw, out, checkpoint=ckpt).awaitTermination(300)
+    m = spark.read.parquet(os.path.join(out, "ingest_metrics"))
+    new = m.filter(F.col("batch_id") == 1).collect()
+    assert len(new) == 1 and new[0]["file_path"].endswith("day=17/page_view.jsonl")
+    assert (new[0]["ValidRecords"], new[0]["InvalidRecords"]) == (1, 2)
+    assert m.count() == 5
+
+
+def test_event_type_from_path_forms(spark):
+    df = spark.createDataFrame(
+        [("s3a://b/raw/year=2024/month=01/day=15/page_view.jsonl",),
+         ("file:/x/out/event_date=2024-01-15/event_type=click/part-0000.json",),
+         ("raw/year=2024/month=01/day=15/cart%5Fevent.jsonl",)], "p string")
+    got = [r[0] for r in df.select(R.event_type_from_path(F.col("p"))).collect()]
+    assert got == ["page_view", "click", "cart_event"]
