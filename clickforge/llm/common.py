@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SEPARATORS), lambda w: w != "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, also where a lambda of the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def materialise(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column that is computed once per row: a generated column is not inlined into
     the expressions that use it, as a projected one would be."""
