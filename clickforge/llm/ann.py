@@ -182,7 +182,7 @@ def _dealt(base: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id",
            vector_col: str = "embedding", tables: int = 4, directions: int = 3, width: float = 1.0,
-           probes: int = 26, seed: int = 7) -> DataFrame:
+           probes: int = 32, seed: int = 7) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` (inner product, double) of the
     ``k`` nearest found of each query among ``vectors``, its own id left out, ties to the
     smaller id; all others, if fewer than ``k``.

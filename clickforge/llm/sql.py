@@ -1,4 +1,150 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express. Operators that need a
-hash function or tokenizer SQL lacks are tested against brute force instead."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express. The others need a hash
+function, a tokenizer or a random projection that SQL lacks; they are tested against brute
+force instead. Values are written out here on their own, not taken from the operators."""
 
-ORACLES: dict[str, str] = {}
+#: Words of a text: maximal runs of anything but space, tab, LF, VT, FF and CR.
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+OP4 = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN coalesce(position('://' IN url), 0) > 0
+                       THEN substr(url, position('://' IN url) + 3) ELSE '' END AS c FROM pages),
+judged AS (
+  SELECT page_id, regexp_extract(c, '^[^/?#]*([^?#]*)', 1) AS path,
+         translate(regexp_extract(c, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS host FROM cut),
+named AS (
+  SELECT *, regexp_replace(host, ':[0-9]*$', '') AS name FROM judged),
+zoned AS (
+  SELECT *, CASE WHEN regexp_matches(name, '(^|\.)example\.(com|net|org)$')
+                 THEN regexp_extract(name, 'example\.(com|net|org)$')
+                 ELSE regexp_extract(name, '[^.]*$') END AS suffix FROM named),
+domains AS (
+  SELECT *, CASE WHEN length(name) <= length(suffix) + 1 THEN name ELSE regexp_extract(
+      substr(name, 1, length(name) - length(suffix) - 1), '[^.]*$') || '.' || suffix END AS domain FROM zoned),
+outcomes AS (
+  SELECT doc_id AS page_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels
+  WHERE doc_id IS NOT NULL GROUP BY doc_id),
+hosts AS (
+  SELECT host, any_value(domain) AS domain, any_value(suffix) AS suffix, count(bad) AS n,
+         count(*) FILTER (bad) AS k
+  FROM domains LEFT JOIN outcomes USING (page_id) GROUP BY host),
+doms AS (SELECT suffix, domain, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM hosts GROUP BY suffix, domain),
+zones AS (SELECT suffix, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM doms GROUP BY suffix),
+root AS (SELECT (coalesce(sum(k), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1.0::DOUBLE) AS m FROM zones),
+levels AS (
+  SELECT 'zone' AS l, n, k FROM zones UNION ALL SELECT 'domain', n, k FROM doms
+  UNION ALL SELECT 'host', n, k FROM hosts),
+rhos AS (
+  SELECT l, (sum(n * pow(k / n - m, 2)) / max(m * (1 - m)) - (count(*) - 1))
+            / nullif(sum(n) - sum(n * n) / sum(n) - (count(*) - 1), 0) AS rho
+  FROM levels, root WHERE n > 0 GROUP BY l),
+strength AS (
+  SELECT x.l, CASE WHEN rho > 0 THEN greatest(2.0::DOUBLE, least(1000.0::DOUBLE, 1 / rho - 1))
+                   ELSE 1000.0::DOUBLE END AS s
+  FROM (VALUES ('zone'), ('domain'), ('host')) x(l) LEFT JOIN rhos USING (l)),
+s AS (SELECT max(s) FILTER (l = 'zone') AS z, max(s) FILTER (l = 'domain') AS d,
+             max(s) FILTER (l = 'host') AS h FROM strength),
+means AS (
+  SELECT host, hosts.n, s.h AS sh, (hosts.k + s.h * ((doms.k + s.d * ((zones.k + s.z * m) / (zones.n + s.z)))
+         / (doms.n + s.d))) / (hosts.n + s.h) AS mean
+  FROM hosts JOIN doms USING (suffix, domain) JOIN zones USING (suffix), s, root),
+bounds AS (SELECT host, mean - sqrt(mean * (1 - mean) / (n + sh + 1)) AS lower FROM means),
+rules AS (
+  SELECT * FROM (VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+    ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'),
+    ('net/fr/', 'net', '/fr/', 'block')) r(rule, rhost, rpath, says)),
+fits AS (
+  SELECT j.page_id, j.host, j.path, max_by(rule, length(rule)) AS rule, max_by(says, length(rule)) AS says
+  FROM judged j LEFT JOIN rules ON (j.host = rhost OR ends_with(j.host, '.' || rhost)) AND starts_with(j.path, rpath)
+  GROUP BY ALL)
+SELECT page_id, host, path, rule, coalesce(says, CASE WHEN lower > 0.3 THEN 'block' ELSE 'allow' END) AS verdict
+FROM fits JOIN bounds USING (host)
+"""
+
+OP5 = rf"""
+WITH docs AS (SELECT doc_id, text, md5(text) AS t FROM documents),
+lines AS (
+  SELECT doc_id, t, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs WHERE text IS NOT NULL),
+hashed AS (
+  SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h, len({_WORDS.format('line')}) AS nw FROM lines),
+rolled AS (
+  SELECT *, (h * 1000003 + coalesce(lead(h) OVER w, 0)) % 2147483647 AS r, lag(nw) OVER w AS nw0
+  FROM hashed WINDOW w AS (PARTITION BY doc_id, t ORDER BY i)),
+starts AS (
+  SELECT *, i = 1 OR nw >= 50 OR nw0 >= 50 OR (r < lag(r) OVER w AND coalesce(r <= lead(r) OVER w, true)) AS s
+  FROM rolled WINDOW w AS (PARTITION BY doc_id, t ORDER BY i)),
+numbered AS (
+  SELECT *, sum(s::INT) OVER (PARTITION BY doc_id, t ORDER BY i) AS place FROM starts),
+chunks AS (
+  SELECT doc_id, t, place, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk,
+         count(*) FILTER (nw > 0) >= 2 OR max(nw) >= 50 AS whole
+  FROM numbered GROUP BY doc_id, t, place),
+ranked AS (
+  SELECT *, whole AND row_number() OVER (PARTITION BY chunk, whole ORDER BY doc_id, t, place) > 1 AS gone FROM chunks)
+SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines,
+       count(*) FILTER (gone) AS n_removed_chunks,
+       md5(coalesce(string_agg(chunk, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS text_md5
+FROM ranked GROUP BY doc_id, t
+UNION ALL SELECT doc_id, 0, 0, 0, md5('') FROM documents WHERE text IS NULL
+"""
+
+OP7 = r"""
+WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+convs AS (
+  SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS ts
+  FROM turns GROUP BY conv_id),
+one AS (SELECT min(conv_id) AS conv_id, count(*) AS n_copies, ts FROM convs GROUP BY ts)
+SELECT conv_id, len(ts)::BIGINT AS n_turns, n_copies, list_aggregate(list_transform(ts, lambda x:
+  '<|im_start|>' || replace(coalesce(x.r, 'unknown'), '<|', '< |') || chr(10)
+  || replace(coalesce(x.t, ''), '<|', '< |') || '<|im_end|>' || chr(10)), 'string_agg', '') AS rendered
+FROM one a WHERE NOT EXISTS (
+  SELECT 1 FROM one b WHERE b.ts[1] = a.ts[1] AND len(b.ts) > len(a.ts) AND b.ts[1:len(a.ts)] = a.ts)
+"""
+
+OP9 = rf"""
+WITH sized AS (SELECT doc_id, source, coalesce(len({_WORDS.format('text')}), 0)::BIGINT AS size FROM documents),
+named AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS sid
+  FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, [3.0, 1.0, 2.0][(sid - 1) % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS most FROM named),
+levels AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER (
+      ORDER BY most / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY most / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+targets AS (
+  SELECT sid, source, source_size, CASE WHEN level >= most / weight THEN most ELSE
+    max(level) FILTER (level < most / weight) OVER () * weight END AS target FROM levels),
+total AS (SELECT sum(target) AS t, max(sid) AS n FROM targets),
+ends AS (
+  SELECT *, CASE WHEN sid = n THEN 4294967296 WHEN t = 0 THEN 0
+    ELSE floor(sum(target) OVER (ORDER BY sid) / t * 4294967296)::BIGINT END AS high FROM targets, total),
+spans AS (SELECT *, lag(high, 1, 0) OVER (ORDER BY sid) AS low FROM ends),
+points AS (
+  SELECT slot, ((((slot + 1) * (2654435769 >> 16)) % 65536) * 65536 + (slot + 1) * (2654435769 & 65535)) % 4294967296 AS u
+  FROM (SELECT unnest(range(ceil(t / 128)::BIGINT)) AS slot FROM total)),
+slots AS (
+  SELECT slot, sid, ceil(source_size / 128)::BIGINT AS n_blocks,
+         row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank
+  FROM points JOIN spans ON u >= low AND u < high),
+uses AS (SELECT sid, rank % n_blocks AS block, count(*) AS n FROM slots WHERE rank < 2 * n_blocks GROUP BY ALL),
+placed AS (
+  SELECT doc_id, size, sid, source_size, target, coalesce(sum(size) OVER (
+      PARTITION BY sid ORDER BY md5('mix|' || doc_id), doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source),
+pieces AS (
+  SELECT *, unnest(range(base // 128, (base + size - 1) // 128 + 1)) AS block FROM placed WHERE size > 0),
+takes AS (
+  SELECT doc_id, sid, base, sum((least(base + size, (block + 1) * 128) - greatest(base, block * 128)) * n)::BIGINT AS taken
+  FROM pieces JOIN uses USING (sid, block) GROUP BY ALL)
+SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN coalesce(taken, 0) ELSE 0 END::BIGINT AS taken
+FROM placed LEFT JOIN takes USING (doc_id, sid, base)
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_url_reputation": OP4, "op5_line_chunk_dedup": OP5, "op7_chat_snapshots": OP7,
+    "op9_low_discrepancy_mix": OP9}
