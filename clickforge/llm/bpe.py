@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 
 from clickforge.llm.text_blocks import blocks
 
-#: States and pre-tokens kept per worker; beyond them the caches start anew.
-MAX_STATES = 300_000
-MAX_PIECES = 400_000
+#: States, and half of the pre-tokens, kept per worker. Further states are made and forgotten;
+#: of the pre-tokens the older half gives way.
+MAX_STATES = 80_000
+MAX_PIECES = 200_000
 #: Longer pre-tokens are not kept.
 KEPT_PIECE = 40
 
@@ -76,12 +78,9 @@ class Transducer:
                 node = nxt
             self.token[node] = r
         self._find_parts()
-        self._restart()
-
-    def _restart(self) -> None:
         first = ((0, (), -1),)
-        self.states = {first: _State(first)}
-        self.start = self.states[first]
+        self.start = _State(first)
+        self.states = {first: self.start}
 
     def _find_parts(self) -> None:
         """For every token the two tokens that its last merge joins."""
@@ -134,18 +133,22 @@ class Transducer:
         if len(done) != 1:
             raise ValueError(f"byte {byte} has no single encoding: the ranks lack a byte or a merge")
         runs += done
-        shared = min(len(r[1]) for r in runs)
-        for i in range(shared):
-            if len({r[1][i] for r in runs}) > 1:
-                shared = i
+        written, others = runs[0][1], runs[1:]
+        for i, token in enumerate(written):
+            if any(len(r[1]) <= i or r[1][i] != token for r in others):
+                written = written[:i]
                 break
-        written = runs[0][1][:shared]
-        key = tuple((node, pending[shared:], last) for node, pending, last in runs)
-        if key not in self.states:
-            if len(self.states) >= MAX_STATES:
-                self._restart()
-            self.states[key] = _State(key)
-        move = state.moves[byte] = (self.states[key], written)
+        if written:
+            n = len(written)
+            runs = [(node, pending[n:], last) for node, pending, last in runs]
+        key = tuple(runs)
+        known = self.states.get(key)
+        if known is None:
+            known = _State(key)
+            if len(self.states) >= MAX_STATES:  # the common ones are there by now
+                return known, written
+            self.states[key] = known
+        move = state.moves[byte] = (known, written)
         return move
 
     def encode(self, piece: bytes) -> list[int]:
@@ -226,13 +229,17 @@ class TextEncoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
-        self.machine, self.split, self.known = Transducer(ranks), regex.compile(pattern).findall, {}
+        self.machine, self.split = Transducer(ranks), regex.compile(pattern).findall
+        self.known, self.older = {}, {}
 
     def _encode(self, piece: str) -> bytes:
-        packed = np.array(self.machine.encode(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= KEPT_PIECE:
-            if len(self.known) >= MAX_PIECES:
-                self.known.clear()
+            if len(self.known) >= MAX_PIECES:  # what is met again comes back from the older half
+                self.known, self.older = {}, self.known
             self.known[piece] = packed
         return packed
 
@@ -253,6 +260,12 @@ def decoder(path: str) -> Decoder:
     return Decoder({r: t for t, r in read_ranks(path).items()})
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that the results of one are small too."""
+    for b in batches:
+        yield from (b.slice(at, rows) for at in range(0, b.num_rows, rows))
+
+
 def split_pattern() -> str:
     from public_tokenizers import PATTERN
     return PATTERN
@@ -270,7 +283,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = text_encoder(ranks_path, split)
-        for b in batches:
+        for b in slices(batches):
             ids = [own.encode(t.as_py() or "") for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())],
                                              [b.schema.names[0], "ids"])
@@ -285,7 +298,7 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataF
     the last whole id are ignored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = decoder(ranks_path)
-        for b in batches:
+        for b in slices(batches):
             texts = []
             for ids in b.column(1):
                 data = ids.as_py() or b""
