@@ -222,7 +222,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
     blocks = -(-base.count() // BLOCK) * 2
     pack = F.udf(lambda v: np.array(v, "<f8").tobytes(), "binary")
     rest = _nearest(base.select(F.pmod(F.xxhash64("v"), F.lit(blocks)).alias("g"), "ids", pack("v").alias("v")),
-                    short.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("g"),
+                    short.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("g"),
                                  "ids", pack("v").alias("v")), k)
     return found.join(short.select("query_id").distinct(), "query_id", "left_anti") \
         .unionAll(_merged(rest, k).select(*found.columns))
