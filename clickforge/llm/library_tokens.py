@@ -15,17 +15,50 @@ import os
 import re
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
+from unicodedata import is_normalized
 
 import numpy as np
 
 from clickforge.llm.text_blocks import blocks
 
-#: Chunks are maximal runs of ASCII blanks and then of anything else.
-_CHUNKS = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
+#: Chunks are blanks and then a run of letters and digits before a punctuation mark, or all
+#: that is not blank. No token reaches from a Latin letter or a digit into these marks; other
+#: letters may end in a combining mark once they are normalised, and are not cut off.
+_CHUNKS = re.compile(r"[\t-\r ]*(?:[^\W_]*[0-9A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]"
+                     r"(?=[.,;:!?])|[^\t-\r ]+)|[\t-\r ]+")
 #: Blanks beyond ASCII ones, after which a chunk boundary is not safe.
 _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Chunks kept per worker, chunks per call, and longest chunk kept.
-MAX_CHUNKS, PER_CALL, KEPT_CHUNK = 400_000, 2_000, 40
+#: Chunks kept per worker (half of them; the older half gives way), chunks per call, and the
+#: longest chunk kept.
+MAX_CHUNKS, PER_CALL, KEPT_CHUNK = 300_000, 2_000, 40
+
+
+_BLANKS = "\t\n\x0b\x0c\r "
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: visible Latin-1
+    characters for themselves, the others for U+0100 onwards, in order."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in seen]
+    return [chr(b) if b in seen else chr(0x100 + hidden.index(b)) for b in range(256)]
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _lowers_words(described: dict) -> bool:
+    """Whether a word of Latin letters is, lower-cased and without blanks around it, one piece
+    for the byte-level model of a tokenizer file. The library's model can be asked directly
+    then, without its normaliser and splitter."""
+    def kinds(part, inner):
+        return [x["type"] for x in (part or {}).get(inner, [])]
+    split = (described["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return kinds(described["normalizer"], "normalizers") == ["NFC", "Replace", "Lowercase"] \
+        and kinds(described["pre_tokenizer"], "pretokenizers") == ["Split", "ByteLevel"] \
+        and r"[\p{L}]+" in split[0]["pattern"].get("Regex", "") and split[0]["invert"] \
+        and split[0]["behavior"] == "Removed" and not split[1]["add_prefix_space"] \
+        and not split[1]["use_regex"]
 
 
 class LibraryTokens:
@@ -39,21 +72,32 @@ class LibraryTokens:
         self.library.no_truncation()
         self.library.no_padding()
         with open(path, encoding="utf-8") as f:
-            added = json.load(f)["added_tokens"]
+            described = json.load(f)
+        added = described["added_tokens"]
+        self.lower_words = _lowers_words(described)
         self.marks = [t["content"] for t in added]
         # a mark that takes no neighbouring blanks and is looked for in the text as it is
         plain = [t for t in added if t["special"] and not re.search(r"\s", t["content"])
                  and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"])]
         self.mark, self.mark_id = (plain[-1]["content"], plain[-1]["id"]) if plain else (None, -1)
         self.known: dict[str, Any] = {}
+        self.older: dict[str, Any] = {}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4")
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: list[str]) -> dict[str, Any]:
+        got = {}
+        if self.lower_words:
+            for c in chunks:
+                word = c.lstrip(_BLANKS)
+                if word.isalpha() and max(word) < "\u0250" and is_normalized("NFC", word) and "\u0130" not in word:
+                    word = "".join(map(_BYTE_LETTERS.__getitem__, word.lower().encode()))
+                    got[c] = self.value(np.array([t.id for t in self.library.model.tokenize(word)], "<u4"))
+            chunks = [c for c in chunks if c not in got]
         odd = [c for c in chunks if any(m in c for m in self.marks)]
-        got = dict(zip(odd, map(self.value, self._encode(odd)))) if odd else {}
+        got |= zip(odd, map(self.value, self._encode(odd))) if odd else {}
         rest = [c for c in chunks if c not in got]
         for at in range(0, len(rest), PER_CALL):
             part = rest[at:at + PER_CALL]
@@ -72,15 +116,18 @@ class LibraryTokens:
         odd = dict(zip(whole, self._encode([texts[i] for i in whole]))) if whole else {}
         cut = [[] if i in odd else _CHUNKS.findall(t) for i, t in enumerate(texts)]
         if len(self.known) >= MAX_CHUNKS:
-            self.known.clear()
-        new = self._learn(sorted(set().union(*cut) - self.known.keys()))
-        self.known.update(new)
-        out = [list(map(self.known.__getitem__, p)) for p in cut]
+            self.known, self.older = {}, self.known
+        out = [list(map(self.known.get, p)) for p in cut]
+        missing = {c for p, v in zip(cut, out) if None in v for c, x in zip(p, v) if x is None}
+        if missing:
+            back = {c: x for c in missing if (x := self.older.get(c)) is not None}
+            new = back | self._learn(sorted(missing - back.keys()))
+            for i, (p, v) in enumerate(zip(cut, out)):
+                if None in v:
+                    out[i] = [new[c] if x is None else x for c, x in zip(p, v)]
+            self.known.update((c, x) for c, x in new.items() if len(c) <= KEPT_CHUNK)
         for i, ids in odd.items():
             out[i] = [self.value(ids)]
-        for c in new:
-            if len(c) > KEPT_CHUNK:
-                del self.known[c]
         return out
 
 

@@ -126,6 +126,22 @@ def test_chunks_encode_as_the_whole(text, name):
     assert sum(own.parts([text])[0], []) == _library(name, text)
 
 
+def test_latin_words_encode_as_the_library():
+    own = library_tokens.LibraryTokens(public_tokenizers.path("word_bpe_49k.json"), list)
+    assert own.lower_words
+    assert not library_tokens.LibraryTokens(public_tokenizers.path("byte_bpe_50k.json"), list).lower_words
+    rnd = random.Random(4)
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()] + list("abcdetnirsABC") * 20
+    for i in range(1500):
+        text = " ".join("".join(rnd.choices(letters, k=rnd.randint(1, 9))) + rnd.choice(["", "", ".", ",", "'s", "\u0301"])
+                        for _ in range(4))
+        assert sum(own.parts([text])[0], []) == _library_of(own, text), text
+
+
+def _library_of(own, text):
+    return own.library.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 50), st.integers(0, 2 ** 32 - 1)), min_size=1, max_size=200))
 def test_block_round_trip(ids):
