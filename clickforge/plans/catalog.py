@@ -257,23 +257,27 @@ SERVING = {
     "serve_top_pages": lambda S, RP, w: S.top_pages(w["top_pages_by_time"]),
     "serve_bounce": lambda S, RP, w: S.top_pages(None, metric="bounce_rate",
                                                  bounce_t=w["bounce_rate"]),
-    "serve_dates": lambda S, RP, w: S.available_dates(w["bounce_rate"]),
-    "serve_sessions": lambda S, RP, w: S.session_summary(w["time_by_device_country"]),
+    "serve_dates": lambda S, RP, w: S.available_dates(w["bounce_rate"], limit=S.DATE_ROWS),
+    "serve_sessions": lambda S, RP, w: S.session_summary(w["time_by_device_country"],
+                                                         limit=S.SESSION_ROWS),
     "serve_sessions_filtered": lambda S, RP, w: S.session_summary(
-        w["time_by_device_country"], date="2024-01-06", country="C3", device="Mobile"),
+        w["time_by_device_country"], date="2024-01-06", country="C3", device="Mobile",
+        limit=S.SESSION_ROWS),
     "serve_session_totals": lambda S, RP, w: S.session_totals(
         S.session_summary(w["time_by_device_country"])),
     "serve_filters": lambda S, RP, w: S.available_filters(w["time_by_device_country"]),
-    "serve_anomalies": lambda S, RP, w: S.anomaly_search(w["anomalies"]),
+    "serve_anomalies": lambda S, RP, w: S.anomaly_search(w["anomalies"],
+                                                         limit=S.ANOMALY_ROWS),
     "serve_anomalies_filtered": lambda S, RP, w: S.anomaly_search(
-        w["anomalies"], anomaly_type="zscore_time_on_page_seconds", min_zscore="3.5"),
+        w["anomalies"], anomaly_type="zscore_time_on_page_seconds", min_zscore="3.5",
+        limit=S.ANOMALY_ROWS),
     "serve_anomaly_counts": lambda S, RP, w: S.anomaly_counts(S.anomaly_search(w["anomalies"])),
     "report_timeline": lambda S, RP, w: RP.timeline(w["time_by_device_country"],
                                                     w["anomalies"], w["bounce_rate"]),
     "report_sessions_by_device": lambda S, RP, w: RP.sessions_by_device(
         S.session_summary(w["time_by_device_country"])),
     "report_anomaly_severity": lambda S, RP, w: RP.anomaly_severity(
-        S.anomaly_search(w["anomalies"])),
+        S.anomaly_search(w["anomalies"], limit=S.ANOMALY_ROWS)),
     "report_bounce_bands": lambda S, RP, w: RP.bounce_bands(
         S.bounce_summary(w["bounce_rate"])),
     "report_kpis": lambda S, RP, w: RP.kpis(
@@ -282,7 +286,7 @@ SERVING = {
         S.top_pages(w["top_pages_by_time"]), S.available_dates(w["bounce_rate"])),
     "report_page_labels": lambda S, RP, w: RP.page_labels(S.top_pages(w["top_pages_by_time"])),
     "report_anomaly_labels": lambda S, RP, w: RP.anomaly_labels(
-        S.anomaly_search(w["anomalies"])),
+        S.anomaly_search(w["anomalies"], limit=S.ANOMALY_ROWS)),
     "report_top8_remainder": lambda S, RP, w: RP.top8_remainder(
         S.anomaly_search(w["anomalies"])),
 }

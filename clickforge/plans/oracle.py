@@ -499,40 +499,45 @@ GROUP BY event_type, error_code, field"""),
 
 # ---- warehouse, serving, reports ---------------------------------------------------------
 def _dec(x: str, typ: str) -> str:
+    """Declared type; an overflow is null."""
     scale = int(typ.rstrip(")").split(",")[1])
     return f"TRY_CAST(round({x}, {scale}) AS {typ.upper()})"
 
 
+def _wide(x: str, scale: int) -> str:
+    return f"TRY_CAST(round({x}, {scale}) AS DECIMAL(38,{scale}))"
+
+
 def warehouse_ctes() -> list[str]:
     tp_cte, _ = top_pages_sql(2, 20, True)
     return [
         tp_cte, BOUNCE, DEVICE, FUNNEL, product_conv_sql(True), PATHS, ANOMALIES,
         f"""w_tp AS (
   SELECT event_date, page_url, page_type,
-         {_dec('avg_time_seconds', 'decimal(10,2)')} AS avg_time_seconds, total_visits
+         {_wide('avg_time_seconds', 2)} AS avg_time_seconds, total_visits
   FROM tpr WHERE rn <= 20
   QUALIFY row_number() OVER (PARTITION BY event_date, page_url
                              ORDER BY total_visits DESC, page_type) = 1)""",
         f"""w_br AS (
   SELECT event_date, page_type, total_sessions, bounce_sessions,
-         {_dec('bounce_rate_pct', 'decimal(5,2)')} AS bounce_rate_pct FROM br
+         {_wide('bounce_rate_pct', 2)} AS bounce_rate_pct FROM br
   QUALIFY row_number() OVER (PARTITION BY event_date, page_type
                              ORDER BY total_sessions DESC) = 1)""",
         f"""w_tdc AS (
   SELECT event_date, device_type, country,
-         {_dec('avg_time_seconds', 'decimal(10,2)')} AS avg_time_seconds,
+         {_wide('avg_time_seconds', 2)} AS avg_time_seconds,
          total_sessions, unique_users FROM tdc
   QUALIFY row_number() OVER (PARTITION BY event_date, device_type, country
                              ORDER BY total_sessions DESC) = 1)""",
         f"""w_cf AS (
   SELECT event_date, funnel_stage, users,
-         {_dec('conversion_rate_pct', 'decimal(5,2)')} AS conversion_rate_pct FROM cf
+         {_wide('conversion_rate_pct', 2)} AS conversion_rate_pct FROM cf
   QUALIFY row_number() OVER (PARTITION BY event_date, funnel_stage
                              ORDER BY users DESC) = 1)""",
         f"""w_pvc AS (
-  SELECT event_date, product_id, category, {_dec('price', 'decimal(12,2)')} AS price,
+  SELECT event_date, product_id, category, {_wide('price', 2)} AS price,
          total_views, cart_adds,
-         {_dec('view_to_cart_rate', 'decimal(5,2)')} AS view_to_cart_rate, is_low_conversion
+         {_wide('view_to_cart_rate', 2)} AS view_to_cart_rate, is_low_conversion
   FROM pvc
   QUALIFY row_number() OVER (PARTITION BY event_date, product_id
                              ORDER BY total_views DESC, category, price) = 1)""",
@@ -542,19 +547,21 @@ def warehouse_ctes() -> list[str]:
                              ORDER BY session_count DESC) = 1)""",
         f"""w_an AS (
   SELECT event_date, session_id, user_id, page_url, page_type,
-         {_dec('z_score', 'decimal(8,4)')} AS z_score, anomaly_type, anomaly_field,
-         {_dec('anomaly_value', 'decimal(15,4)')} AS anomaly_value FROM an)""",
+         {_wide('z_score', 4)} AS z_score, anomaly_type, anomaly_field,
+         {_wide('anomaly_value', 4)} AS anomaly_value FROM an)""",
         """q4 AS (
   SELECT device_type, country, CAST(event_date AS VARCHAR) AS event_date,
-         avg_time_seconds, total_sessions, unique_users
-  FROM w_tdc ORDER BY total_sessions DESC NULLS FIRST, w_tdc.event_date, device_type, country
+         avg_time_seconds, total_sessions, unique_users FROM w_tdc)""",
+        """q4p AS (
+  SELECT * FROM q4 ORDER BY total_sessions DESC NULLS FIRST, event_date, device_type, country
   LIMIT 100)""",
         """q7 AS (
   SELECT session_id, user_id, page_url, page_type, round(z_score, 4) AS z_score,
          anomaly_type, anomaly_field, round(anomaly_value, 2) AS anomaly_value,
          CAST(event_date AS VARCHAR) AS event_date
-  FROM w_an WHERE z_score >= 0
-  ORDER BY round(z_score, 4) DESC NULLS FIRST, w_an.event_date, session_id, anomaly_type
+  FROM w_an WHERE z_score >= 0)""",
+        """q7p AS (
+  SELECT * FROM q7 ORDER BY z_score DESC NULLS FIRST, event_date, session_id, anomaly_type
   LIMIT 500)""",
         """q1 AS (
   SELECT page_url, page_type, CAST(round(avg(avg_time_seconds), 2) AS DECIMAL(12,2))
@@ -567,8 +574,7 @@ def warehouse_ctes() -> list[str]:
          CAST(round(avg(bounce_rate_pct), 2) AS DECIMAL(7,2)) AS bounce_rate_pct
   FROM w_br GROUP BY page_type ORDER BY bounce_rate_pct DESC NULLS FIRST, page_type LIMIT 20)""",
         """q3 AS (
-  SELECT CAST(event_date AS VARCHAR) AS date FROM (SELECT DISTINCT event_date FROM w_br)
-  ORDER BY event_date DESC LIMIT 30)""",
+  SELECT CAST(event_date AS VARCHAR) AS date FROM (SELECT DISTINCT event_date FROM w_br))""",
         """q5 AS (
   SELECT CAST(coalesce(sum(coalesce(total_sessions, 0)), 0) AS BIGINT) AS total_sessions,
          CAST(coalesce(sum(coalesce(unique_users, 0)), 0) AS BIGINT) AS total_users,
@@ -586,8 +592,13 @@ def _label(x: str, pairs) -> str:
     return x
 
 
+# Label rewrites, written out apart from the library's own.
+PAGE_LABEL_REWRITES = [("/producto/", ""), ("/categoria/", ""), ("/checkout", "chk"),
+                       ("/carrito", "cart")]
+ANOMALY_LABEL_REWRITES = [("zscore_", "z:"), ("iqr_", "iqr:")]
+
+
 def warehouse_queries() -> dict[str, str]:
-    from clickforge.functions.columns import ANOMALY_LABEL_REWRITES, PAGE_LABEL_REWRITES
     c = warehouse_ctes()
     out = {f"warehouse_{t}": _with(*c, select=f"SELECT * FROM w_{a}")
            for t, a in [("top_pages_by_time", "tp"), ("bounce_rate", "br"),
@@ -608,8 +619,8 @@ SELECT cf.event_date, cf.users AS total_users,
 FROM w_cf cf WHERE cf.funnel_stage = '1_page_view'"""),
         "serve_top_pages": _with(*c, select="SELECT * FROM q1"),
         "serve_bounce": _with(*c, select="SELECT * FROM q2"),
-        "serve_dates": _with(*c, select="SELECT * FROM q3"),
-        "serve_sessions": _with(*c, select="SELECT * FROM q4"),
+        "serve_dates": _with(*c, select="SELECT * FROM q3 ORDER BY date DESC LIMIT 30"),
+        "serve_sessions": _with(*c, select="SELECT * FROM q4p"),
         "serve_sessions_filtered": _with(*c, select="""
 SELECT device_type, country, CAST(event_date AS VARCHAR) AS event_date,
        avg_time_seconds, total_sessions, unique_users
@@ -620,7 +631,7 @@ ORDER BY total_sessions DESC NULLS FIRST, event_date, device_type, country LIMIT
         "serve_filters": _with(*c, select="""
 SELECT DISTINCT 'country' AS filter, country AS value FROM w_tdc
 UNION SELECT DISTINCT 'device', device_type FROM w_tdc"""),
-        "serve_anomalies": _with(*c, select="SELECT * FROM q7"),
+        "serve_anomalies": _with(*c, select="SELECT * FROM q7p"),
         "serve_anomalies_filtered": _with(*c, select="""
 SELECT session_id, user_id, page_url, page_type, round(z_score, 4) AS z_score,
        anomaly_type, anomaly_field, round(anomaly_value, 2) AS anomaly_value,
@@ -631,23 +642,17 @@ LIMIT 500"""),
         "serve_anomaly_counts": _with(*c, select="SELECT * FROM q8"),
         "report_timeline": _with(*c, select="""
 SELECT q3.date,
-  CAST(coalesce((SELECT sum(coalesce(total_sessions, 0)) FROM (
-     SELECT total_sessions, row_number() OVER (ORDER BY total_sessions DESC NULLS FIRST,
-            device_type, country) AS rn
-     FROM w_tdc t WHERE CAST(t.event_date AS VARCHAR) = q3.date) WHERE rn <= 100), 0)
-     AS BIGINT) AS sessions,
-  CAST(coalesce((SELECT count(*) FROM (
-     SELECT row_number() OVER (ORDER BY round(z_score, 4) DESC NULLS FIRST, session_id,
-            anomaly_type) AS rn
-     FROM w_an a WHERE CAST(a.event_date AS VARCHAR) = q3.date AND z_score >= 0)
-     WHERE rn <= 500), 0) AS BIGINT) AS anomalies
+  CAST(coalesce((SELECT sum(coalesce(total_sessions, 0)) FROM w_tdc t
+                 WHERE CAST(t.event_date AS VARCHAR) = q3.date), 0) AS BIGINT) AS sessions,
+  (SELECT count(*) FROM w_an a
+   WHERE CAST(a.event_date AS VARCHAR) = q3.date AND z_score >= 0) AS anomalies
 FROM q3"""),
         "report_sessions_by_device": _with(*c, select="""
 SELECT device_type, CAST(sum(total_sessions) AS BIGINT) AS total_sessions FROM q4
 GROUP BY device_type"""),
         "report_anomaly_severity": _with(*c, select="""
 SELECT *, CASE WHEN z_score > 10 THEN 'high' WHEN z_score > 5 THEN 'med' ELSE 'low' END
-          AS severity FROM q7"""),
+          AS severity FROM q7p"""),
         "report_bounce_bands": _with(*c, select="""
 SELECT *, CASE WHEN CAST(bounce_rate_pct AS DOUBLE) > 80 THEN 'red'
                WHEN CAST(bounce_rate_pct AS DOUBLE) > 60 THEN 'amber' ELSE 'green' END AS band,
@@ -665,7 +670,7 @@ UNION ALL SELECT 'dates', count(*) FROM q3"""),
 SELECT page_url, {_label('page_url', PAGE_LABEL_REWRITES)} AS label FROM q1"""),
         "report_anomaly_labels": _with(*c, select=f"""
 SELECT session_id, anomaly_type, {_label('anomaly_type', ANOMALY_LABEL_REWRITES)}
-       AS type_label, substr(coalesce(session_id, ''), 6, 14) AS session_label FROM q7"""),
+       AS type_label, substr(coalesce(session_id, ''), 6, 14) AS session_label FROM q7p"""),
         "report_top8_remainder": _with(*c, select="""
 SELECT *, greatest(count(*) OVER () - 8, 0) AS more FROM q7
 ORDER BY z_score DESC NULLS FIRST, event_date, session_id, anomaly_type LIMIT 8"""),
@@ -680,23 +685,40 @@ METRIC_SOURCE = {"top_pages_by_time": "(SELECT * FROM tpr WHERE rn <= 20)",
                  "navigation_paths": "np", "anomalies": "an"}
 
 
+# Result-table checks, written out apart from the library's own table specification:
+# (table, key, columns that may not be null, longest strings, declared decimals).
+DDL_CHECKS = [
+    ("top_pages_by_time", ["event_date", "page_url"], None,
+     {"page_url": 512, "page_type": 50}, {"avg_time_seconds": "decimal(10,2)"}),
+    ("bounce_rate", ["event_date", "page_type"], None, {"page_type": 50},
+     {"bounce_rate_pct": "decimal(5,2)"}),
+    ("time_by_device_country", ["event_date", "device_type", "country"], None,
+     {"device_type": 20, "country": 5}, {"avg_time_seconds": "decimal(10,2)"}),
+    ("conversion_funnel", ["event_date", "funnel_stage"], None, {"funnel_stage": 50},
+     {"conversion_rate_pct": "decimal(5,2)"}),
+    ("product_view_vs_cart", ["event_date", "product_id"], None,
+     {"product_id": 20, "category": 50},
+     {"price": "decimal(12,2)", "view_to_cart_rate": "decimal(5,2)"}),
+    ("navigation_paths", ["event_date", "navigation_path"], None, {}, {}),
+    ("anomalies", None, ["event_date", "session_id"],
+     {"session_id": 100, "user_id": 100, "page_url": 512, "page_type": 50,
+      "anomaly_type": 100, "anomaly_field": 100},
+     {"z_score": "decimal(8,4)", "anomaly_value": "decimal(15,4)"}),
+]
+
+
 def violations_sql() -> str:
-    from clickforge.plans.warehouse import TABLES
     parts = []
-    for t, spec in TABLES.items():
+    for t, key, required, lengths, decimals in DDL_CHECKS:
         src = METRIC_SOURCE[t]
-        if spec["key"]:
-            k = ", ".join(spec["key"])
+        if key:
             parts.append(f"SELECT '{t}' AS table_name, 'duplicate_key' AS violation, "
                          f"CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS rows FROM "
-                         f"(SELECT count(*) AS n FROM {src} GROUP BY {k} HAVING count(*) > 1)")
-        for n, typ, length in spec["columns"]:
-            if n in ("detected_at",):
-                continue
-            if length:
-                parts.append(f"SELECT '{t}', 'too_long:{n}', count(*) FILTER "
-                             f"(WHERE length({n}) > {length}) FROM {src}")
-            if typ.startswith("decimal"):
-                parts.append(f"SELECT '{t}', 'overflow:{n}', count(*) FILTER (WHERE {n} IS NOT "
-                             f"NULL AND {_dec(n, typ)} IS NULL) FROM {src}")
+                         f"(SELECT count(*) AS n FROM {src} GROUP BY {', '.join(key)})")
+        checks = {f"null:{n}": f"{n} IS NULL" for n in key or required}
+        checks |= {f"too_long:{n}": f"length({n}) > {m}" for n, m in lengths.items()}
+        checks |= {f"overflow:{n}": f"{n} IS NOT NULL AND {_dec(n, typ)} IS NULL"
+                   for n, typ in decimals.items()}
+        parts += [f"SELECT '{t}', '{name}', count(*) FILTER (WHERE {cond}) FROM {src}"
+                  for name, cond in checks.items()]
     return " UNION ALL ".join(parts)

@@ -14,20 +14,12 @@ TOP_ROWS = 8
 
 
 def timeline(tdc_t: DataFrame, anom_t: DataFrame, bounce_t: DataFrame) -> DataFrame:
-    """Per available date (Q3), the Q5 sessions total and the Q7 row count of that
-    date, oldest first. Both are capped exactly as the per-date API calls are (100
-    device/country rows, 500 anomalies), via per-date ``row_number`` - one job instead of
-    two calls per date."""
-    w_s = Window.partitionBy("event_date").orderBy(
-        F.desc_nulls_first("total_sessions"), "device_type", "country")
-    s = (tdc_t.withColumn("_rn", F.row_number().over(w_s)).filter(F.col("_rn") <= S.SESSION_ROWS)
-              .groupBy("event_date")
-              .agg(F.sum(F.coalesce("total_sessions", F.lit(0))).cast("long").alias("sessions")))
-    w_a = Window.partitionBy("event_date").orderBy(
-        F.desc_nulls_first(F.round("z_score", 4)), "session_id", "anomaly_type")
-    a = (anom_t.filter(F.col("z_score") >= 0)
-               .withColumn("_rn", F.row_number().over(w_a)).filter(F.col("_rn") <= S.ANOMALY_ROWS)
-               .groupBy("event_date").agg(F.count(F.lit(1)).alias("anomalies")))
+    """Per date with data (Q3), the sessions total and the number of anomalies of that
+    date, oldest first: all dates, all rows, one aggregate per table."""
+    s = tdc_t.groupBy("event_date").agg(
+        F.sum(F.coalesce("total_sessions", F.lit(0))).cast("long").alias("sessions"))
+    a = anom_t.filter(F.col("z_score") >= 0).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("anomalies"))
     dates = S.available_dates(bounce_t).select(F.col("date").cast("date").alias("event_date"))
     return (dates.join(s, "event_date", "left").join(a, "event_date", "left")
                  .select(F.col("event_date").cast("string").alias("date"),
@@ -37,7 +29,7 @@ def timeline(tdc_t: DataFrame, anom_t: DataFrame, bounce_t: DataFrame) -> DataFr
 
 
 def sessions_by_device(summary: DataFrame) -> DataFrame:
-    """Page-view totals per device over the Q4 rows."""
+    """Page-view totals per device over all Q4 rows."""
     return summary.groupBy("device_type").agg(
         F.sum("total_sessions").cast("long").alias("total_sessions"))
 
@@ -49,8 +41,8 @@ def anomaly_severity(search: DataFrame) -> DataFrame:
 
 def bounce_bands(bounce: DataFrame) -> DataFrame:
     """Q2 rows with a colour band (> 80 red, > 60 amber, else green) and a bar width
-    relative to the largest rate (one decimal). Q2 has at most 100 rows, so the global
-    ``max`` window is tiny."""
+    relative to the largest rate (one decimal). Q2 has one row per page type and a page
+    size, so the global ``max`` window is tiny."""
     pct = F.col("bounce_rate_pct").cast("double")
     mx = F.max(pct).over(Window.partitionBy())
     return bounce.select("*",
@@ -62,13 +54,14 @@ def bounce_bands(bounce: DataFrame) -> DataFrame:
 def kpis(totals: DataFrame, counts: DataFrame, pages: DataFrame, dates: DataFrame
          ) -> DataFrame:
     """The KPI strip as ``(kpi, value)`` rows: sessions and users (Q5), anomalies
-    and anomaly types (Q8), pages returned (Q1) and available dates (Q3)."""
+    and anomaly types (Q8), pages returned (Q1) and available dates (Q3). Each source is
+    aggregated once; the rows of one source come from one ``stack``."""
+    found = counts.agg(F.coalesce(F.sum("anomalies"), F.lit(0)).cast("long").alias("n"),
+                       F.count(F.lit(1)).alias("types"))
     parts = [
-        totals.select(F.lit("sessions").alias("kpi"), F.col("total_sessions").alias("value")),
-        totals.select(F.lit("users").alias("kpi"), F.col("total_users").alias("value")),
-        counts.agg(F.lit("anomalies").alias("kpi"),
-                   F.coalesce(F.sum("anomalies"), F.lit(0)).cast("long").alias("value")),
-        counts.agg(F.lit("anomaly_types").alias("kpi"), F.count(F.lit(1)).alias("value")),
+        totals.selectExpr("stack(2, 'sessions', total_sessions, 'users', total_users) "
+                          "as (kpi, value)"),
+        found.selectExpr("stack(2, 'anomalies', n, 'anomaly_types', types) as (kpi, value)"),
         pages.agg(F.lit("pages").alias("kpi"), F.count(F.lit(1)).alias("value")),
         dates.agg(F.lit("dates").alias("kpi"), F.count(F.lit(1)).alias("value")),
     ]
@@ -95,9 +88,10 @@ def anomaly_labels(search: DataFrame) -> DataFrame:
 
 
 def top8_remainder(search: DataFrame) -> DataFrame:
-    """The first 8 Q7 rows (z desc) with the count of rows not shown. Q7 is capped at
-    500 rows, so the whole-frame count window is bounded."""
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    return (search.withColumn("more", F.greatest(n - TOP_ROWS, F.lit(0)))
-                  .orderBy(F.desc_nulls_first("z_score"), "event_date", "session_id",
-                           "anomaly_type").limit(TOP_ROWS))
+    """The first 8 Q7 rows (z desc) with the count of all rows not shown: a top-k and a
+    global count, joined on a constant (8 rows and 1 row)."""
+    top = search.orderBy(F.desc_nulls_first("z_score"), "event_date", "session_id",
+                         "anomaly_type").limit(TOP_ROWS)
+    rest = search.agg(F.greatest(F.count(F.lit(1)) - TOP_ROWS, F.lit(0)).alias("more"))
+    return top.withColumn("_k", F.lit(0)).join(
+        F.broadcast(rest.withColumn("_k", F.lit(0))), "_k").drop("_k")

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 # Accepted arguments.
 METRICS = ("bounce_rate", "time_on_page")
 DEVICES = ("mobile", "desktop", "tablet", "unknown")
-MAX_LIMIT, DEFAULT_LIMIT = 100, 20
+DEFAULT_LIMIT = 20
+# Page sizes of the published listings. Listings take them as an explicit
+# ``limit``; totals and roll-ups read every row.
 SESSION_ROWS, ANOMALY_ROWS, DATE_ROWS = 100, 500, 30
 
 
@@ -35,11 +37,21 @@ def check_date(date: str | None) -> str | None:
     return date
 
 
-def check_limit(limit) -> int:
+def check_limit(limit) -> int | None:
+    """A page size of at least 1, honoured as given; ``None`` means every row."""
+    if limit is None:
+        return None
     try:
-        return max(1, min(int(limit), MAX_LIMIT))
+        n = int(limit)
     except (TypeError, ValueError):
-        raise BadRequest("limit must be an integer between 1 and 100") from None
+        raise BadRequest("limit must be an integer of at least 1") from None
+    if n < 1:
+        raise BadRequest("limit must be an integer of at least 1")
+    return n
+
+
+def _page(df: DataFrame, n: int | None) -> DataFrame:
+    return df if n is None else df.limit(n)
 
 
 def check_metric(metric: str) -> str:
@@ -76,7 +88,7 @@ def top_pages(top_pages_t: DataFrame, date: str | None = None, limit=DEFAULT_LIM
     g = _on_date(top_pages_t, date).groupBy("page_url", "page_type").agg(
         F.round(F.avg("avg_time_seconds"), 2).cast("decimal(12,2)").alias("avg_time_seconds"),
         F.sum("total_visits").cast("long").alias("total_visits"))
-    return g.orderBy(F.desc_nulls_first("avg_time_seconds"), "page_url", "page_type").limit(n)
+    return _page(g.orderBy(F.desc_nulls_first("avg_time_seconds"), "page_url", "page_type"), n)
 
 
 def bounce_summary(bounce_t: DataFrame, date: str | None = None, limit=DEFAULT_LIMIT
@@ -87,20 +99,22 @@ def bounce_summary(bounce_t: DataFrame, date: str | None = None, limit=DEFAULT_L
         F.sum("total_sessions").cast("long").alias("total_sessions"),
         F.sum("bounce_sessions").cast("long").alias("bounce_sessions"),
         F.round(F.avg("bounce_rate_pct"), 2).cast("decimal(7,2)").alias("bounce_rate_pct"))
-    return g.orderBy(F.desc_nulls_first("bounce_rate_pct"), "page_type").limit(n)
+    return _page(g.orderBy(F.desc_nulls_first("bounce_rate_pct"), "page_type"), n)
 
 
-def available_dates(bounce_t: DataFrame) -> DataFrame:
-    """Q3: the newest 30 dates with data, as ISO text."""
-    d = bounce_t.select("event_date").distinct().orderBy(F.desc("event_date")).limit(DATE_ROWS)
-    return d.select(F.col("event_date").cast("string").alias("date"))
+def available_dates(bounce_t: DataFrame, limit=None) -> DataFrame:
+    """Q3: the dates with data, newest first, as ISO text (the published listing shows the
+    newest ``DATE_ROWS``)."""
+    d = bounce_t.select("event_date").distinct().orderBy(F.desc("event_date"))
+    return _page(d, check_limit(limit)).select(F.col("event_date").cast("string").alias("date"))
 
 
 def session_summary(tdc_t: DataFrame, date: str | None = None, country: str | None = None,
-                    device: str | None = None) -> DataFrame:
-    """Q4: device/country rows, most page views first, 100 rows. The country filter is
-    case-insensitive on both sides (the clean job lower-cases, the API upper-cases)."""
-    date, device = check_date(date), check_device(device)
+                    device: str | None = None, limit=None) -> DataFrame:
+    """Q4: device/country rows, most page views first; every row unless a page size is
+    given. The country filter is case-insensitive on both sides (the clean job lower-cases,
+    the API upper-cases)."""
+    date, device, n = check_date(date), check_device(device), check_limit(limit)
     preds = []
     if date:
         preds.append(F.col("event_date") == F.lit(date).cast("date"))
@@ -109,16 +123,15 @@ def session_summary(tdc_t: DataFrame, date: str | None = None, country: str | No
     if device:
         preds.append(F.col("device_type") == device)
     df = tdc_t.filter(reduce(lambda a, b: a & b, preds)) if preds else tdc_t
-    return (df.orderBy(F.desc_nulls_first("total_sessions"), "event_date", "device_type",
-                       "country")
-              .limit(SESSION_ROWS)
-              .select("device_type", "country",
-                      F.col("event_date").cast("string").alias("event_date"),
-                      "avg_time_seconds", "total_sessions", "unique_users"))
+    df = df.orderBy(F.desc_nulls_first("total_sessions"), "event_date", "device_type",
+                    "country")
+    return _page(df, n).select("device_type", "country",
+                               F.col("event_date").cast("string").alias("event_date"),
+                               "avg_time_seconds", "total_sessions", "unique_users")
 
 
 def session_totals(summary: DataFrame) -> DataFrame:
-    """Q5: totals over the (limited) Q4 rows, nulls as 0."""
+    """Q5: totals over all Q4 rows, nulls as 0."""
     return summary.agg(
         F.coalesce(F.sum(F.coalesce("total_sessions", F.lit(0))), F.lit(0)).cast("long")
          .alias("total_sessions"),
@@ -135,10 +148,11 @@ def available_filters(tdc_t: DataFrame) -> DataFrame:
 
 
 def anomaly_search(anom_t: DataFrame, date: str | None = None, anomaly_type: str | None = None,
-                   min_zscore=0) -> DataFrame:
+                   min_zscore=0, limit=None) -> DataFrame:
     """Q7: anomalies with ``z_score >= min_zscore``, optional date and exact type, z
-    rounded to 4 and value to 2 places, highest first, 500 rows."""
-    date, z = check_date(date), check_zscore(min_zscore)
+    rounded to 4 and value to 2 places, highest first; every row unless a page size is
+    given."""
+    date, z, n = check_date(date), check_zscore(min_zscore), check_limit(limit)
     df = anom_t.filter(F.col("z_score") >= z)
     df = _on_date(df, date)
     if anomaly_type:
@@ -149,12 +163,11 @@ def anomaly_search(anom_t: DataFrame, date: str | None = None, anomaly_type: str
             F.col("event_date").cast("string").alias("event_date")]
     if "detected_at" in anom_t.columns:
         cols.append("detected_at")
-    return (df.orderBy(F.desc_nulls_first("z_score"), "event_date", "session_id",
-                       "anomaly_type")
-              .limit(ANOMALY_ROWS).select(*cols))
+    df = df.orderBy(F.desc_nulls_first("z_score"), "event_date", "session_id", "anomaly_type")
+    return _page(df, n).select(*cols)
 
 
 def anomaly_counts(search: DataFrame) -> DataFrame:
-    """Q8: per-type counts over the (limited) Q7 rows."""
+    """Q8: per-type counts over all Q7 rows."""
     return search.groupBy(F.coalesce("anomaly_type", F.lit("unknown")).alias("anomaly_type")) \
                  .agg(F.count(F.lit(1)).alias("anomalies"))

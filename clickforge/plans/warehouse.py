@@ -2,8 +2,10 @@
 view (W2).
 
 The load contract is inferred from the result-table DDL: cast each metric column to its
-declared type, keep one row per unique key, stamp ``loaded_at``. Decimal casts use
-``try_cast`` so an overflow becomes null and is reported, instead of failing the load.
+declared type, keep one row per unique key, stamp ``loaded_at``. Decimals are rounded to
+the declared scale but stored with 38 digits, so a value beyond the declared precision (an
+extreme z-score) is reported by :func:`key_violations` and not lost. Rows that are null in
+a ``NOT NULL`` column are reported too and kept out.
 """
 
 from __future__ import annotations
@@ -69,14 +71,27 @@ TABLES = {
 }
 
 
+# Columns that may not be null, beside those of the unique key.
+REQUIRED = {"anomalies": ["event_date", "session_id"]}
+
+
+def required_columns(table: str) -> list[str]:
+    return TABLES[table]["key"] or REQUIRED[table]
+
+
 def _typed(name: str, typ: str) -> Column:
     c = F.col(name)
     if typ.startswith("decimal"):
         scale = int(typ.rstrip(")").split(",")[1])
-        return F.round(c, scale).try_cast(typ)
+        return F.round(c, scale).try_cast(f"decimal(38,{scale})")
     return c.cast(typ)
 
 
+def _overflows(name: str, typ: str) -> Column:
+    scale = int(typ.rstrip(")").split(",")[1])
+    return F.col(name).isNotNull() & F.round(F.col(name), scale).try_cast(typ).isNull()
+
+
 def load_table(metric: DataFrame, table: str, loaded_at: Column | None = None,
                with_loaded_at: bool = True) -> DataFrame:
     """A metric DataFrame shaped as result table ``table``.
@@ -87,7 +102,8 @@ def load_table(metric: DataFrame, table: str, loaded_at: Column | None = None,
     """
     spec = TABLES[table]
     cols = [(n, t) for n, t, _ in spec["columns"] if n in metric.columns]
-    df = metric.select(*[_typed(n, t).alias(n) for n, t in cols])
+    df = metric.select(*[_typed(n, t).alias(n) for n, t in cols]) \
+               .dropna(subset=required_columns(table))
     if spec["key"]:
         order = [F.col(c).desc() if d == "desc" else F.col(c).asc()
                  for c, d in spec["prefer"]]
@@ -100,33 +116,30 @@ def load_table(metric: DataFrame, table: str, loaded_at: Column | None = None,
 
 
 def key_violations(metric: DataFrame, table: str) -> DataFrame:
-    """W1 report: ``(table_name, violation, rows)`` for duplicate keys, over-long strings and
-    decimal overflows that :func:`load_table` would drop or null out."""
+    """W1 report: ``(table_name, violation, rows)`` for duplicate keys, over-long strings,
+    values beyond the declared precision and nulls in columns that may not hold one. One
+    grouped aggregate by key and one over the keys (no key: one global aggregate)."""
     spec = TABLES[table]
-    checks = []
-    if spec["key"]:
-        dup = metric.groupBy(*spec["key"]).agg(F.count(F.lit(1)).alias("n")) \
-                    .filter("n > 1").agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
-                                         .cast("long").alias("rows"))
-        checks.append(dup.select(F.lit("duplicate_key").alias("violation"), "rows"))
-    conds = {}
+    conds = {f"null:{n}": F.col(n).isNull() for n in required_columns(table)}
     for n, t, length in spec["columns"]:
         if n not in metric.columns:
             continue
         if length:
             conds[f"too_long:{n}"] = F.length(n) > length
         if t.startswith("decimal"):
-            conds[f"overflow:{n}"] = F.col(n).isNotNull() & _typed(n, t).isNull()
-    if conds:
-        agg = metric.agg(*[F.count_if(c).alias(k.replace(":", "__"))
-                           for k, c in conds.items()])
-        stack = ", ".join(f"'{k}', `{k.replace(':', '__')}`" for k in conds)
-        checks.append(agg.selectExpr(f"stack({len(conds)}, {stack}) as (violation, rows)"))
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out.select(F.lit(table).alias("table_name"), "violation",
-                      F.col("rows").cast("long").alias("rows"))
+            conds[f"overflow:{n}"] = _overflows(n, t)
+    names = {k: f"_c{i}" for i, k in enumerate(conds)}
+    counted = [F.count_if(c).alias(names[k]) for k, c in conds.items()]
+    if spec["key"]:
+        by_key = metric.groupBy(*spec["key"]).agg(F.count(F.lit(1)).alias("_n"), *counted)
+        names = {"duplicate_key": "_dup", **names}
+        agg = by_key.agg(F.sum(F.col("_n") - 1).alias("_dup"),
+                         *[F.sum(c).alias(c) for c in list(names.values())[1:]])
+    else:
+        agg = metric.agg(*counted)
+    stack = ", ".join(f"'{k}', coalesce(`{c}`, 0)" for k, c in names.items())
+    return agg.selectExpr(f"stack({len(names)}, {stack}) as (violation, rows)").select(
+        F.lit(table).alias("table_name"), "violation", F.col("rows").cast("long").alias("rows"))
 
 
 def daily_summary(funnel: DataFrame, bounce: DataFrame, anomalies: DataFrame) -> DataFrame:

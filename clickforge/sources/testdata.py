@@ -27,22 +27,9 @@ VIEW_OF = {"page_view": "view", "click": "click", "product_view": "error",
            "cart_event": "purchase", "search": "signup"}
 
 
-# Row key of each table, used to spread an under-split scan (see :func:`table`).
-ROW_KEY = {"events": "event_id", "orders": "o_orderkey", "customer": "c_custkey"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one test table. Parquet splits at row-group granularity, and the test files
-    hold few row groups (``events`` at sf0.1 is one), which would leave all but one core
-    idle in the CPU-heavy stages that follow. When the scan has fewer splits than the
-    session has cores, its rows are hash-spread on the row key across the cores. At
-    cluster scale scans have many more splits than cores and nothing is added."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    key = ROW_KEY.get(name)
-    return df.repartition(cores, key) if key else df.repartition(cores)
+    """Scan one test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _k() -> Column:

@@ -5,10 +5,12 @@ import pytest
 from clickforge.plans import serving as S
 
 
-def test_limit_clamped():
-    assert S.check_limit(999) == 100
-    assert S.check_limit(0) == 1
+def test_limit_is_honoured_or_rejected():
+    assert S.check_limit(999) == 999
     assert S.check_limit("20") == 20
+    assert S.check_limit(None) is None
+    with pytest.raises(S.BadRequest):
+        S.check_limit(0)
     with pytest.raises(S.BadRequest):
         S.check_limit("abc")
 
