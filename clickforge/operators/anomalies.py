@@ -1,9 +1,9 @@
 """Statistical anomaly detectors (z-score, IQR) and the unified anomaly table.
 
 Statistics are computed per batch with one aggregate (partial on the map side) and joined
-back to the rows with a broadcast: the statistics table has one row per batch key value
-(calendar days), so its size is bounded by the number of days in the input, never by
-the number of events. Nothing is collected to the driver, so many days run in one job.
+back to the rows; the statistics table has one row per batch key value (calendar days), and
+AQE broadcasts it when its measured size allows. Nothing is collected to the driver, so many
+days run in one job.
 """
 
 from __future__ import annotations
@@ -19,10 +19,7 @@ RESULT_COLUMNS = ["z_score", "anomaly_type", "anomaly_field", "anomaly_value"]
 
 def _attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
     if by:
-        # Calendar days bound the statistics table (one row per day in the input), so it
-        # is broadcast. For any other batch key the hint is left to AQE, which broadcasts
-        # only when the measured size of the aggregate is below its threshold.
-        return df.join(F.broadcast(stats) if by == ["event_date"] else stats, by)
+        return df.join(stats, by)
     # Whole input as one batch: a global aggregate is exactly one row; it is joined on a
     # constant key, always broadcast (never a shuffle of all rows onto that key).
     return df.withColumn("_batch", F.lit(0)).join(
@@ -37,26 +34,28 @@ def _tag(df: DataFrame, col: str, prefix: str, z: Column) -> DataFrame:
 
 
 def zscore_anomalies(df: DataFrame, col: str, threshold: float = 3.0,
-                     by="event_date") -> DataFrame:
+                     by="event_date", min_rows: int = MIN_ROWS) -> DataFrame:
     """A1: rows whose ``|x - mean| / stddev_samp`` is strictly above ``threshold``.
 
     A batch yields nothing when its standard deviation is null or 0 or it has fewer
-    than 10 non-null values (A7: an empty result keeps the full schema).
+    than ``min_rows`` non-null values (A7: an empty result keeps the full schema).
     """
     by = batch_keys(by)
     stats = df.groupBy(*by).agg(F.avg(col).alias("_mean"),
                                 F.stddev_samp(col).alias("_std"),
                                 F.count(col).alias("_cnt"))
-    ok = F.col("_std").isNotNull() & (F.col("_std") != 0) & (F.col("_cnt") >= MIN_ROWS)
+    ok = F.col("_std").isNotNull() & (F.col("_std") != 0) & (F.col("_cnt") >= min_rows)
     z = F.when(ok, F.abs((F.col(col) - F.col("_mean")) / F.col("_std")))
     out = _tag(_attach(df, stats, by), col, "zscore", z)
     return out.filter(F.col("z_score") > threshold).drop("_mean", "_std", "_cnt")
 
 
 def iqr_anomalies(df: DataFrame, col: str, factor: float = 3.0, by="event_date",
-                  exact: bool = False, accuracy: int = 10000) -> DataFrame:
+                  exact: bool = False, accuracy: int = 10000,
+                  min_rows: int = MIN_ROWS) -> DataFrame:
     """A2: rows outside ``[q1 - factor*iqr, q3 + factor*iqr]`` (strict), scored
-    ``|x - (q1+q3)/2| / (iqr/2)``. Batches with fewer than 10 rows or IQR 0 yield nothing.
+    ``|x - (q1+q3)/2| / (iqr/2)``. Batches with fewer than ``min_rows`` rows or IQR 0 yield
+    nothing.
 
     ``exact=False`` (default) uses the bounded ``percentile_approx`` sketch (relative rank
     error 1/``accuracy``), which merges map-side and never holds a batch's values.
@@ -75,7 +74,7 @@ def iqr_anomalies(df: DataFrame, col: str, factor: float = 3.0, by="event_date",
         stats = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_cnt"), q.alias("_q")) \
                   .select(*by, "_cnt", F.col("_q")[0].alias("_q1"), F.col("_q")[1].alias("_q3"))
     iqr = F.col("_q3") - F.col("_q1")
-    ok = (F.col("_cnt") >= MIN_ROWS) & (iqr != 0)
+    ok = (F.col("_cnt") >= min_rows) & (iqr != 0)
     x = F.col(col)
     outside = (x < F.col("_q1") - factor * iqr) | (x > F.col("_q3") + factor * iqr)
     z = F.when(ok, F.abs((x - (F.col("_q1") + F.col("_q3")) / 2) / (iqr / 2)))

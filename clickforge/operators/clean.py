@@ -7,6 +7,8 @@ normalise strings, add ``event_date``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,10 @@ from clickforge.schemas import (IMPUTATION, KEY_COLUMNS, NORMALISED_COLUMNS,
                                 RAW_SCHEMAS, RAW_TIMESTAMP_FORMAT)
 
 
-def clean_events(raw: DataFrame, event_type: str, as_of: Column | None = None) -> DataFrame:
-    """C1-C8 for one event type.
+def clean_events(raw: DataFrame, event_type: str, as_of: Column | None = None,
+                 keep: tuple = ()) -> DataFrame:
+    """C1-C8 for one event type. Columns in ``keep`` (a batch day) are carried along; records
+    are the same only if they agree in them too.
 
     ``dropDuplicates()`` is an aggregate over all declared columns: Spark keeps one copy
     per map task before the shuffle, so a record repeated millions of times is reduced
@@ -23,7 +27,7 @@ def clean_events(raw: DataFrame, event_type: str, as_of: Column | None = None) -
     ``as_of`` defaults to ``current_timestamp()`` (C6).
     """
     cols = [f.name for f in RAW_SCHEMAS[event_type].fields]
-    df = raw.select(*cols).dropDuplicates()                                   # C1
+    df = raw.select(*keep, *cols).dropDuplicates()                            # C1
     df = df.dropna(subset=list(KEY_COLUMNS))                                  # C2
     fills = {c: v for c, v in IMPUTATION.items() if c in cols}
     df = df.fillna(fills)                                                     # C3
@@ -37,39 +41,19 @@ def clean_events(raw: DataFrame, event_type: str, as_of: Column | None = None) -
     return df.withColumn("event_date", F.to_date("event_timestamp"))          # C8
 
 
-def clean_all(raw_by_type: dict[str, DataFrame], as_of: Column | None = None,
-              ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Clean every type; a type whose plan fails to build is reported, the others
-    continue. Returns ``(clean frames, {event_type: error})``."""
-    out, failures = {}, {}
-    for et, raw in raw_by_type.items():
-        try:
-            out[et] = clean_events(raw, et, as_of)
-        except Exception as e:  # noqa: BLE001 - isolation is the feature
-            failures[et] = f"{type(e).__name__}: {e}"
-    return out, failures
-
-
-def row_counts(raw_by_type: dict[str, DataFrame],
-               clean_by_type: dict[str, DataFrame]) -> DataFrame:
-    """C10 as one DataFrame: raw and clean row counts per type, from one union and one
-    aggregate (no per-type count actions)."""
+def row_counts(raw_by_type: dict[str, DataFrame], as_of: Column | None = None) -> DataFrame:
+    """C10 as one DataFrame: raw and clean row counts per type. Each type is parsed once: one
+    group per distinct record counts the copies, and whether cleaning keeps the record is a
+    flag of the group."""
+    limit = F.current_timestamp() if as_of is None else as_of
+    ts = F.try_to_timestamp(F.col("timestamp"), F.lit(RAW_TIMESTAMP_FORMAT))
+    kept = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in KEY_COLUMNS]) \
+        & F.coalesce(ts <= limit, F.lit(False))
     parts = []
-    for et, df in raw_by_type.items():
-        parts.append(df.select(F.lit(et).alias("event_type"), F.lit(0).alias("is_clean")))
-    for et, df in clean_by_type.items():
-        parts.append(df.select(F.lit(et).alias("event_type"), F.lit(1).alias("is_clean")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("event_type").agg(
-        F.count_if(F.col("is_clean") == 0).alias("raw_rows"),
-        F.count_if(F.col("is_clean") == 1).alias("clean_rows"))
-
-
-def observed(df: DataFrame, name: str):
-    """C10 without extra actions: attach an ``Observation`` counting rows as the plan
-    runs (read it after the write action: ``obs.get["rows"]``)."""
-    from pyspark.sql import Observation
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    for et, raw in raw_by_type.items():
+        cols = [f.name for f in RAW_SCHEMAS[et].fields]
+        copies = raw.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(copies.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("raw_rows"),
+                                F.count_if(kept).alias("clean_rows"))
+                     .select(F.lit(et).alias("event_type"), "raw_rows", "clean_rows"))
+    return reduce(DataFrame.unionByName, parts)

@@ -34,10 +34,10 @@ def funnel_stage_users(pv: DataFrame, prd: DataFrame, crt: DataFrame,
     per_user = u.groupBy(*by, "user_id").agg(*[F.max(c).alias(c) for c in
                                                ("s1", "s2", "s3", "s4")])
     return per_user.groupBy(*by).agg(
-        F.sum("s1").cast("long").alias("page_view_users"),
-        F.sum("s2").cast("long").alias("product_view_users"),
-        F.sum("s3").cast("long").alias("cart_add_users"),
-        F.sum("s4").cast("long").alias("checkout_users"))
+        F.coalesce(F.sum("s1"), F.lit(0)).cast("long").alias("page_view_users"),
+        F.coalesce(F.sum("s2"), F.lit(0)).cast("long").alias("product_view_users"),
+        F.coalesce(F.sum("s3"), F.lit(0)).cast("long").alias("cart_add_users"),
+        F.coalesce(F.sum("s4"), F.lit(0)).cast("long").alias("checkout_users"))
 
 
 def conversion_funnel(pv: DataFrame, prd: DataFrame, crt: DataFrame,

@@ -65,14 +65,3 @@ def time_by_device_country(pv: DataFrame, min_rows: int = 3, by="event_date") ->
                    F.count("session_id").alias("total_sessions"),
                    F.count_distinct("user_id").alias("unique_users"))
               .filter(F.col("total_sessions") >= min_rows))
-
-
-def page_metrics(pv: DataFrame, by="event_date", min_visits: int = 5,
-                 top_n: int = 20) -> dict[str, DataFrame]:
-    """M1-M3 together over one input (M4). The three plans share the scan; the caller
-    decides whether to persist ``pv`` (useful when it is an expensive derived frame)."""
-    return {
-        "top_pages_by_time": top_pages_by_time(pv, min_visits, top_n, by),
-        "bounce_rate": bounce_rate(pv, by),
-        "time_by_device_country": time_by_device_country(pv, by=by),
-    }

@@ -22,26 +22,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickforge.operators import validate as V
+from clickforge.sources.raw import QUARANTINE_PREFIX, object_key
 
-QUARANTINE_PREFIX = "quarantine/"
 MAX_LISTED_ERRORS = 100
 
 
-def source_key(path: Column, root: str | None = None) -> Column:
-    """The object key of a file: its path relative to ``root`` (the raw bucket root), or the
-    decoded path itself when no root is given."""
-    p = F.url_decode(path)
-    if root:
-        # the scan reports URIs (``file:/...``, ``s3a://bucket/...``): cut after the root
-        prefix = root.split("://")[-1].rstrip("/") + "/"
-        pos = F.locate(prefix, p)
-        p = F.when(pos > 0, p.substr(pos + len(prefix), F.lit(1 << 30))).otherwise(p)
-    return p
-
-
-def ordered_errors(ann: DataFrame) -> DataFrame:
+def ordered_errors(ann: DataFrame, records: DataFrame | None = None) -> DataFrame:
     """Errors of every record with their position inside the record (check order)."""
-    idx = V.with_record_index(ann)
+    idx = V.with_record_index(ann, records=records)
     return idx.select("file_path", "record_index",
                       F.col("err_user_id").alias("user_id"),
                       F.col("err_session_id").alias("session_id"),
@@ -52,12 +40,16 @@ def ordered_errors(ann: DataFrame) -> DataFrame:
 
 def quarantine_metadata(ann: DataFrame, quarantined_at: Column | None = None,
                         root: str | None = None,
-                        max_listed: int = MAX_LISTED_ERRORS) -> DataFrame:
+                        max_listed: int = MAX_LISTED_ERRORS,
+                        records: DataFrame | None = None) -> DataFrame:
     """One row per file with at least one error: ``file_path, source_key, quarantine_key,
     error_key, quarantined_at`` (ISO-8601 UTC text), ``error_count`` (all errors) and
-    ``errors`` (the first ``max_listed`` as structs)."""
-    errs = ordered_errors(ann)
-    counts = errs.groupBy("file_path").agg(F.count(F.lit(1)).alias("error_count"))
+    ``errors`` (a preview: the first ``max_listed`` as structs; the full table of errors is
+    :func:`clickforge.operators.validate.validation_errors`)."""
+    n_errors = F.when(F.col("is_record"), F.size("errors")).otherwise(0)
+    counts = ann.groupBy("file_path").agg(F.sum(n_errors).alias("error_count")) \
+                .filter("error_count > 0")
+    errs = ordered_errors(ann, records)
     w = Window.partitionBy("file_path").orderBy("record_index", "pos")
     first = errs.withColumn("_rn", F.row_number().over(w)) \
                 .filter(F.col("_rn") <= max_listed)
@@ -66,7 +58,7 @@ def quarantine_metadata(ann: DataFrame, quarantined_at: Column | None = None,
             F.col("_rn"), F.col("record_index"), F.col("user_id"), F.col("session_id"),
             F.col("reason")))).alias("_e"))
     at = quarantined_at if quarantined_at is not None else F.current_timestamp()
-    key = source_key(F.col("file_path"), root)
+    key = object_key(F.col("file_path"), root)
     return counts.join(listed, "file_path").select(
         "file_path", key.alias("source_key"),
         F.concat(F.lit(QUARANTINE_PREFIX), key).alias("quarantine_key"),
@@ -79,7 +71,11 @@ def quarantine_metadata(ann: DataFrame, quarantined_at: Column | None = None,
 def quarantine_lines(lines: DataFrame, metadata: DataFrame) -> DataFrame:
     """Every line of the flagged files (blank and non-JSON lines included: the copy is of
     the whole file): ``file_path, source_key, quarantine_key, block_start, line_id,
-    line``. Order inside a file is ``(block_start, line_id)``."""
+    line``. Order inside a file is ``(block_start, line_id)``.
+
+    The join is on ``(file_path, block_start)``, so that the lines of one big flagged file
+    are spread over its splits."""
     flagged = metadata.select("file_path", "source_key", "quarantine_key")
+    splits = lines.select("file_path", "block_start").distinct().join(flagged, "file_path")
     return lines.select("file_path", "block_start", "line_id", "line") \
-                .join(flagged, "file_path")
+                .join(splits, ["file_path", "block_start"])

@@ -3,10 +3,10 @@
 Input is a DataFrame of JSONL lines (see :func:`clickforge.sources.raw.read_lines`) with
 ``file_path, event_type, block_start, line_id, line, v`` where ``v`` is the parsed
 ``variant`` (null for blank and non-JSON lines). Every check is a Column expression
-generated from the rule table (:mod:`clickforge.rules`), evaluated per row inside
-whole-stage codegen; there is no UDF and no per-file Python loop. Files of all event
-types are validated in one pass: the rule set is selected with a ``CASE`` on the
-file's event type.
+generated from the rule table (:mod:`clickforge.rules`), evaluated per row on the
+JVM by higher-order functions over the record's fields (interpreted, not generated code);
+there is no UDF and no per-file Python loop. Files of all event types are validated in one
+pass: the rule set is looked up by the file's event type.
 
 Per record the checks run in the reference order: unknown type (single error), required
 fields (missing / JSON null; if any fire, nothing else is checked), types, enums (even
@@ -36,12 +36,14 @@ def _py_type(fv: Column) -> Column:
     """Python type name of a parsed JSON value (used in messages and kind checks).
 
     The variant parser keeps integer literals as BIGINT and any literal with a fraction
-    or exponent as DECIMAL/DOUBLE (``46.0`` becomes ``DECIMAL(2,0)``), so every DECIMAL
-    is a Python ``float``.
+    or exponent as DECIMAL/DOUBLE (``46.0`` becomes ``DECIMAL(2,0)``), so a DECIMAL is a
+    Python ``float``, unless it has more digits than a BIGINT holds and no fraction: then
+    it was an integer literal (the parser drops the fraction of shorter ones only).
     """
     t = F.schema_of_variant(fv)
+    digits = F.regexp_extract(t, r"^DECIMAL\(([0-9]+),0\)$", 1).try_cast("int")
     return (F.when(t == "STRING", "str")
-             .when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "int")
+             .when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | (digits >= 19), "int")
              .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), "float")
              .when(t == "BOOLEAN", "bool")
              .when(t.startswith("ARRAY"), "list")
@@ -58,6 +60,8 @@ def _as_text(fv: Column, pt: Column) -> Column:
     return (F.when(pt == "str", num)
              .when(pt == "bool", F.when(F.try_variant_get(fv, "$", "boolean"), "True")
                                   .otherwise("False"))
+             .when((pt == "float") & num.endswith("Infinity"),
+                   F.replace(num, F.lit("Infinity"), F.lit("inf")))
              .when(whole_float, F.concat(num, F.lit(".0")))
              .when(pt.isin("int", "float"), num)
              .otherwise(F.to_json(fv)))
@@ -205,9 +209,10 @@ def annotate(lines: DataFrame, profile: str = "ingest") -> DataFrame:
                        err_session_id=F.when(is_rec, ident("session_id"))).drop("_i")
 
 
-def with_record_index(ann: DataFrame, only_errors: bool = True) -> DataFrame:
-    """Position of each record among the parsed records of its file (0-based); by default
-    computed for records with errors only.
+def with_record_index(ann: DataFrame, records: DataFrame | None = None) -> DataFrame:
+    """Records with errors and their position among the parsed records of their file
+    (0-based). ``records`` are the parsed lines that ``ann`` was made from: records are
+    counted from them, so that the count does not run the checks a second time.
 
     Exact and skew-proof: a window per *split* (file, block_start) - bounded by the
     maximum split size - counts records before each line in scan order; a second window
@@ -215,26 +220,25 @@ def with_record_index(ann: DataFrame, only_errors: bool = True) -> DataFrame:
     narrow projection (no line text) is shuffled.
     """
     split = ["file_path", "block_start"]
-    keep = ["line"] if not only_errors else []
     narrow = ann.filter(F.col("is_record")).select(
-        *split, "line_id", "errors", "err_user_id", "err_session_id", "event_type", *keep)
+        *split, "line_id", "errors", "err_user_id", "err_session_id", "event_type")
     w = Window.partitionBy(*split).orderBy("line_id")
     local = narrow.withColumn("_local", F.row_number().over(w) - 1)
-    counts = narrow.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"))
+    parsed = narrow if records is None else records.filter(F.col("v").isNotNull())
+    counts = parsed.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"))
     wf = Window.partitionBy("file_path").orderBy("block_start") \
                .rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(wf), F.lit(0))) \
                     .drop("_n")
-    bad = local.filter(F.size("errors") > 0) if only_errors else local
-    return bad.join(offsets, split).withColumn(
+    return local.filter(F.size("errors") > 0).join(offsets, split).withColumn(
         "record_index", (F.col("_offset") + F.col("_local")).cast("long")) \
         .drop("_offset", "_local")
 
 
-def validation_errors(ann: DataFrame) -> DataFrame:
+def validation_errors(ann: DataFrame, records: DataFrame | None = None) -> DataFrame:
     """V8: one row per error ``(file_path, event_type, record_index, user_id, session_id,
     error_code, field, reason)``."""
-    idx = with_record_index(ann)
+    idx = with_record_index(ann, records)
     return idx.select("file_path", "event_type", "record_index",
                       F.col("err_user_id").alias("user_id"),
                       F.col("err_session_id").alias("session_id"),
@@ -260,46 +264,45 @@ def validation_summary(ann: DataFrame) -> DataFrame:
 
 def ingest_metrics(summary: DataFrame, listing: DataFrame | None = None) -> DataFrame:
     """V9 + V11 per file: the counters the ingest function publishes. ``listing``
-    (``file_path, file_size`` of every input file, e.g. from :func:`list_files`) adds
-    files that have no line at all; files with zero parsed records count as empty."""
+    (``file_path, file_size`` of every input file, see
+    :func:`clickforge.sources.raw.list_files`) adds files that have no line at all; files
+    with zero parsed records count as empty. A listed file that has bytes but gave no line
+    could not be read and counts as a processing error instead."""
     s = summary
+    unread = F.lit(False)
     if listing is not None:
         from clickforge.sources.raw import event_type_from_path
-        s = listing.join(summary.drop("file_size"), "file_path", "left") \
+        s = listing.join(summary.drop("file_size", "event_type"), "file_path", "left") \
                    .withColumn("event_type", event_type_from_path(F.col("file_path")))
+        unread = F.col("records").isNull() & (F.col("file_size") > 0)
     records = F.coalesce("records", F.lit(0))
     empty = records == 0
     inv = F.coalesce("invalid_count", F.lit(0))
     return s.select(
         "file_path", "event_type",
-        F.when(empty, 1).otherwise(0).alias("EmptyFiles"),
+        F.when(empty & ~unread, 1).otherwise(0).alias("EmptyFiles"),
         F.when(empty, 0).otherwise(1).alias("FilesProcessed"),
         F.when(~empty & (inv > 0), 1).otherwise(0).alias("FilesWithErrors"),
         F.when(empty, 0).otherwise(inv).cast("long").alias("InvalidRecords"),
         F.when(empty, 0).otherwise(F.coalesce("valid_count", F.lit(0))).cast("long")
          .alias("ValidRecords"),
         F.when(empty, 0).otherwise(F.col("file_size")).cast("long").alias("FileSizeBytes"),
-        F.lit(0).alias("ProcessingErrors"))
+        F.when(unread, 1).otherwise(0).alias("ProcessingErrors"))
 
 
 def run_summary(metrics: DataFrame) -> DataFrame:
     """``processed_files`` and ``total_errors`` over a run."""
-    return metrics.agg(F.sum("FilesProcessed").cast("long").alias("processed_files"),
-                       F.sum("InvalidRecords").cast("long").alias("total_errors"))
-
-
-def split_valid(ann: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid records, invalid records) from one annotated frame."""
-    rec = ann.filter(F.col("is_record"))
-    return rec.filter(F.size("errors") == 0), rec.filter(F.size("errors") > 0)
+    return metrics.agg(
+        F.coalesce(F.sum("FilesProcessed"), F.lit(0)).cast("long").alias("processed_files"),
+        F.coalesce(F.sum("InvalidRecords"), F.lit(0)).cast("long").alias("total_errors"))
 
 
 def valid_events(ann: DataFrame) -> DataFrame:
-    """V13 with positions: ``(file_path, event_type, record_index, line)`` of every record
-    that passed all checks (the trimmed JSON text, ready for a typed JSON parse)."""
-    idx = with_record_index(ann, only_errors=False)
-    return idx.filter(F.size("errors") == 0).select(
-        "file_path", "event_type", "record_index", F.trim("line").alias("line"))
+    """``(file_path, event_type, block_start, line_id, line)`` of every record that passed
+    all checks (the trimmed JSON text, ready for a typed JSON parse), with its place in scan
+    order. Nothing is shuffled."""
+    return ann.filter(F.col("is_record") & (F.size("errors") == 0)).select(
+        "file_path", "event_type", "block_start", "line_id", F.trim("line").alias("line"))
 
 
 def error_counts(errors: DataFrame, by=("event_type", "error_code", "field")) -> DataFrame:

@@ -4,6 +4,7 @@ driver's test tables (via :mod:`clickforge.sources.testdata`). Keys match
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from clickforge.operators import clean as C
 from clickforge.operators import funnel as FN
 from clickforge.operators import metrics as M
 from clickforge.operators import paths as P
+from clickforge.schemas import EVENT_TYPES
+from clickforge.session import scratch_path
 from clickforge.sources import raw as R
 from clickforge.sources import testdata as T
 
@@ -85,6 +88,14 @@ def q_iqr(spark, d):
     return _z6(z.select("event_date", "event_id", "value", *A.RESULT_COLUMNS))
 
 
+def q_iqr_sketch(spark, d):
+    """A2 by the default bounded sketch, whose quartiles are exact as long as a batch has fewer
+    rows than the sketch's accuracy."""
+    ev = T.derive(T.table(spark, d, "events"))
+    z = A.iqr_anomalies(ev, "value", 1.0)
+    return _z6(z.select("event_date", "event_id", "value", *A.RESULT_COLUMNS))
+
+
 def q_click_anoms(spark, d):
     return _z6(A.click_count_anomalies(T.clicks(spark, d), factor=1.0, exact=True))
 
@@ -114,20 +125,61 @@ def _raw(spark, d, et):
     return R.parse_json_lines(lines, et)
 
 
-def q_clean(spark, d):
-    c = C.clean_events(_raw(spark, d, "page_view"), "page_view",
-                       as_of=F.lit(AS_OF).cast("timestamp"))
-    return c.withColumn("event_timestamp",
-                        F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss"))
+def _ts_text(df):
+    return df.withColumn("event_timestamp",
+                         F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+
+def q_clean(et):
+    def q(spark, d):
+        return _ts_text(C.clean_events(_raw(spark, d, et), et,
+                                       as_of=F.lit(AS_OF).cast("timestamp")))
+    return q
 
 
 def q_clean_counts(spark, d):
-    from clickforge.schemas import EVENT_TYPES
     raw = {et: _raw(spark, d, et) for et in EVENT_TYPES}
-    clean, failures = C.clean_all(raw, as_of=F.lit(AS_OF).cast("timestamp"))
-    if failures:
-        raise RuntimeError(f"cleaning failed for {failures}")
-    return C.row_counts(raw, clean)
+    return C.row_counts(raw, as_of=F.lit(AS_OF).cast("timestamp"))
+
+
+def _batch_run(spark, d):
+    """S6, then the whole batch run over the written raw files, in a fresh folder of the shared
+    scratch space. Returns the folder of the stored tables."""
+    from clickforge.plans import batch as B
+    root = scratch_path(spark, f"batch-{uuid.uuid4().hex}")
+    lines = T.raw_event_lines(spark, d)
+    lines.write.partitionBy("event_date", "event_type").text(f"{root}/raw")
+    days = [r[0] for r in lines.select("event_date").distinct().collect()]
+    report = B.run_days(spark, f"{root}/raw", f"{root}/out", days, min_visits=2, iqr_factor=1.0,
+                        exact=True, as_of=F.lit(AS_OF).cast("timestamp"),
+                        loaded_at=F.lit(AS_OF).cast("timestamp"))
+    if report["failures"]:
+        raise RuntimeError(f"the batch run failed for {report['failures']}")
+    return f"{root}/out"
+
+
+def q_ingested(et):
+    def q(spark, d):
+        t = _ts_text(spark.read.parquet(f"{_batch_run(spark, d)}/clean_{et}"))
+        return t.withColumn("batch_date", F.col("batch_date").cast("string"))
+    return q
+
+
+def q_stored(table):
+    def q(spark, d):
+        from clickforge.plans import batch as B
+        t = B.stored_tables(spark, _batch_run(spark, d))[table]
+        return t.drop("detected_at").withColumn(
+            "loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+    return q
+
+
+def q_stored_report(spark, d):
+    """D1 over stored tables."""
+    from clickforge.plans import batch as B
+    from clickforge.plans import reports as RP
+    w = B.stored_tables(spark, _batch_run(spark, d))
+    return RP.timeline(w["time_by_device_country"], w["anomalies"], w["bounce_rate"])
 
 
 def _fixture(spark, d):
@@ -135,10 +187,13 @@ def _fixture(spark, d):
     return fixture_lines(spark, d)
 
 
+def _records(spark, d):
+    return R.lines_to_records(_fixture(spark, d).filter(~R.is_quarantined(F.col("file_path"))))
+
+
 def _annotated(spark, d, profile="ingest"):
     from clickforge.operators import validate as V
-    lines = _fixture(spark, d).filter(~R.is_quarantined(F.col("file_path")))
-    return V.annotate(R.lines_to_records(lines), profile)
+    return V.annotate(_records(spark, d), profile)
 
 
 def q_event_type(spark, d):
@@ -154,7 +209,8 @@ def q_skip_quarantine(spark, d):
 
 def q_errors(spark, d):
     from clickforge.operators import validate as V
-    return V.validation_errors(_annotated(spark, d))
+    records = _records(spark, d)
+    return V.validation_errors(V.annotate(records), records)
 
 
 def _errors_of(*codes):
@@ -189,20 +245,21 @@ def q_valid(spark, d):
 
 
 def q_quarantine(spark, d):
-    """S5 over the fixture: one row per quarantined file (the error list reduced to its
-    size and first / last listed record; ``quarantined_at`` is a wall-clock stamp)."""
+    """S5 over the fixture: one row per quarantined file, the listed errors as JSON text
+    (``quarantined_at`` is a wall-clock stamp)."""
     from clickforge.operators import quarantine as Q
-    m = Q.quarantine_metadata(_annotated(spark, d), F.lit(AS_OF).cast("timestamp"))
+    from clickforge.operators import validate as V
+    records = _records(spark, d)
+    m = Q.quarantine_metadata(V.annotate(records), F.lit(AS_OF).cast("timestamp"),
+                              records=records)
     return m.select("source_key", "quarantine_key", "error_key", "error_count",
-                    F.size("errors").cast("long").alias("listed_errors"),
-                    F.col("errors")[0]["record_index"].alias("first_record_index"),
-                    F.element_at("errors", -1)["record_index"]
-                     .alias("last_listed_record_index"))
+                    F.to_json("errors", {"ignoreNullFields": "false"}).alias("errors"))
 
 
 def q_contract(spark, d):
     from clickforge.operators import validate as V
-    return V.error_counts(V.validation_errors(_annotated(spark, d, "contract")))
+    records = _records(spark, d)
+    return V.validation_errors(V.annotate(records, "contract"), records)
 
 
 def _metrics(spark, d):
@@ -307,11 +364,13 @@ def queries() -> dict[str, Query]:
         "navigation_paths": q_nav_paths,
         "zscore_anomalies": q_zscore,
         "iqr_anomalies": q_iqr,
+        "iqr_anomalies_sketch": q_iqr_sketch,
         "click_count_anomalies": q_click_anoms,
         "dwell_time_anomalies": q_dwell,
         "anomalies": q_anomalies,
         "anomaly_type_counts": q_anomaly_counts,
-        "clean_events": q_clean,
+        "clean_events": q_clean("page_view"),
+        **{f"clean_{et}": q_clean(et) for et in EVENT_TYPES if et != "page_view"},
         "clean_row_counts": q_clean_counts,
         "ingest_event_type": q_event_type,
         "ingest_skip_quarantine": q_skip_quarantine,
@@ -332,6 +391,11 @@ def queries() -> dict[str, Query]:
         **{f"warehouse_{t}": _wh_query(t) for t in (
             "top_pages_by_time", "bounce_rate", "time_by_device_country", "conversion_funnel",
             "product_view_vs_cart", "navigation_paths", "anomalies")},
+        **{f"ingested_clean_{et}": q_ingested(et) for et in EVENT_TYPES},
+        **{f"stored_{t}": q_stored(t) for t in (
+            "top_pages_by_time", "bounce_rate", "time_by_device_country", "conversion_funnel",
+            "product_view_vs_cart", "navigation_paths", "anomalies")},
+        "stored_timeline": q_stored_report,
         "warehouse_key_violations": q_violations,
         "daily_summary": q_daily_summary,
         **{k: _serving(f) for k, f in SERVING.items()},

@@ -210,6 +210,9 @@ SELECT event_date, event_id, session_id, time_on_page_seconds, round(z, 6) AS z_
        'time_on_page_seconds' AS anomaly_field,
        CAST(time_on_page_seconds AS DOUBLE) AS anomaly_value FROM za"""),
         "iqr_anomalies": _with(iqr_cte("va", "d", "value", 3.0), select="""
+SELECT event_date, event_id, value, round(z, 6) AS z_score, 'iqr_value' AS anomaly_type,
+       'value' AS anomaly_field, value AS anomaly_value FROM va"""),
+        "iqr_anomalies_sketch": _with(iqr_cte("va", "d", "value", 1.0), select="""
 SELECT event_date, event_id, value, round(z, 6) AS z_score, 'iqr_value' AS anomaly_type,
        'value' AS anomaly_field, value AS anomaly_value FROM va"""),
         "click_count_anomalies": _with(CLICKS, iqr_cte("ca", "cps", "click_count", 1.0),
@@ -286,14 +289,16 @@ RAWSRC = """rawsrc AS (
   SELECT *, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS tss FROM d)"""
 
 
-def raw_cte(et: str) -> str:
+def raw_cte(et: str, batch: bool = False) -> str:
     cols = ", ".join(f"{RAW_FIELD_SQL[f]} AS {f}" for f in RAW_TYPE_FIELDS[et])
+    cols = f"event_date AS batch_date, {cols}" if batch else cols
     src = SOURCE_OF[et]
     body = f"SELECT '{et}' AS event_type, {cols} FROM rawsrc WHERE source_type = '{src}'"
     return f"raw_{et} AS ({body}\n  UNION ALL {body} AND event_id % 10 = 0)"
 
 
-def clean_cte(et: str, as_of: str = "TIMESTAMP '2026-01-01 00:00:00'") -> str:
+def clean_cte(et: str, as_of: str = "TIMESTAMP '2026-01-01 00:00:00'",
+              batch: bool = False) -> str:
     f = RAW_TYPE_FIELDS[et]
     filled = ", ".join(
         (f"lower(trim(coalesce({c}, {DEFAULTS[c]})))" if c in LOWERED and c in DEFAULTS
@@ -302,7 +307,7 @@ def clean_cte(et: str, as_of: str = "TIMESTAMP '2026-01-01 00:00:00'") -> str:
         for c in f if c != "timestamp")
     return f"""clean_{et} AS (
   SELECT * FROM (
-    SELECT event_type, {filled},
+    SELECT event_type, {"batch_date, " if batch else ""}{filled},
            CAST(try_strptime(timestamp, '%Y-%m-%dT%H:%M:%S%z') AS TIMESTAMP) AS event_timestamp
     FROM (SELECT DISTINCT * FROM raw_{et})
     WHERE user_id IS NOT NULL AND session_id IS NOT NULL AND timestamp IS NOT NULL)
@@ -310,18 +315,35 @@ def clean_cte(et: str, as_of: str = "TIMESTAMP '2026-01-01 00:00:00'") -> str:
 
 
 def clean_queries() -> dict[str, str]:
-    pv_cols = [c for c in RAW_TYPE_FIELDS["page_view"] if c != "timestamp"]
-    clean_pv = _with(RAWSRC, raw_cte("page_view"), clean_cte("page_view"), select=f"""
-SELECT event_type, {', '.join(pv_cols)},
-       strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS event_timestamp,
-       CAST(event_timestamp AS DATE) AS event_date
-FROM clean_page_view""")
+    out = {}
+    for et, fields in RAW_TYPE_FIELDS.items():
+        cols = ", ".join(c for c in fields if c != "timestamp")
+        last = """strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS event_timestamp,
+       CAST(event_timestamp AS DATE) AS event_date"""
+        out["clean_events" if et == "page_view" else f"clean_{et}"] = _with(
+            RAWSRC, raw_cte(et), clean_cte(et),
+            select=f"SELECT event_type, {cols}, {last} FROM clean_{et}")
+        out[f"ingested_clean_{et}"] = _with(
+            RAWSRC, raw_cte(et, batch=True), clean_cte(et, batch=True), select=f"""
+SELECT event_type, CAST(batch_date AS VARCHAR) AS batch_date, {cols}, {last} FROM clean_{et}""")
     ctes = [RAWSRC] + [raw_cte(e) for e in RAW_TYPE_FIELDS] + \
            [clean_cte(e) for e in RAW_TYPE_FIELDS]
     counts = " UNION ALL ".join(
         f"SELECT '{e}' AS event_type, (SELECT count(*) FROM raw_{e}) AS raw_rows, "
         f"(SELECT count(*) FROM clean_{e}) AS clean_rows" for e in RAW_TYPE_FIELDS)
-    return {"clean_events": clean_pv, "clean_row_counts": _with(*ctes, select=counts)}
+    out["clean_row_counts"] = _with(*ctes, select=counts)
+    return out
+
+
+def _stored(*ctes: str, select: str) -> str:
+    """As :func:`_with`, with the views made from the cleaned raw lines of each batch day."""
+    views = {"pv": "page_view", "clk": "click", "prd": "product_view", "crt": "cart_event"}
+    parts = [BINDING.strip()[:BINDING.strip().index("pv AS (")].rstrip().rstrip(","), RAWSRC]
+    for et in RAW_TYPE_FIELDS:
+        parts += [raw_cte(et, batch=True), clean_cte(et, batch=True)]
+    parts += [f"{v} AS (SELECT * RENAME (batch_date AS event_date) FROM clean_{et})"
+              for v, et in views.items()]
+    return "WITH " + ",\n".join([*parts, *(c.strip() for c in ctes)]) + "\n" + select.strip()
 
 
 # ---- ingest validation --------------------------------------------------------------------
@@ -353,10 +375,56 @@ ISO_RE = (r"^\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2}T\p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2}"
           r"(\.\p{Nd}+)?(Z|[+-]\p{Nd}{2}:\p{Nd}{2})$")
 
 
+# Fixed values of both rule profiles, written out apart from the library's rule table:
+# (field, required, kind, allowed values, range); kind and range as (ingest, contract) where
+# the profiles differ. A kind of None: the profile does not check the field.
+PAGE_TYPES = ["home", "category", "product", "cart", "checkout", "search", "other"]
+DWELL_RANGE = ((1, 7200), (1, 3600))
+WHO = [("user_id", True, "str", None, None), ("session_id", True, "str", None, None)]
+STAMP = ("timestamp", True, "str", None, None)
+DWELL_FIELD = ("time_on_page_seconds", True, ("num", "int"), None, DWELL_RANGE)
+RULES = {
+    "page_view": [
+        *WHO, ("page_url", True, "str", None, None), ("page_type", True, "str", PAGE_TYPES, None),
+        STAMP, DWELL_FIELD,
+        ("device_type", True, "str", ["mobile", "desktop", "tablet"], None),
+        ("country", True, "str", None, None), ("referrer", False, (None, "str"), None, None)],
+    "click": [
+        *WHO, ("element_id", True, "str", None, None),
+        ("element_type", True, "str", ["button", "link", "image", "product_card", "menu",
+                                       "banner", "search_result"], None),
+        ("page_url", True, "str", None, None), STAMP,
+        ("x_position", True, ("num", "int"), None, ((0, 7680), (0, 3840))),
+        ("y_position", True, ("num", "int"), None, ((0, 4320), (0, 2160)))],
+    "search": [
+        *WHO, ("query", True, "str", None, None),
+        ("results_count", True, ("num", "int"), None, ((0, 1000000), (0, 10000))), STAMP],
+    "product_view": [
+        *WHO, ("product_id", True, "str", None, None),
+        ("category", True, "str", ["electronics", "clothing", "home", "sports", "books", "beauty",
+                                   "toys", "food"], None),
+        ("price", True, "num", None, ((0.01, 1000000), (0.01, 100000))), STAMP, DWELL_FIELD],
+    "cart_event": [
+        *WHO, ("product_id", True, "str", None, None),
+        ("action", True, "str", ["add", "remove"], None), STAMP],
+}
+
+
+def _profile(profile: str) -> dict:
+    at = ("ingest", "contract").index(profile)
+    out = {}
+    for et, fields in RULES.items():
+        kinds = {f: k if isinstance(k, str) else k[at] for f, _, k, _, _ in fields}
+        out[et] = {"required": [f for f, need, *_ in fields if need],
+                   "types": {f: k for f, k in kinds.items() if k},
+                   "enums": {f: v for f, _, _, v, _ in fields if v},
+                   "ranges": {f: r[at] for f, *_, r in fields if r}}
+    return out
+
+
 def validation_ctes(profile: str = "ingest") -> list[str]:
-    from clickforge.rules import PROFILES
     from clickforge.sources.ingest_fixture import fixture_selects
-    rules = PROFILES[profile]
+    rules = _profile(profile)
     fx = " UNION ALL ".join(
         f"SELECT {p} AS file_path, event_id AS line_id, {ln} AS line FROM rawsrc WHERE {flt}"
         for p, ln, flt in fixture_selects())
@@ -403,9 +471,14 @@ def validation_ctes(profile: str = "ingest") -> list[str]:
                    f"json_extract_string(j, '$.timestamp') || '''' "
                    f"FROM okrecs WHERE event_type = '{et}' AND {_pt('timestamp')} = 'str' "
                    f"AND NOT regexp_matches(json_extract_string(j, '$.timestamp'), {_q(ISO_RE)})")
+    # the place of a check in its record: required fields, types, enums, ranges, timestamp
+    names = "(file_path, event_type, line_id, record_index, user_id, session_id, error_code, " \
+            "field, reason)"
+    req, oth = ([f"SELECT *, {i} AS pos FROM ({x}) t{names}" for i, x in enumerate(sel)]
+                for sel in (req, oth))
     known = ", ".join(_q(e) for e in rules)
     unk = (f"{head}, 'unknown_event_type', NULL, "
-           f"'Tipo de evento desconocido: ''' || event_type || '''' "
+           f"'Tipo de evento desconocido: ''' || event_type || '''', 0 "
            f"FROM recs WHERE event_type NOT IN ({known})")
     return [
         RAWSRC,
@@ -413,7 +486,7 @@ def validation_ctes(profile: str = "ingest") -> list[str]:
         "fxs AS (SELECT file_path, sum(length(line) + 1) AS file_size FROM fx GROUP BY file_path)",
         "lines AS (SELECT fx.*, fxs.file_size, regexp_replace(regexp_extract(fx.file_path, "
         "'([^/]*)$', 1), '\\.jsonl', '') AS event_type FROM fx JOIN fxs USING (file_path) "
-        "WHERE NOT regexp_matches(fx.file_path, '(^|/)quarantine/'))",
+        "WHERE NOT starts_with(fx.file_path, 'quarantine/'))",
         "recs AS (SELECT file_path, event_type, line_id, trim(line) AS j, row_number() OVER "
         "(PARTITION BY file_path ORDER BY line_id) - 1 AS record_index FROM lines "
         "WHERE trim(line) <> '' AND json_valid(trim(line)))",
@@ -464,7 +537,7 @@ def validation_queries() -> dict[str, str]:
     out = {
         "ingest_event_type": _with(*c, select="SELECT DISTINCT file_path, event_type FROM lines"),
         "ingest_skip_quarantine": _with(*c, select="""
-SELECT DISTINCT file_path FROM fx WHERE regexp_matches(file_path, '(^|/)quarantine/')"""),
+SELECT DISTINCT file_path FROM fx WHERE starts_with(file_path, 'quarantine/')"""),
         "validation_errors": _with(*c, select=f"SELECT {ERR_COLS} FROM errs"),
         "validation_summary": _with(*c, select="SELECT * FROM summ"),
         "ingest_empty_files": _with(*c, select="""
@@ -474,22 +547,22 @@ SELECT file_path, event_type FROM met WHERE EmptyFiles = 1"""),
 SELECT CAST(sum(FilesProcessed) AS BIGINT) AS processed_files,
        CAST(sum(InvalidRecords) AS BIGINT) AS total_errors FROM met"""),
         "valid_events": _with(*c, select="""
-SELECT file_path, event_type, record_index, j AS line FROM recs r
+SELECT file_path, event_type, line_id // 2000 * 2000 AS block_start, line_id, j AS line
+FROM recs r
 WHERE NOT EXISTS (SELECT 1 FROM errs e WHERE e.file_path = r.file_path
                   AND e.line_id = r.line_id)"""),
         "quarantine_files": _with(*c, select="""
 SELECT file_path AS source_key, 'quarantine/' || file_path AS quarantine_key,
        'quarantine/' || file_path || '.errors.json' AS error_key,
-       CAST(max(n) AS BIGINT) AS error_count, CAST(count(*) AS BIGINT) AS listed_errors,
-       CAST(min(record_index) AS BIGINT) AS first_record_index,
-       CAST(max(record_index) AS BIGINT) AS last_listed_record_index
-FROM (SELECT file_path, record_index,
-             row_number() OVER (PARTITION BY file_path ORDER BY record_index) AS rn,
+       CAST(max(n) AS BIGINT) AS error_count,
+       CAST(to_json(list({'record_index': record_index, 'user_id': user_id,
+                          'session_id': session_id, 'reason': reason} ORDER BY rn)) AS VARCHAR)
+         AS errors
+FROM (SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY record_index, pos) AS rn,
              count(*) OVER (PARTITION BY file_path) AS n FROM errs) e
 WHERE rn <= 100 GROUP BY file_path"""),
-        "validate_contract": _with(*validation_ctes("contract"), select="""
-SELECT event_type, error_code, field, count(*) AS errors FROM errs
-GROUP BY event_type, error_code, field"""),
+        "validate_contract": _with(*validation_ctes("contract"),
+                                   select=f"SELECT {ERR_COLS} FROM errs"),
     }
     for key, codes in ERROR_CODE_KEYS.items():
         inl = ", ".join(_q(x) for x in codes)
@@ -592,6 +665,14 @@ def _label(x: str, pairs) -> str:
     return x
 
 
+TIMELINE = """
+SELECT q3.date,
+  CAST(coalesce((SELECT sum(coalesce(total_sessions, 0)) FROM w_tdc t
+                 WHERE CAST(t.event_date AS VARCHAR) = q3.date), 0) AS BIGINT) AS sessions,
+  (SELECT count(*) FROM w_an a
+   WHERE CAST(a.event_date AS VARCHAR) = q3.date AND z_score >= 0) AS anomalies
+FROM q3"""
+
 # Label rewrites, written out apart from the library's own.
 PAGE_LABEL_REWRITES = [("/producto/", ""), ("/categoria/", ""), ("/checkout", "chk"),
                        ("/carrito", "cart")]
@@ -640,13 +721,7 @@ FROM w_an WHERE z_score >= 3.5 AND anomaly_type = 'zscore_time_on_page_seconds'
 ORDER BY round(z_score, 4) DESC NULLS FIRST, w_an.event_date, session_id, anomaly_type
 LIMIT 500"""),
         "serve_anomaly_counts": _with(*c, select="SELECT * FROM q8"),
-        "report_timeline": _with(*c, select="""
-SELECT q3.date,
-  CAST(coalesce((SELECT sum(coalesce(total_sessions, 0)) FROM w_tdc t
-                 WHERE CAST(t.event_date AS VARCHAR) = q3.date), 0) AS BIGINT) AS sessions,
-  (SELECT count(*) FROM w_an a
-   WHERE CAST(a.event_date AS VARCHAR) = q3.date AND z_score >= 0) AS anomalies
-FROM q3"""),
+        "report_timeline": _with(*c, select=TIMELINE),
         "report_sessions_by_device": _with(*c, select="""
 SELECT device_type, CAST(sum(total_sessions) AS BIGINT) AS total_sessions FROM q4
 GROUP BY device_type"""),
@@ -675,6 +750,12 @@ SELECT session_id, anomaly_type, {_label('anomaly_type', ANOMALY_LABEL_REWRITES)
 SELECT *, greatest(count(*) OVER () - 8, 0) AS more FROM q7
 ORDER BY z_score DESC NULLS FIRST, event_date, session_id, anomaly_type LIMIT 8"""),
     })
+    for t, a in [("top_pages_by_time", "tp"), ("bounce_rate", "br"),
+                 ("time_by_device_country", "tdc"), ("conversion_funnel", "cf"),
+                 ("product_view_vs_cart", "pvc"), ("navigation_paths", "np"), ("anomalies", "an")]:
+        out[f"stored_{t}"] = _stored(*c, select=f"SELECT *, '2026-01-01 00:00:00' AS loaded_at "
+                                                f"FROM w_{a}")
+    out["stored_timeline"] = _stored(*c, select=TIMELINE)
     out["warehouse_key_violations"] = _with(*c, select=violations_sql())
     return out
 

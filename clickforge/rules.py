@@ -97,19 +97,3 @@ PROFILES = {"ingest": INGEST, "contract": CONTRACT}
 # Digits are Unicode decimal digits (\p{Nd}), as a Python str pattern's \d matches.
 ISO8601_PATTERN = (r"^\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2}T\p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2}"
                    r"(\.\p{Nd}+)?(Z|[+-]\p{Nd}{2}:\p{Nd}{2})$")
-
-
-def rule_rows(profile: str = "ingest") -> list[tuple]:
-    """Flatten a profile into ``(event_type, field, check, arg)`` rows (documentation,
-    tests, and a rule DataFrame for joins)."""
-    rows = []
-    for et, spec in PROFILES[profile].items():
-        for f in spec["required"]:
-            rows.append((et, f, "required", None))
-        for f, k in spec["types"].items():
-            rows.append((et, f, "type", k))
-        for f, vals in spec["enums"].items():
-            rows.append((et, f, "enum", ",".join(vals)))
-        for f, (lo, hi) in spec["ranges"].items():
-            rows.append((et, f, "range", f"{lo},{hi}"))
-    return rows

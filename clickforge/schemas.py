@@ -59,10 +59,3 @@ IMPUTATION = {
 RAW_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
 # Columns lower-cased and trimmed after imputation.
 NORMALISED_COLUMNS = ("page_type", "device_type", "country", "category", "action")
-
-
-def clean_columns(event_type: str) -> list[str]:
-    """Column order of a clean table: raw fields minus ``timestamp``, then the parsed
-    ``event_timestamp`` and ``event_date``."""
-    names = [f.name for f in RAW_SCHEMAS[event_type].fields if f.name != "timestamp"]
-    return names + ["event_timestamp", "event_date"]

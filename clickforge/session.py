@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,10 +48,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment to a shared file system. Only when it
-    is unset (local tests) do we pick a private scratch folder and register it.
+    is unset in a purely local session (tests) do we pick a private scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         d = tempfile.mkdtemp(prefix="clickforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -2,8 +2,8 @@
 
 Layout: one table per dataset under a root, partitioned by ``event_date``
 (``<root>/<name>/event_date=YYYY-MM-DD/part-*.parquet``). Every writer overwrites only
-the days present in the frame it writes (dynamic partition overwrite), so re-running a
-day is idempotent and other days are untouched. Readers filter on ``event_date`` so the
+the days present in the frame it writes (dynamic partition overwrite) and those it is told
+to replace, so re-running a day is idempotent and other days are untouched. Readers filter on ``event_date`` so the
 scan lists and opens only the requested day directories (partition pruning).
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,20 +35,28 @@ def read_days(spark: SparkSession, root: str, name: str,
 
 
 def write_days(df: DataFrame, root: str, name: str, partition_col: str = "event_date",
-               fmt: str = "parquet", max_records_per_file: int = 5_000_000) -> None:
-    """Write ``df`` under ``<root>/<name>`` partitioned by day, replacing only the days
-    it contains.
+               fmt: str = "parquet", max_records_per_file: int = 5_000_000,
+               days: Iterable | None = None) -> None:
+    """Write ``df`` under ``<root>/<name>`` partitioned by day, replacing the days it
+    contains, and of the ``days`` that the run stands for also those without rows: they are
+    overwritten with nothing, so no stale day survives a re-run.
 
     No repartition by day: a hot day would land in one task. Each task sorts its own rows
     by the partition column and writes one file per day it holds; ``maxRecordsPerFile``
-    bounds file size.
+    bounds file size. The days written are observed in the same job.
     """
-    (df.write.mode("overwrite")
+    path, seen = table_path(root, name), Observation()
+    (df.observe(seen, F.collect_set(partition_col).alias("days"))
+       .write.mode("overwrite")
        .option("maxRecordsPerFile", max_records_per_file)
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col)
        .format(fmt)
-       .save(table_path(root, name)))
+       .save(path))
+    written = {str(d) for d in seen.get["days"]}
+    for d in sorted({str(d) for d in days or ()} - written):
+        df.limit(0).drop(partition_col).write.mode("overwrite").format(fmt) \
+          .save(f"{path}/{partition_col}={d}")
 
 
 def split_by_type(events: DataFrame, root: str, type_col: str = "event_type",

@@ -104,6 +104,9 @@ def file_type_sql() -> str:
             f"ELSE CASE source_type {cases} END END")
 
 
+# Rows of ``events`` that stand for one split of the fixture's files.
+SPLIT_ROWS = 2_000
+
 DAY_DIR = "'raw/year=2024/month=01/day=' || lpad(CAST(day(event_date) AS STRING), 2, '0')"
 
 
@@ -132,5 +135,5 @@ def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = lines.groupBy("file_path").agg(
         F.sum(F.length("line") + 1).cast("long").alias("file_size"))
     return lines.join(sizes, "file_path").select(
-        "file_path", "file_size", F.lit(0).cast("long").alias("block_start"), "line_id",
-        "line")
+        "file_path", "file_size", (F.floor(F.col("line_id") / SPLIT_ROWS) * SPLIT_ROWS)
+        .cast("long").alias("block_start"), "line_id", "line")

@@ -6,6 +6,8 @@ types are read in one scan; the file name carries the event type.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,38 @@ from clickforge.schemas import RAW_SCHEMAS
 QUARANTINE_PREFIX = "quarantine/"
 
 
+def decoded(path: Column) -> Column:
+    """A scanned path with its ``%XX`` escapes resolved. Paths are URIs, not form data: a
+    ``+`` stands for itself."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def object_key(path: Column, root: str | None = None) -> Column:
+    """The object key of a file: its path relative to ``root`` (the raw folder), or the decoded
+    path itself when no root is given."""
+    p = decoded(path)
+    if root:
+        # the scan reports URIs (``file:/...``, ``s3a://bucket/...``): cut after the root
+        prefix = root.split("://")[-1].rstrip("/") + "/"
+        pos = F.locate(prefix, p)
+        p = F.when(pos > 0, p.substr(pos + len(prefix), F.lit(1 << 30))).otherwise(p)
+    return p
+
+
+def list_files(spark: SparkSession, paths) -> DataFrame:
+    """``file_path, file_size`` of every file, empty ones included (V9).
+
+    Scans skip files of no bytes, so those are taken from the file index, which the driver
+    holds for every scan; sizes come from the scan's metadata (the content column is pruned).
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    sized = files.select(F.col("_metadata.file_path").alias("file_path"),
+                         F.col("_metadata.file_size").alias("file_size"))
+    names = [(re.sub(r"^file:/+", "file:/", f),) for f in files.inputFiles()]
+    return spark.createDataFrame(names, "file_path string").join(sized, "file_path", "left") \
+        .select("file_path", F.coalesce("file_size", F.lit(0)).cast("long").alias("file_size"))
+
+
 def event_type_from_path(path: Column) -> Column:
     """V1: the last path segment without ``.jsonl`` (the record's own ``event_type`` is
     not used). The object key is URL-decoded first, as notifications deliver it.
@@ -21,7 +55,7 @@ def event_type_from_path(path: Column) -> Column:
     Files written by :func:`clickforge.sources.files.split_by_type` carry the type as an
     ``event_type=T`` directory instead (Spark names the part files); that wins when
     present."""
-    key = F.url_decode(path)
+    key = decoded(path)
     name = F.regexp_replace(F.regexp_extract(key, r"([^/]*)$", 1), r"\.jsonl", "")
     part_dir = F.regexp_extract(key, r"/event_type=([^/]+)/[^/]*$", 1)
     return F.when(part_dir != "", part_dir).otherwise(name)
@@ -39,12 +73,13 @@ def read_raw_json(spark: SparkSession, paths, event_type: str) -> DataFrame:
 def parse_json_lines(lines: DataFrame, event_type: str, col: str = "line") -> DataFrame:
     """S1 on an in-memory column of JSON text (same declared schema and PERMISSIVE rules)."""
     schema = RAW_SCHEMAS[event_type]
+    from clickforge.functions.columns import materialize
     parsed = F.from_json(F.col(col), schema, {"mode": "PERMISSIVE"})
-    return lines.select(parsed.alias("_r")).select(
+    return materialize(lines.select(F.col(col)), _r=parsed).select(
         *[F.col("_r")[f.name].alias(f.name) for f in schema.fields])
 
 
-def read_lines(spark: SparkSession, paths, skip_quarantine: bool = True) -> DataFrame:
+def read_lines(spark: SparkSession, paths, root: str | None = None) -> DataFrame:
     """S2 + V10: every line of the given JSONL files with its file path, split offset and a
     scan-order id, plus the parsed ``variant`` (null for blank and non-JSON lines).
 
@@ -52,10 +87,9 @@ def read_lines(spark: SparkSession, paths, skip_quarantine: bool = True) -> Data
     v. ``line_id`` orders lines inside one split (a split is at most
     ``spark.sql.files.maxPartitionBytes``), which is what record positions are built from.
     """
-    df = with_line_ids(text_with_metadata(spark.read.text(paths)))
-    if skip_quarantine:
-        df = df.filter(~is_quarantined(F.col("file_path")))
-    return lines_to_records(df)
+    text = spark.read.option("recursiveFileLookup", "true").text(paths)
+    df = with_line_ids(text_with_metadata(text))
+    return lines_to_records(df.filter(~is_quarantined(F.col("file_path"), root)))
 
 
 def text_with_metadata(text: DataFrame) -> DataFrame:
@@ -72,9 +106,10 @@ def with_line_ids(df: DataFrame) -> DataFrame:
     return df.withColumn("line_id", F.monotonically_increasing_id())
 
 
-def is_quarantined(path: Column) -> Column:
-    """A key inside a ``quarantine/`` folder (never re-validated)."""
-    return path.rlike("(^|/)" + QUARANTINE_PREFIX)
+def is_quarantined(path: Column, root: str | None = None) -> Column:
+    """An object key that starts with ``quarantine/`` (never validated again). Folders of
+    that name above the root, or deeper inside it, do not count."""
+    return object_key(path, root).startswith(QUARANTINE_PREFIX)
 
 
 def lines_to_records(df: DataFrame) -> DataFrame:

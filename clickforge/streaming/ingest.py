@@ -6,96 +6,113 @@ stream (:func:`start_ingest_stream`) call it, so both paths behave the same.
 
 Outputs under ``out_root`` (all Parquet except the error documents):
 
-* ``ingest_metrics/<run col>=<id>/`` - per file counters (V9, V11)
-* ``quarantine_errors/<run col>=<id>/`` - JSON, one document per flagged file (S5)
-* ``quarantine_lines/<run col>=<id>/`` - the flagged files' lines with order keys (S5)
-
-Each run writes only its own partition with dynamic overwrite, so a micro-batch retried
-after a failure replaces its earlier partial output instead of appending twice.
+* ``ingest_metrics/<run>/`` - per file counters (V9, V11)
+* ``quarantine_errors/<run>/`` - JSON, one document per flagged file (S5)
+* ``quarantine_lines/<run>/`` - the flagged files' lines with order keys (S5)
+* ``validation_errors/<run>/`` - every error of the run (V8)
+* ``valid_events/<run>/`` - the lines that passed, ready for the typed parse (V13)
+
+``<run>`` is ``run_id=<id>`` for a batch and ``stream=<query id>/batch_id=<n>`` for a
+micro-batch. Each run overwrites exactly its own folders, also with nothing, so a retried or
+repeated run replaces all of its earlier output, and streams never meet each other's.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickforge.operators import quarantine as Q
 from clickforge.operators import validate as V
-from clickforge.session import scratch_path
 from clickforge.sources import raw as R
 
 
-def _write_run(df: DataFrame, path: str, run_col: str, run_id, fmt: str = "parquet"):
-    (df.withColumn(run_col, F.lit(run_id))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(run_col).format(fmt).save(path))
+def _write_run(df: DataFrame, out_root: str, name: str, run: str, fmt: str = "parquet") -> str:
+    path = os.path.join(out_root, name, run)
+    df.write.mode("overwrite").format(fmt).save(path)
+    return path
 
 
-def ingest_lines(lines: DataFrame, out_root: str, run_id, run_col: str = "run_id",
-                 root: str | None = None, quarantined_at: Column | None = None,
-                 profile: str = "ingest") -> dict:
-    """Validate ``lines`` (``file_path, file_size, block_start, line_id, line``) and write
-    metrics and quarantine outputs for ``run_id``. Returns the run summary (V12) as a
-    dict - one aggregated row, the only thing brought to the driver.
+def ingest_lines(lines: DataFrame, out_root: str, run: str, root: str | None = None,
+                 quarantined_at: Column | None = None, profile: str = "ingest",
+                 listing: DataFrame | None = None) -> dict:
+    """Validate ``lines`` (``file_path, file_size, block_start, line_id, line``) and write the
+    outputs of ``run``. Returns the run summary (V12) as a dict: one aggregated row, the
+    only thing brought to the driver.
 
-    Files under ``quarantine/`` are skipped (V10). The annotated frame is persisted for the
-    three writes; on executor loss Spark recomputes lost blocks from the source files.
+    Files under ``quarantine/`` of ``root`` are skipped (V10). The checked lines are written
+    once, to ``checked_lines/<run>``; every output is derived from that table, so no check
+    runs twice and a lost executor costs no recomputation. ``listing`` adds the files that
+    have no line (V9).
     """
-    lines = lines.filter(~R.is_quarantined(F.col("file_path")))
-    ann = V.annotate(R.lines_to_records(lines), profile) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        metrics = V.ingest_metrics(V.validation_summary(ann))
-        meta = Q.quarantine_metadata(ann, quarantined_at, root)
-        _write_run(metrics, os.path.join(out_root, "ingest_metrics"), run_col, run_id)
-        _write_run(meta.drop("file_path"), os.path.join(out_root, "quarantine_errors"),
-                   run_col, run_id, fmt="json")
-        _write_run(Q.quarantine_lines(ann, meta),
-                   os.path.join(out_root, "quarantine_lines"), run_col, run_id)
-        written = os.path.join(out_root, "ingest_metrics", f"{run_col}={run_id}")
-        row = V.run_summary(lines.sparkSession.read.parquet(written)).first()
-        return {"processed_files": int(row["processed_files"] or 0),
-                "total_errors": int(row["total_errors"] or 0)}
-    finally:
-        ann.unpersist()
+    spark = lines.sparkSession
+    kept = lines.filter(~R.is_quarantined(F.col("file_path"), root))
+    checked = V.annotate(R.lines_to_records(kept), profile).drop("v")
+    path = _write_run(checked, out_root, "checked_lines", run)
+    ann = spark.read.schema(checked.schema).parquet(path)
+    if listing is not None:
+        listing = listing.filter(~R.is_quarantined(F.col("file_path"), root))
+    metrics = V.ingest_metrics(V.validation_summary(ann), listing)
+    meta = Q.quarantine_metadata(ann, quarantined_at, root)
+    _write_run(V.validation_errors(ann), out_root, "validation_errors", run)
+    _write_run(V.valid_events(ann), out_root, "valid_events", run)
+    _write_run(meta.drop("file_path"), out_root, "quarantine_errors", run, fmt="json")
+    _write_run(Q.quarantine_lines(ann, meta), out_root, "quarantine_lines", run)
+    path = _write_run(metrics, out_root, "ingest_metrics", run)
+    row = V.run_summary(spark.read.schema(metrics.schema).parquet(path)).first()
+    return {"processed_files": row["processed_files"], "total_errors": row["total_errors"]}
 
 
 def ingest_files(spark: SparkSession, paths, out_root: str, run_id: str,
-                 root: str | None = None, quarantined_at: Column | None = None) -> dict:
+                 root: str | None = None, quarantined_at: Column | None = None,
+                 skip_unreadable: bool = False) -> dict:
     """Batch run over some files or folders (``recursiveFileLookup`` so day folders are
-    walked without turning them into partition columns)."""
-    text = spark.read.option("recursiveFileLookup", "true").text(paths)
+    walked without turning them into partition columns). ``root`` defaults to ``paths`` when
+    that is one folder.
+
+    An unreadable file stops the run, unless ``skip_unreadable``: then a file that has bytes
+    but gives no line counts as a processing error. (A compressed file that breaks off after
+    some lines is not told from a shorter one in that mode.)
+    """
+    if root is None and isinstance(paths, str):
+        root = paths
+    text = spark.read.option("recursiveFileLookup", "true") \
+        .option("ignoreCorruptFiles", str(skip_unreadable).lower()).text(paths)
     lines = R.with_line_ids(R.text_with_metadata(text))
-    return ingest_lines(lines, out_root, run_id, "run_id", root, quarantined_at)
+    return ingest_lines(lines, out_root, f"run_id={run_id}", root, quarantined_at,
+                        listing=R.list_files(spark, paths))
 
 
-def start_ingest_stream(spark: SparkSession, raw_dir: str, out_root: str,
-                        checkpoint: str | None = None, available_now: bool = True,
+def start_ingest_stream(spark: SparkSession, raw_dir: str, out_root: str, checkpoint: str,
+                        available_now: bool = True,
                         max_files_per_trigger: int | None = None,
                         processing_time: str | None = None,
                         quarantined_at: Column | None = None):
     """ST1: validate every file that arrives under ``raw_dir``, exactly as the batch run
     does, one micro-batch at a time.
 
-    The file source records processed files in the checkpoint, so each file is validated
-    once; a restarted query resumes where it stopped and a failed micro-batch is re-run
-    with the same ``batch_id`` (its output partitions are replaced). The checkpoint
-    defaults to a folder inside the shared ``spark.checkpoint.dir``.
+    The file source records processed files in ``checkpoint`` (a folder of this stream
+    alone, shared by the cluster), so each file is validated once; a restarted query resumes
+    where it stopped and a failed micro-batch is run again with the same ``batch_id``, whose
+    outputs it replaces. Outputs are kept by the query id, which the checkpoint holds: another
+    stream, or this one after its checkpoint was lost, writes beside them. A zero-byte file
+    gives no line and is not seen.
     """
-    ckpt = checkpoint or scratch_path(spark, "ingest_stream")
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = R.text_with_metadata(reader.load(raw_dir))
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        ingest_lines(R.with_line_ids(batch), out_root, batch_id, "batch_id", raw_dir,
-                     quarantined_at)
+        own = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        ingest_lines(R.with_line_ids(batch), out_root, f"stream={own}/batch_id={batch_id}",
+                     raw_dir, quarantined_at)
 
-    writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", ckpt)
+    writer = stream.writeStream.foreachBatch(run_batch) \
+        .option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -90,6 +90,60 @@ def test_rerun_is_idempotent(spark, tmp_dir):
     assert m.count() == 4
 
 
+def test_a_repaired_file_leaves_no_stale_output(spark, tmp_dir):
+    raw, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "o")
+    name = os.path.join(raw, "year=2024", "page_view.jsonl")
+    _write(name, [OK, BAD])
+    assert I.ingest_files(spark, raw, out, "r1")["total_errors"] == 2
+    assert spark.read.parquet(os.path.join(out, "validation_errors")).count() == 2
+    _write(name, [OK, OK])
+    assert I.ingest_files(spark, raw, out, "r1") == {"processed_files": 1, "total_errors": 0}
+    for table, n in (("validation_errors", 0), ("quarantine_lines", 0), ("valid_events", 2)):
+        assert spark.read.schema("file_path string").parquet(os.path.join(out, table)).count() == n
+    assert spark.read.schema("source_key string").json(os.path.join(out, "quarantine_errors")).count() == 0
+
+
+def test_every_error_is_written(spark, tmp_dir):
+    raw, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "o")
+    _raw_tree(raw)
+    I.ingest_files(spark, raw, out, "r1")
+    assert spark.read.parquet(os.path.join(out, "validation_errors")).count() == 309
+
+
+def test_odd_paths_and_files(spark, tmp_dir):
+    """A root below a folder named quarantine, a plus sign, a zero-byte file, an unreadable one."""
+    raw, out = os.path.join(tmp_dir, "quarantine", "raw"), os.path.join(tmp_dir, "o")
+    _write(os.path.join(raw, "a+b c", "page_view.jsonl"), [BAD])
+    _write(os.path.join(raw, "quarantine", "page_view.jsonl"), [BAD])
+    open(os.path.join(raw, "click.jsonl"), "w").close()
+    with open(os.path.join(raw, "search.jsonl.gz"), "wb") as f:
+        f.write(b"no gzip at all")
+    got = I.ingest_files(spark, raw, out, "r1", skip_unreadable=True)
+    assert got == {"processed_files": 1, "total_errors": 2}
+    m = {os.path.basename(r.file_path): r for r in spark.read.parquet(os.path.join(out, "ingest_metrics")).collect()}
+    assert set(m) == {"page_view.jsonl", "click.jsonl", "search.jsonl.gz"}
+    assert (m["click.jsonl"].EmptyFiles, m["click.jsonl"].ProcessingErrors) == (1, 0)
+    assert (m["search.jsonl.gz"].EmptyFiles, m["search.jsonl.gz"].ProcessingErrors) == (0, 1)
+    keys = [r.source_key for r in spark.read.json(os.path.join(out, "quarantine_errors")).collect()]
+    assert keys == ["a+b c/page_view.jsonl"]
+    os.makedirs(os.path.join(tmp_dir, "none"))
+    assert I.ingest_files(spark, os.path.join(tmp_dir, "none"), out, "r2") == {"processed_files": 0, "total_errors": 0}
+
+
+def test_two_streams_into_one_folder(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "s")
+    for name, n in (("x", 3), ("y", 2)):
+        for i in range(n):
+            _write(os.path.join(tmp_dir, name, str(i), "page_view.jsonl"), [OK, BAD])
+        I.start_ingest_stream(spark, os.path.join(tmp_dir, name), out, os.path.join(tmp_dir, f"ckpt-{name}"),
+                              max_files_per_trigger=1).awaitTermination(300)
+    # a lost checkpoint starts at batch 0 again and writes beside the earlier output
+    I.start_ingest_stream(spark, os.path.join(tmp_dir, "y"), out, os.path.join(tmp_dir, "ckpt-new")).awaitTermination(300)
+    m = spark.read.parquet(os.path.join(out, "ingest_metrics"))
+    assert m.count() == 7 and m.select("stream").distinct().count() == 3
+    assert m.select("file_path").distinct().count() == 5
+
+
 def test_day_partition_sink_overwrites_only_its_days(spark, tmp_dir):
     df = spark.createDataFrame([("2024-01-15", "a", 1), ("2024-01-16", "b", 2)],
                                "d string, k string, v int") \
