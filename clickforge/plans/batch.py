@@ -55,8 +55,10 @@ def read_batch(spark: SparkSession, raw_root: str, event_type: str, days: list[s
 
 def run_days(spark: SparkSession, raw_root: str, out_root: str, dates: Iterable,
              as_of: Column | None = None, loaded_at: Column | None = None,
-             min_visits: int = 5, iqr_factor: float = 3.0, exact: bool = False) -> dict:
-    """Run the batch for ``dates`` and return ``{"rows": {table: rows written}, "failures":
+             min_visits: int = 5, iqr_factor: float = 3.0, exact: bool = False,
+             types: Iterable = EVENT_TYPES, tables: Iterable = tuple(METRICS)) -> dict:
+    """Run the batch for ``dates`` (of some event ``types`` and result ``tables``, which need
+    their clean tables among the types or stored earlier) and return ``{"rows": {table: rows written}, "failures":
     {table: error}}``. Tables below ``out_root``: ``clean_<type>`` and ``metric_<table>``
     by ``batch_date``, ``warehouse_<table>`` by ``event_date``."""
     days, rows, failures = sorted({str(d) for d in dates}), {}, {}
@@ -72,11 +74,12 @@ def run_days(spark: SparkSession, raw_root: str, out_root: str, dates: Iterable,
         except Exception as e:  # noqa: BLE001 - isolation is the feature
             failures[name] = f"{type(e).__name__}: {str(e)[:500]}"
 
-    for et in EVENT_TYPES:
+    for et in types:
         store(f"clean_{et}", lambda et=et: C.clean_events(
             read_batch(spark, raw_root, et, days), et, as_of, keep=(DAY,)), DAY)
 
-    for table, (needs, make) in METRICS.items():
+    for table in tables:
+        needs, make = METRICS[table]
         lost = [et for et in needs if f"clean_{et}" in failures]
         if lost:
             failures[f"metric_{table}"] = f"not computed: clean_{lost[0]} failed"
@@ -98,7 +101,8 @@ def stored_days(spark: SparkSession, root: str, name: str, days, col: str = "eve
     return df.where(F.col(col).isin([F.lit(d).cast("date") for d in days]))
 
 
-def stored_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def stored_tables(spark: SparkSession, root: str, tables: Iterable = tuple(METRICS)
+                  ) -> dict[str, DataFrame]:
     """The stored result tables, for the serving queries (Q) and reports (D): their date filters
     are partition filters."""
-    return {t: FS.read_days(spark, root, f"warehouse_{t}") for t in METRICS}
+    return {t: FS.read_days(spark, root, f"warehouse_{t}") for t in tables}

@@ -142,9 +142,10 @@ def q_clean_counts(spark, d):
     return C.row_counts(raw, as_of=F.lit(AS_OF).cast("timestamp"))
 
 
-def _batch_run(spark, d):
-    """S6, then the whole batch run over the written raw files, in a fresh folder of the shared
-    scratch space. Returns the folder of the stored tables."""
+def _batch_run(spark, d, types=EVENT_TYPES, tables=()):
+    """S6, then the batch run over the written raw files, in a fresh folder of the shared
+    scratch space, as far as the given clean types and result tables need it. Returns the
+    folder of the stored tables."""
     from clickforge.plans import batch as B
     root = scratch_path(spark, f"batch-{uuid.uuid4().hex}")
     lines = T.raw_event_lines(spark, d)
@@ -152,7 +153,7 @@ def _batch_run(spark, d):
     days = [r[0] for r in lines.select("event_date").distinct().collect()]
     report = B.run_days(spark, f"{root}/raw", f"{root}/out", days, min_visits=2, iqr_factor=1.0,
                         exact=True, as_of=F.lit(AS_OF).cast("timestamp"),
-                        loaded_at=F.lit(AS_OF).cast("timestamp"))
+                        loaded_at=F.lit(AS_OF).cast("timestamp"), types=types, tables=tables)
     if report["failures"]:
         raise RuntimeError(f"the batch run failed for {report['failures']}")
     return f"{root}/out"
@@ -160,15 +161,20 @@ def _batch_run(spark, d):
 
 def q_ingested(et):
     def q(spark, d):
-        t = _ts_text(spark.read.parquet(f"{_batch_run(spark, d)}/clean_{et}"))
+        t = _ts_text(spark.read.parquet(f"{_batch_run(spark, d, [et])}/clean_{et}"))
         return t.withColumn("batch_date", F.col("batch_date").cast("string"))
     return q
 
 
+def _stored(spark, d, *tables):
+    from clickforge.plans import batch as B
+    types = sorted({et for t in tables for et in B.METRICS[t][0]})
+    return B.stored_tables(spark, _batch_run(spark, d, types, tables), tables)
+
+
 def q_stored(table):
     def q(spark, d):
-        from clickforge.plans import batch as B
-        t = B.stored_tables(spark, _batch_run(spark, d))[table]
+        t = _stored(spark, d, table)[table]
         return t.drop("detected_at").withColumn(
             "loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
     return q
@@ -176,9 +182,8 @@ def q_stored(table):
 
 def q_stored_report(spark, d):
     """D1 over stored tables."""
-    from clickforge.plans import batch as B
     from clickforge.plans import reports as RP
-    w = B.stored_tables(spark, _batch_run(spark, d))
+    w = _stored(spark, d, "time_by_device_country", "anomalies", "bounce_rate")
     return RP.timeline(w["time_by_device_country"], w["anomalies"], w["bounce_rate"])
 
 
