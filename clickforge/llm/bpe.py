@@ -27,8 +27,8 @@ from clickforge.llm.text_blocks import blocks
 
 #: States, and half of the pre-tokens, kept per worker. Further states are made and forgotten;
 #: of the pre-tokens the older half gives way.
-MAX_STATES = 80_000
-MAX_PIECES = 200_000
+MAX_STATES = 60_000
+MAX_PIECES = 150_000
 #: Longer pre-tokens are not kept.
 KEPT_PIECE = 40
 
