@@ -69,7 +69,7 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, long_line: int) -> Dat
     at = F.struct(F.col("id").isNull().alias("none"), "id", "t", "place")
     found = saved(each.join(again, "h", "left_semi").withColumn("at", at).drop("id", "t", "place"), "repeated-chunks")
     # grouping by the bytes is the comparison: a hash may be shared, the bytes are not
-    first = found.groupBy("h", "chunk").agg(F.min("at").alias("first"))
+    first = saved(found.groupBy("h", "chunk").agg(F.min("at").alias("first")), "first-chunks")
     later = found.join(first, ["h", "chunk"]).where("at <> first")
     return later.groupBy("at.id", "at.t").agg(F.collect_set("at.place").alias("gone"))
 
