@@ -67,7 +67,8 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, long_line: int) -> Dat
         .where("c.whole").select("id", "t", "place", F.md5("c.text").alias("h"), F.col("c.text").alias("chunk"))
     again = saved(each.groupBy("h").count().where("count > 1").select("h"), "repeated-hashes")
     at = F.struct(F.col("id").isNull().alias("none"), "id", "t", "place")
-    found = saved(each.join(again, "h", "left_semi").withColumn("at", at).drop("id", "t", "place"), "repeated-chunks")
+    # the repeated hashes grow with the documents, so they are never broadcast
+    found = saved(each.join(again.hint("merge"), "h", "left_semi").withColumn("at", at).drop("id", "t", "place"), "repeated-chunks")
     # grouping by the bytes is the comparison: a hash may be shared, the bytes are not
     first = saved(found.groupBy("h", "chunk").agg(F.min("at").alias("first")), "first-chunks")
     later = found.join(first, ["h", "chunk"]).where("at <> first")
