@@ -104,8 +104,9 @@ def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Of equal chunks the one of the least id stays (null ids last; then by a hash of the text,
     then by place). Rows that repeat both id and text are one document: they lose the same
     chunks, and none to each other. A null text stays null and an empty one empty, with 0 and
-    1 lines. Other columns are ignored. Only hashes are shuffled to find repeats, and only
-    the bytes of repeated hashes to compare them.
+    1 lines. Other columns are ignored. Repeats are found by hashes alone; then the
+    chunks' bytes are shuffled once to meet the repeated hashes, and those of a repeated hash
+    are compared.
     """
     return _deduped(docs.select(id_col, text_col), id_col, text_col, long_line).select(
         F.col("row")[id_col].alias(id_col), "text", "n_lines", "n_removed_lines", "n_removed_chunks")
