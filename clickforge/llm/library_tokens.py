@@ -13,6 +13,7 @@ import functools
 import json
 import os
 import re
+import struct
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 from unicodedata import is_normalized
@@ -33,6 +34,17 @@ _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f
 MAX_CHUNKS, PER_CALL, KEPT_CHUNK = 300_000, 2_000, 40
 
 
+def _is_odd(text: str) -> bool:
+    if text.isascii():  # a regular expression looks at every character, this does not
+        return any(c in text for c in "\x1c\x1d\x1e\x1f")
+    return _ODD.search(text) is not None
+
+
+def packed(ids: list[int] | np.ndarray) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return ids.tobytes() if isinstance(ids, np.ndarray) else struct.pack(f"<{len(ids)}I", *ids)
+
+
 _BLANKS = "\t\n\x0b\x0c\r "
 
 
@@ -63,9 +75,9 @@ def _lowers_words(described: dict) -> bool:
 
 class LibraryTokens:
     """Results of a ``.json`` file of the tokenizers library, without added special tokens,
-    truncation or padding. ``value`` makes what is kept of an id array, such as its length."""
+    truncation or padding. ``value`` makes what is kept of some ids, such as their number."""
 
-    def __init__(self, path: str, value: Callable[[np.ndarray], Any]):
+    def __init__(self, path: str, value: Callable[[Any], Any]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library, self.value = Tokenizer.from_file(path), value
@@ -92,9 +104,13 @@ class LibraryTokens:
         if self.lower_words:
             for c in chunks:
                 word = c.lstrip(_BLANKS)
-                if word.isalpha() and max(word) < "\u0250" and is_normalized("NFC", word) and "\u0130" not in word:
+                if not word.isalpha():
+                    continue
+                if word.isascii():
+                    got[c] = self.value([t.id for t in self.library.model.tokenize(word.lower())])
+                elif max(word) < "\u0250" and is_normalized("NFC", word) and "\u0130" not in word:
                     word = "".join(map(_BYTE_LETTERS.__getitem__, word.lower().encode()))
-                    got[c] = self.value(np.array([t.id for t in self.library.model.tokenize(word)], "<u4"))
+                    got[c] = self.value([t.id for t in self.library.model.tokenize(word)])
             chunks = [c for c in chunks if c not in got]
         odd = [c for c in chunks if any(m in c for m in self.marks)]
         got |= zip(odd, map(self.value, self._encode(odd))) if odd else {}
@@ -112,7 +128,7 @@ class LibraryTokens:
         """For each text the values of its parts, in order."""
         if self.mark is None:
             return [[self.value(i)] for i in self._encode(texts)]
-        whole = [i for i, t in enumerate(texts) if _ODD.search(t)]
+        whole = [i for i, t in enumerate(texts) if _is_odd(t)]
         odd = dict(zip(whole, self._encode([texts[i] for i in whole]))) if whole else {}
         cut = [[] if i in odd else _CHUNKS.findall(t) for i, t in enumerate(texts)]
         if len(self.known) >= MAX_CHUNKS:
@@ -153,4 +169,4 @@ def library_counts(path: str) -> LibraryTokens:
 
 @functools.cache
 def library_ids(path: str) -> LibraryTokens:
-    return LibraryTokens(path, np.ndarray.tobytes)
+    return LibraryTokens(path, packed)

@@ -58,7 +58,8 @@ def encode_block(ids: np.ndarray) -> bytes:
     """One block of at least one unsigned 32-bit id."""
     low = int(ids.min())
     rest = ids.astype(np.uint64) - np.uint64(low)
-    width = int(np.percentile(rest, PERCENTILE, method="higher")).bit_length()
+    at = -(-PERCENTILE * (len(rest) - 1) // 100)  # of the sorted values
+    width = int(np.partition(rest, at)[at]).bit_length()
     over = np.flatnonzero(rest >> np.uint64(width))
     head = np.array([len(ids), low, width, len(over)], "<u4")
     return b"".join((head.tobytes(), pack(rest, width), over.astype("<u4").tobytes(),
