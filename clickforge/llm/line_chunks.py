@@ -78,7 +78,7 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, long_line: int) -> Dat
 def _deduped(docs: DataFrame, id_col: str, text_col: str, long_line: int) -> DataFrame:
     """``row`` (all columns), ``text`` without repeats, ``n_lines``, ``n_removed_lines`` and
     ``n_removed_chunks``."""
-    gone = saved(_repeats(docs, id_col, text_col, long_line), "repeats")
+    gone = saved(_repeats(docs, id_col, text_col, long_line), "repeats").hint("merge")  # grows too
     rows = docs.select(F.struct("*").alias("row"))
     text = F.col("row")[text_col]
     rows = rows.join(gone, F.col("row")[id_col].eqNullSafe(gone["id"]) & (F.md5(text) == gone["t"]), "left")
