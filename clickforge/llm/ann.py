@@ -159,9 +159,8 @@ def _nearest(base: DataFrame, asked: DataFrame, k: int) -> DataFrame:
 
 def _merged(found: DataFrame, k: int) -> DataFrame:
     """The ``k`` nearest of each query over all groups: each equal-vector set once, then ids."""
-    # the least id names a set of equal vectors; its score is the same wherever it was met
-    one = found.withColumn("u", F.get("ids", F.lit(0))).groupBy("query_id", "u").agg(
-        F.max("score").alias("score"), F.first("ids").alias("ids"))
+    # ids with several vectors may share their least id with other sets, but not all ids
+    one = found.groupBy("query_id", "ids").agg(F.max("score").alias("score"))
     top = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return one.select("query_id", "score", F.explode("ids").alias("vec_id")) \
         .where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score")) \

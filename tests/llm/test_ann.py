@@ -87,3 +87,10 @@ def test_recall_on_the_table(spark):
     base = [(r.vec_id, np.array(r.embedding, np.float32)) for r in df.collect()]
     got = A.search(df, df.where("vec_id % 20 = 0"), k=20)
     assert recall(got, brute(base, [b for b in base if b[0] % 20 == 0], 20), 20) >= 0.9
+
+
+def test_sets_that_share_their_least_id_are_merged_apart(spark):
+    found = spark.createDataFrame([(1, 0.9, [5, 7]), (1, 0.8, [5, 9]), (1, 0.9, [5, 7])],
+                                  "query_id long, score double, ids array<long>")
+    got = [tuple(r) for r in A._merged(found, 3).orderBy("rank").collect()]
+    assert got == [(1, 1, 5, 0.9), (1, 2, 7, 0.9), (1, 3, 9, 0.8)]
