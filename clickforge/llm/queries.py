@@ -104,11 +104,29 @@ def op10_token_counts(spark, sf_dir):
         .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op11_structure_repair(spark, sf_dir):
+    from clickforge.llm.repair import damaged, repair_conversations
+    return repair_conversations(damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    from clickforge.llm.merkle import verified_manifest
+    docs = table(spark, sf_dir, "documents")
+    return verified_manifest(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0)
+
+
+def op13_embedding_near_dedup(spark, sf_dir):
+    from clickforge.llm.multi_index import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93).select(
+        "vec_id", "n_links", "component_id", "kept")
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_simhash_near_dedup, op2_byte_bpe, op3_token_files, op4_url_reputation,
         op5_line_chunk_dedup, op6_quality_llr, op7_chat_snapshots, op8_multiprobe_search,
-        op9_low_discrepancy_mix, op10_token_counts)}
+        op9_low_discrepancy_mix, op10_token_counts, op11_structure_repair, op12_merkle_manifest,
+        op13_embedding_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

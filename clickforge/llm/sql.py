@@ -145,6 +145,61 @@ SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN coalesce(taken
 FROM placed LEFT JOIN takes USING (doc_id, sid, base)
 """
 
+#: Unsigned CRC-32 of an ASCII text, bit by bit.
+_CRC32 = ("xor(list_reduce(list_transform(range(8 * length({0})), lambda i: CASE WHEN i % 8 = 0 THEN "
+          "ord(substr({0}, i // 8 + 1, 1))::BIGINT ELSE 0::BIGINT END), lambda c, b: "
+          "xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384), 4294967295::BIGINT), 4294967295::BIGINT)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text"]
+    return f"sha256({' || '.join(map(_field, fields))})"
+
+
+OP12 = rf"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, lang, {_leaf('n_chars')} AS d, CASE WHEN {_CRC32.format('doc_id::VARCHAR')} % 7 = 0
+         THEN {_leaf('n_chars + 1')} END AS seen FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM hashed WINDOW w AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, d)),
+nodes AS (
+  SELECT 0 AS l, lang, pos, d, n FROM leaves
+  UNION ALL
+  SELECT l + 1, lang, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (max(n) + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY l, lang, pos // 2),
+subroots AS (
+  SELECT lang, d, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS l, pos, d, n FROM subroots
+  UNION ALL
+  SELECT l + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (max(n) + 1) // 2
+  FROM tops WHERE n > 1 GROUP BY l, pos // 2),
+root AS (SELECT d AS root FROM tops WHERE n = 1),
+up AS (
+  SELECT doc_id, lang, pos AS leaf_pos, 0 AS l, pos, d, n, coalesce(seen, d) AS cur, '' AS path FROM leaves
+  UNION ALL
+  SELECT u.doc_id, u.lang, leaf_pos, u.l + 1, u.pos // 2, u.d, (u.n + 1) // 2, sha256(
+           CASE WHEN u.pos % 2 = 1 THEN s.d || cur ELSE cur || coalesce(s.d, '') END), path || coalesce(s.d, '')
+  FROM up u LEFT JOIN nodes s ON s.l = u.l AND s.lang IS NOT DISTINCT FROM u.lang AND s.pos = xor(u.pos, 1)
+  WHERE u.n > 1),
+over AS (
+  SELECT doc_id, u.lang, leaf_pos, 0 AS l, t.pos, u.d, t.n, cur, path, t.d AS subroot
+  FROM up u JOIN subroots t ON t.lang IS NOT DISTINCT FROM u.lang WHERE u.n = 1
+  UNION ALL
+  SELECT doc_id, lang, leaf_pos, u.l + 1, u.pos // 2, u.d, (u.n + 1) // 2, sha256(
+           CASE WHEN u.pos % 2 = 1 THEN s.d || cur ELSE cur || coalesce(s.d, '') END), path || coalesce(s.d, ''), subroot
+  FROM over u LEFT JOIN tops s ON s.l = u.l AND s.pos = xor(u.pos, 1) WHERE u.n > 1)
+SELECT doc_id, d AS leaf, subroot, root, sha256(path) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM over, root WHERE n = 1
+"""
+
 ORACLES: dict[str, str] = {
     "op4_url_reputation": OP4, "op5_line_chunk_dedup": OP5, "op7_chat_snapshots": OP7,
-    "op9_low_discrepancy_mix": OP9}
+    "op9_low_discrepancy_mix": OP9,
+    "op12_merkle_manifest": OP12}
