@@ -151,6 +151,77 @@ _CRC32 = ("xor(list_reduce(list_transform(range(8 * length({0})), lambda i: CASE
           "xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384), 4294967295::BIGINT), 4294967295::BIGINT)")
 
 
+def _least(*options: tuple) -> str:
+    """The least (cost, audit) of some (condition, cost, audit) as a struct."""
+    some = ", ".join(f"CASE WHEN {w} THEN {{'c': {c}, 'a': {a}}} END" for w, c, a in options)
+    return f"list_sort(list_filter([{some}], lambda x: x IS NOT NULL))[1]"
+
+
+def _base(state: str, expected: str) -> str:
+    """The least cost to go from a state before a row, without an insert before the row."""
+    kept = [("low = 's'", "t + s.c", "'K' || s.a")] if state == "q" else []
+    return _least(("true", f"4 + {state}.c", f"'D' || {state}.a"),
+                  (f"low = '{expected}'", f"t + {expected}.c", f"'K' || {expected}.a"),
+                  ("low <> 'x'", f"3 + t + {expected}.c", f"'R' || {expected}.a"), *kept)
+
+
+def _inserted(own: str, after: str) -> str:
+    return _least(("true", f"{own}.c", f"{own}.a"), ("true", f"3 + {after}.c", f"'I' || {after}.a"))
+
+
+OP11 = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+faults AS (SELECT *, {_CRC32.format('k')} % 20 AS f FROM keyed),
+rows AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE WHEN f = 1 THEN ''
+         WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN f = 0 THEN [] WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy FROM faults),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS pos, substr(role, 1, 1) AS i, lag(substr(role, 1, 1)) OVER w AS i0,
+         regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g') AS solid
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+marked AS (
+  SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN seen THEN 'duplicate'
+         WHEN substr(solid, -1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS seen FROM placed)),
+signs AS (
+  SELECT conv_id, pos, role, text, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS t,
+         CASE WHEN fault IN ('blank', 'duplicate') THEN 'x' WHEN i IN ('s', 'u', 'a') THEN i ELSE 'o' END AS low FROM marked),
+facts AS (
+  SELECT ids.conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pos > 0 AND i0 || i NOT IN ('su', 'ua', 'au')) AS illegal, count(pos) AS n
+  FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN marked ON marked.conv_id IS NOT DISTINCT FROM ids.conv_id
+  GROUP BY ids.conv_id),
+togo AS (
+  SELECT conv_id, n AS here, {{'c': 0, 'a': ''}} AS q, {{'c': 6, 'a': 'II'}} AS s, {{'c': 3, 'a': 'I'}} AS u, {{'c': 0, 'a': ''}} AS a
+  FROM facts
+  UNION ALL
+  SELECT conv_id, here, {_inserted('bq', 'u')} AS q, {_inserted('bs', 'u')} AS s, u, a FROM (
+    SELECT *, {_inserted('bu', 'ba')} AS u, {_inserted('ba', 'bu')} AS a FROM (
+      SELECT g.conv_id, here - 1 AS here, {_base('q', 'u')} AS bq, {_base('s', 'u')} AS bs, {_base('u', 'a')} AS bu,
+             {_base('a', 'u')} AS ba
+      FROM togo g JOIN signs r ON r.conv_id IS NOT DISTINCT FROM g.conv_id AND r.pos = g.here - 1 WHERE here > 0))),
+best AS (SELECT conv_id, q.c::BIGINT AS cost, q.a AS audit FROM togo WHERE here = 0),
+walk AS (
+  SELECT conv_id, audit, 1 AS k, 0 AS here, 'q' AS state, []::VARCHAR[] AS lines FROM best
+  UNION ALL
+  SELECT conv_id, audit, k + 1, here + (e <> 'I')::INT, CASE WHEN e = 'D' THEN state ELSE substr(line, 1, 1) END,
+         CASE WHEN e = 'D' THEN lines ELSE list_append(lines, line) END
+  FROM (SELECT w.*, substr(audit, k, 1) AS e, CASE
+          WHEN substr(audit, k, 1) = 'K' THEN r.role || ':' || r.text
+          WHEN state = 'u' THEN 'assistant:' || CASE WHEN substr(audit, k, 1) = 'I' THEN '' ELSE r.text END
+          ELSE 'user:' || CASE WHEN substr(audit, k, 1) = 'I' THEN '' ELSE r.text END END AS line
+        FROM walk w LEFT JOIN signs r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.here WHERE k <= length(audit)))
+SELECT f.conv_id, gaps, blank, duplicate, truncated, illegal, cost, b.audit, sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM facts f JOIN best b ON b.conv_id IS NOT DISTINCT FROM f.conv_id
+JOIN walk w ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.k = length(w.audit) + 1
+"""
+
+
 def _field(value: str) -> str:
     return f"coalesce(strlen({value}) || ':' || {value}, '-')"
 
@@ -199,7 +270,29 @@ SELECT doc_id, d AS leaf, subroot, root, sha256(path) AS proof_sha256, cur AS fo
 FROM over, root WHERE n = 1
 """
 
+OP13 = """
+WITH RECURSIVE numbered AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+usable AS (
+  SELECT * FROM numbered WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0 AND len(v) = len(list_filter(v, lambda x: isfinite(x)))
+    AND list_bool_or(list_transform(v, lambda x: x <> 0))),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM usable a JOIN usable b
+  ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.93),
+reach AS (
+  SELECT r, r AS other FROM numbered
+  UNION
+  SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT vec_id, n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM (
+  SELECT s.r, any_value(s.vec_id) AS vec_id, min(o.vec_id) AS component_id FROM reach JOIN numbered s ON s.r = reach.r
+  JOIN numbered o ON o.r = reach.other GROUP BY s.r)
+JOIN (SELECT numbered.r, count(links.b) AS n_links FROM numbered LEFT JOIN links ON links.a = numbered.r GROUP BY numbered.r) USING (r)
+"""
+
 ORACLES: dict[str, str] = {
     "op4_url_reputation": OP4, "op5_line_chunk_dedup": OP5, "op7_chat_snapshots": OP7,
     "op9_low_discrepancy_mix": OP9,
-    "op12_merkle_manifest": OP12}
+    "op11_structure_repair": OP11,
+    "op12_merkle_manifest": OP12,
+    "op13_embedding_near_dedup": OP13}
