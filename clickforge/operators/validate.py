@@ -2,11 +2,10 @@
 
 Input is a DataFrame of JSONL lines (see :func:`clickforge.sources.raw.read_lines`) with
 ``file_path, event_type, block_start, line_id, line, v`` where ``v`` is the parsed
-``variant`` (null for blank and non-JSON lines). Every check is a Column expression
-generated from the rule table (:mod:`clickforge.rules`), evaluated per row on the
-JVM by higher-order functions over the record's fields (interpreted, not generated code);
-there is no UDF and no per-file Python loop. Files of all event types are validated in one
-pass: the rule set is looked up by the file's event type.
+``variant`` (null for blank and non-JSON lines). The rule table (:mod:`clickforge.rules`) is
+compiled: each event type's profile becomes flat Column expressions over the fields that it
+rules, extracted once, without maps, higher-order functions, UDFs or per-file Python
+loops. Files of all event types are validated in one pass: the file's event type picks the branch.
 
 Per record the checks run in the reference order: unknown type (single error), required
 fields (missing / JSON null; if any fire, nothing else is checked), types, enums (even
@@ -32,15 +31,15 @@ MSG_TS_TYPE = "timestamp debe ser string, recibido {}"
 MSG_TS_FORMAT = "timestamp no tiene formato ISO8601: '{}'"
 EXPECTED_NAME = {"str": "str", "num": "int o float", "int": "int"}
 
-def _py_type(fv: Column) -> Column:
-    """Python type name of a parsed JSON value (used in messages and kind checks).
+def _py_type(t: Column) -> Column:
+    """Python type name of a parsed JSON value (used in messages and kind checks), from the
+    variant's schema ``t``, a column of the plan.
 
     The variant parser keeps integer literals as BIGINT and any literal with a fraction
     or exponent as DECIMAL/DOUBLE (``46.0`` becomes ``DECIMAL(2,0)``), so a DECIMAL is a
     Python ``float``, unless it has more digits than a BIGINT holds and no fraction: then
     it was an integer literal (the parser drops the fraction of shorter ones only).
     """
-    t = F.schema_of_variant(fv)
     digits = F.regexp_extract(t, r"^DECIMAL\(([0-9]+),0\)$", 1).try_cast("int")
     return (F.when(t == "STRING", "str")
              .when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | (digits >= 19), "int")
@@ -77,111 +76,180 @@ def _fmt(msg: str, *args: Column) -> Column:
     return F.format_string(msg.replace("{}", "%s"), *args)
 
 
-def _typed_array(items: list[Column], element: str) -> Column:
-    return F.array(*items) if items else F.array().cast(f"array<{element}>")
-
-
-TYPE_RULE = "struct<f:string,kind:string,expected:string>"
-ENUM_RULE = "struct<f:string,vals:array<string>>"
-RANGE_RULE = "struct<f:string,lo:double,hi:double,lo_s:string,hi_s:string>"
-
-
-def rule_map(profile: str = "ingest") -> Column:
-    """The rule profile as one constant ``map<event_type, struct<required, types, enums,
-    ranges>>`` Column: the checks below are a fixed set of higher-order expressions over
-    it, so generated code does not grow with the number of rules."""
-    entries = []
-    for et, spec in PROFILES[profile].items():
-        required = _typed_array([F.lit(f) for f in spec["required"]], "string")
-        types = _typed_array([F.struct(F.lit(f).alias("f"), F.lit(k).alias("kind"),
-                                       F.lit(EXPECTED_NAME[k]).alias("expected"))
-                              for f, k in spec["types"].items()], TYPE_RULE)
-        enums = _typed_array([F.struct(F.lit(f).alias("f"),
-                                       F.array(*[F.lit(x) for x in vals]).alias("vals"))
-                              for f, vals in spec["enums"].items()], ENUM_RULE)
-        ranges = _typed_array([F.struct(F.lit(f).alias("f"),
-                                        F.lit(float(lo)).alias("lo"),
-                                        F.lit(float(hi)).alias("hi"),
-                                        F.lit(str(lo)).alias("lo_s"),
-                                        F.lit(str(hi)).alias("hi_s"))
-                               for f, (lo, hi) in spec["ranges"].items()], RANGE_RULE)
-        entries += [F.lit(et), F.struct(required.alias("required"), types.alias("types"),
-                                        enums.alias("enums"), ranges.alias("ranges"))]
-    return F.create_map(*entries)
-
-
-def _kind_ok(pt: Column, kind: Column) -> Column:
-    # "num": a JSON boolean passes, as Python's bool is an int.
-    return (F.when(kind == "str", pt == "str")
-             .when(kind == "num", pt.isin("int", "float", "bool"))
-             .when(kind == "int", pt == "int")
-             .otherwise(F.lit(False)))
-
-
-def _compact(arr: Column) -> Column:
-    return F.filter(arr, lambda e: e.isNotNull())
-
-
-FIELD_INFO = "struct<pt:string,s:string,d:double,txt:string,isnull:boolean>"
+NO_ERRORS = "array<struct<code:string,field:string,reason:string>>"
 
 
-def field_info(m: Column) -> Column:
-    """``map<field, struct<pt, s, d, txt, isnull>>``: per present field its Python type
-    name, string value, numeric value (booleans as 0/1), Python text and JSON-null flag,
-    each derived from the variant once per record."""
-    typed = F.transform(F.map_entries(m), lambda e: F.struct(
-        e["key"].alias("k"), e["value"].alias("v"), _py_type(e["value"]).alias("pt")))
+#: Slots or checks whose code goes into one generated method.
+STAGE = 3
 
-    def facts(e):
-        v, pt = e["v"], e["pt"]
-        d = F.when(pt == "bool", F.try_variant_get(v, "$", "boolean").cast("double")) \
-             .when(pt.isin("int", "float"), F.try_variant_get(v, "$", "double"))
-        return F.struct(e["k"].alias("key"), F.struct(
-            pt.alias("pt"), F.try_variant_get(v, "$", "string").alias("s"), d.alias("d"),
-            _as_text(v, pt).alias("txt"), F.is_variant_null(v).alias("isnull")).alias("value"))
 
-    return F.map_from_entries(F.transform(typed, facts))
+class _Compiled:
+    """A rule profile compiled to flat Columns over slots.
 
-
-def record_errors(info: Column, event_type: Column, profile: str = "ingest") -> Column:
-    """``array<struct<code, field, reason>>`` of all errors of one record (empty = valid).
-
-    ``info`` is :func:`field_info` of the record (a missing key = missing field).
+    The ruled fields of an event type, required ones first, have places: its slots. Slot ``p`` of
+    a record is the field that its own type has there, so the code grows with the widest type,
+    not with all types' rules. Columns of the plan: ``_x<p>`` the field's variant (null where it
+    is missing), ``_t<p>`` its Python type name.
     """
-    spec = F.element_at(rule_map(profile), event_type)
-
-    def has(f):
-        return F.map_contains_key(info, f)
-
-    def fi(f):
-        return F.element_at(info, f)
-
-    req = _compact(F.transform(spec["required"], lambda f: (
-        F.when(~has(f), _err("missing_field", f, _fmt(MSG_MISSING, f)))
-         .when(fi(f)["isnull"], _err("null_field", f, _fmt(MSG_NULL, f))))))
-    types = _compact(F.transform(spec["types"], lambda r: F.when(
-        has(r["f"]) & ~_kind_ok(fi(r["f"])["pt"], r["kind"]),
-        _err("wrong_type", r["f"], _fmt(MSG_TYPE, r["f"], r["expected"], fi(r["f"])["pt"])))))
-    enums = _compact(F.transform(spec["enums"], lambda r: F.when(
-        has(r["f"]) & ~F.coalesce((fi(r["f"])["pt"] == "str")
-                                  & F.array_contains(r["vals"], fi(r["f"])["s"]), F.lit(False)),
-        _err("invalid_enum", r["f"], _fmt(MSG_ENUM, r["f"], fi(r["f"])["txt"])))))
-    ranges = _compact(F.transform(spec["ranges"], lambda r: F.when(
-        has(r["f"]) & fi(r["f"])["pt"].isin("int", "float", "bool")
-        & ~fi(r["f"])["d"].between(r["lo"], r["hi"]),
-        _err("out_of_range", r["f"], _fmt(MSG_RANGE, r["f"], r["lo_s"], r["hi_s"],
-                                          fi(r["f"])["txt"])))))
-    t = fi(F.lit("timestamp"))
-    has_ts = has(F.lit("timestamp"))
-    ts_err = _compact(F.array(
-        F.when(has_ts & (t["pt"] != "str"),
-               _err("timestamp_type", "timestamp", _fmt(MSG_TS_TYPE, t["pt"])))
-         .when(has_ts & ~t["s"].rlike(ISO8601_PATTERN),
-               _err("timestamp_format", "timestamp", _fmt(MSG_TS_FORMAT, t["s"])))))
-    unknown = F.array(_err("unknown_event_type", None, _fmt(MSG_UNKNOWN_TYPE, event_type)))
-    return (F.when(spec.isNull(), unknown)
-             .when(F.size(req) > 0, req)
-             .otherwise(F.concat(types, enums, ranges, ts_err)))
+
+    def __init__(self, rules: dict):
+        self.rules, self.fields = rules, {}
+        for et, spec in rules.items():
+            own = list(dict.fromkeys([*spec["required"], *spec["types"], *spec["enums"], *spec["ranges"], "timestamp"]))
+            self.fields[et] = own
+            for part in ("types", "enums", "ranges"):
+                places = [own.index(f) for f in spec[part]]
+                if places != sorted(places) or own[:2] != ["user_id", "session_id"]:
+                    raise ValueError(f"the rules of {et} name their fields in different orders")
+        self.width = max(map(len, self.fields.values()))
+        self.known = F.col("event_type").isin(list(rules))
+
+    def by_type(self, place: int, rule) -> dict:
+        """``rule(spec, field)`` of the types that have a slot ``place``, with their names; types
+        without such a rule are left out."""
+        out = {}
+        for et, own in self.fields.items():
+            found = rule(self.rules[et], own[place]) if place < len(own) else None
+            if found is not None:
+                out.setdefault(repr(found), (found, []))[1].append(et)
+        return out
+
+    def pick(self, place: int, rule, value) -> Column | None:
+        """``value(rule)`` by the record's type; null for types without the rule."""
+        out = None
+        for found, types in self.by_type(place, rule).values():
+            case = F.when if out is None else out.when
+            out = case(F.col("event_type").isin(types), value(found))
+        return out
+
+    def field(self, place: int) -> Column:
+        return F.get("_fields", F.lit(place))
+
+    def extracted(self, records: DataFrame) -> DataFrame:
+        """Adds the slots: only ruled fields are read from the variant, each once."""
+        names, required = F.array().cast("array<string>"), F.lit(0)
+        for et, own in self.fields.items():
+            own_type = F.col("event_type") == et
+            names = F.when(own_type, F.array(*map(F.lit, own))).otherwise(names)
+            required = F.when(own_type, len(self.rules[et]["required"])).otherwise(required)
+        slots = {}
+        for p in range(self.width):
+            read = self.pick(p, lambda spec, f: f, lambda f: F.try_variant_get("v", f"$.{f}", "variant"))
+            if p < 2:  # read of unknown types too
+                read = F.try_variant_get("v", f"$.{next(iter(self.fields.values()))[p]}", "variant")
+            slots[f"_x{p}"] = read
+        df = materialize(records, _fields=names, _required=required, **slots)
+        df = materialize(df, **{f"_s{p}": F.schema_of_variant(f"_x{p}") for p in range(self.width)})
+        return self._staged(df, {f"_t{p}": _py_type(F.col(f"_s{p}")) for p in range(self.width)})
+
+    @staticmethod
+    def _staged(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+        """Adds columns ``STAGE`` at a time: each stage is a generated method of its own, small
+        enough for the JVM to compile it."""
+        names = list(cols)
+        for k in range(0, len(names), STAGE):
+            df = materialize(df, **{n: cols[n] for n in names[k:k + STAGE]})
+        return df
+
+    @staticmethod
+    def _listed(df: DataFrame, name: str, where: Column, checks: list[tuple[Column, Column]],
+                stage: int = STAGE) -> tuple[DataFrame, list]:
+        """``df`` with columns that list the errors of the checks whose condition holds (null: it
+        does not), in order, for records ``where`` they apply; and the columns' names."""
+        none, names = F.array().cast(NO_ERRORS), []
+        for k in range(0, len(checks), stage):
+            some = F.concat(none, *[F.when(cond, F.array(error)).otherwise(none) for cond, error in checks[k:k + stage]])
+            names.append(f"{name}{k}")
+            df = materialize(df, **{names[-1]: F.when(where, some).otherwise(none)})
+        return df, names
+
+    def required(self) -> list:
+        """Missing and null required fields."""
+        out = []
+        for p in range(max(len(spec["required"]) for spec in self.rules.values())):
+            x, f = F.col(f"_x{p}"), self.field(p)
+            gone = x.isNull()
+            out.append(((F.col("_required") > p) & (gone | (F.col(f"_t{p}") == "NoneType")), _err(
+                F.when(gone, "missing_field").otherwise("null_field"), f,
+                F.when(gone, _fmt(MSG_MISSING, f)).otherwise(_fmt(MSG_NULL, f)))))
+        return out
+
+    def types(self) -> list:
+        out = []
+        for p in range(self.width):
+            pt = F.col(f"_t{p}")
+
+            def rule(spec, f):
+                return spec["types"].get(f)
+
+            wrong = self.pick(p, rule, lambda kind, pt=pt: ~_kind_ok(pt, kind))
+            if wrong is not None:
+                expected = self.pick(p, rule, lambda kind: F.lit(EXPECTED_NAME[kind]))
+                out.append((wrong, _err("wrong_type", self.field(p), _fmt(MSG_TYPE, self.field(p), expected, pt))))
+        return out
+
+    def enums(self) -> list:
+        out = []
+        for p in range(self.width):
+            x, pt = F.col(f"_x{p}"), F.col(f"_t{p}")
+            wrong = self.pick(p, lambda spec, f: spec["enums"].get(f), lambda vals, x=x, pt=pt: (
+                (pt != "str") | ~F.try_variant_get(x, "$", "string").isin(vals)))
+            if wrong is not None:
+                out.append((wrong, _err("invalid_enum", self.field(p), _fmt(
+                    MSG_ENUM, self.field(p), _as_text(x, pt)))))
+        return out
+
+    def ranges(self) -> list:
+        out = []
+        for p in range(self.width):
+            x, pt = F.col(f"_x{p}"), F.col(f"_t{p}")
+            # a boolean counts as 0 or 1
+            number = F.when(pt == "bool", F.try_variant_get(x, "$", "boolean").cast("double")) \
+                .otherwise(F.try_variant_get(x, "$", "double"))
+
+            def rule(spec, f):
+                return spec["ranges"].get(f)
+
+            wrong = self.pick(p, rule, lambda r, pt=pt, number=number: (
+                pt.isin("int", "float", "bool") & ~number.between(float(r[0]), float(r[1]))))
+            if wrong is not None:
+                low, high = (self.pick(p, rule, lambda r, k=k: F.lit(str(r[k]))) for k in (0, 1))
+                out.append((wrong, _err("out_of_range", self.field(p), _fmt(
+                    MSG_RANGE, self.field(p), low, high, _as_text(x, pt)))))
+        return out
+
+    def timestamp(self) -> tuple[Column, Column]:
+        x, pt = F.lit(None), F.lit(None).cast("string")
+        for p in range(self.width):
+            own = self.pick(p, lambda spec, f: f if f == "timestamp" else None, lambda f: F.lit(True))
+            if own is not None:
+                x = F.when(own, F.try_variant_get(f"_x{p}", "$", "string")).otherwise(x)
+                pt = F.when(own, F.col(f"_t{p}")).otherwise(pt)
+        return x, pt
+
+    def errors(self, df: DataFrame) -> DataFrame:
+        """``df`` with the slots, and ``errors`` of every record (empty: valid)."""
+        record = F.col("is_record")
+        df, lacks = self._listed(df, "_lacks", record, self.required())
+        text, pt = self.timestamp()
+        lacking = F.concat(*lacks)
+        df = materialize(df, _lacks=lacking, _checked=record & self.known & (F.size(lacking) == 0), _ts=text, _tt=pt)
+        stamps = [(F.col("_tt") != "str", _err("timestamp_type", "timestamp", _fmt(MSG_TS_TYPE, F.col("_tt")))),
+                  ((F.col("_tt") == "str") & ~F.col("_ts").rlike(ISO8601_PATTERN),
+                   _err("timestamp_format", "timestamp", _fmt(MSG_TS_FORMAT, F.col("_ts"))))]
+        listed = []
+        for name, checks, stage in (("_types", self.types(), STAGE), ("_values", self.enums() + self.ranges(), 1),
+                                    ("_stamps", stamps, STAGE)):
+            df, more = self._listed(df, name, F.col("_checked"), checks, stage)
+            listed += more
+        unknown = F.array(_err("unknown_event_type", None, _fmt(MSG_UNKNOWN_TYPE, F.col("event_type"))))
+        return materialize(df, errors=F.when(record, F.when(~self.known, unknown).otherwise(
+            F.concat("_lacks", *listed))))
+
+
+def _kind_ok(pt: Column, kind: str) -> Column:
+    # "num": a JSON boolean passes, as Python's bool is an int.
+    return {"str": pt == "str", "num": pt.isin("int", "float", "bool"), "int": pt == "int"}[kind]
 
 
 def annotate(lines: DataFrame, profile: str = "ingest") -> DataFrame:
@@ -191,22 +259,16 @@ def annotate(lines: DataFrame, profile: str = "ingest") -> DataFrame:
 
     A JSON line that is not an object counts as a record with every field missing.
     """
-    empty = F.create_map().cast("map<string,variant>")
-    m = F.coalesce(F.try_variant_get("v", "$", "map<string,variant>"), empty)
-    df = materialize(lines.withColumn("is_record", F.col("v").isNotNull()),
-                     _i=field_info(m))
-    info = F.col("_i")
+    rules = _Compiled(PROFILES[profile])
+    df = rules.extracted(lines.withColumn("is_record", F.col("v").isNotNull()))
 
-    def ident(f):
-        x = F.element_at(info, f)
-        return F.when(~F.map_contains_key(info, f), F.lit("unknown")).otherwise(
-            F.when(~x["isnull"], x["txt"]))
+    def ident(p):
+        x, pt = F.col(f"_x{p}"), F.col(f"_t{p}")
+        return F.when(x.isNull(), "unknown").when(pt != "NoneType", _as_text(x, pt))
 
     is_rec = F.col("is_record")
-    errors = record_errors(info, F.col("event_type"), profile)
-    return materialize(df, errors=F.when(is_rec, errors),
-                       err_user_id=F.when(is_rec, ident("user_id")),
-                       err_session_id=F.when(is_rec, ident("session_id"))).drop("_i")
+    df = materialize(df, err_user_id=F.when(is_rec, ident(0)), err_session_id=F.when(is_rec, ident(1)))
+    return rules.errors(df).select(*lines.columns, "is_record", "errors", "err_user_id", "err_session_id")
 
 
 def with_record_index(ann: DataFrame, records: DataFrame | None = None) -> DataFrame:
