@@ -187,9 +187,17 @@ def q_stored_report(spark, d):
     return RP.timeline(w["time_by_device_country"], w["anomalies"], w["bounce_rate"])
 
 
+#: Lines of one file of the written fixture.
+FILE_LINES = 10_000
+
+
 def _fixture(spark, d):
-    from clickforge.sources.ingest_fixture import fixture_lines
-    return fixture_lines(spark, d)
+    """The faulty lines, written once in the shared scratch space as many files, as raw lines
+    arrive: what reads them twice does not make them twice."""
+    from clickforge.sources.ingest_fixture import fixture_text, with_sizes
+    lines, path = fixture_text(spark, d), scratch_path(spark, f"fixture-{uuid.uuid4().hex}")
+    lines.write.option("maxRecordsPerFile", FILE_LINES).parquet(path)
+    return with_sizes(spark.read.schema(lines.schema).parquet(path))
 
 
 def _records(spark, d):

@@ -44,18 +44,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment to a shared file system. Only when it
-    is unset in a purely local session (tests) do we pick a private scratch folder.
+    is unset in a purely local session (tests) do we pick a private scratch folder, one for each
+    application.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        d = tempfile.mkdtemp(prefix="clickforge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        app = spark.sparkContext.applicationId
+        d = _LOCAL_FOLDERS.get(app) or _LOCAL_FOLDERS.setdefault(app, tempfile.mkdtemp(prefix="clickforge-ckpt-"))
     spark.sparkContext.setCheckpointDir(d)
     return d
 

@@ -119,9 +119,8 @@ def fixture_selects() -> list[tuple[str, str, str]]:
     return [main, quarantined, notes]
 
 
-def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns ``file_path, file_size, block_start, line_id, line`` (the shape of
-    :func:`clickforge.sources.raw.read_lines` before parsing)."""
+def fixture_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``file_path, block_start, line_id, line`` of the fixture's files."""
     d = T.derive(T.table(spark, sf_dir, "events")).withColumn(
         "tss", F.concat(F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss"),
                         F.lit("+00:00")))
@@ -132,8 +131,18 @@ def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = parts[0]
     for p in parts[1:]:
         lines = lines.unionByName(p)
+    return lines.select("file_path", (F.floor(F.col("line_id") / SPLIT_ROWS) * SPLIT_ROWS)
+                        .cast("long").alias("block_start"), "line_id", "line")
+
+
+def with_sizes(lines: DataFrame) -> DataFrame:
+    """Columns ``file_path, file_size, block_start, line_id, line`` (the shape of
+    :func:`clickforge.sources.raw.read_lines` before parsing)."""
     sizes = lines.groupBy("file_path").agg(
         F.sum(F.length("line") + 1).cast("long").alias("file_size"))
-    return lines.join(sizes, "file_path").select(
-        "file_path", "file_size", (F.floor(F.col("line_id") / SPLIT_ROWS) * SPLIT_ROWS)
-        .cast("long").alias("block_start"), "line_id", "line")
+    return lines.join(sizes, "file_path").select("file_path", "file_size", "block_start", "line_id", "line")
+
+
+def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture with its files' sizes."""
+    return with_sizes(fixture_text(spark, sf_dir))
