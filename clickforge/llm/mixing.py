@@ -1,10 +1,13 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-The mix is a row of slots, each a block of as many words. Slot t belongs to the source whose
-interval of the cumulative target weights holds the t-th golden-ratio point, so that every
-stretch of the schedule is close to the targets. The r-th slot of a source takes block r of
-its documents, which stand in a shuffled order, end to end, and start again when all are
-taken. Everything is joins, grouped sums and windows over bounded groups.
+A source's documents stand in a shuffled order, end to end, cut into blocks of equal words
+(one word more or less) that divide its own size. The mix is a row of slots of one block each;
+a source needs as many as its target has blocks. Slot t belongs to the source whose interval of
+the cumulative slots holds the t-th golden-ratio point, so that every stretch of the schedule is
+close to the targets. The r-th slot of a source takes its block r, starting again when all are
+taken. Then each source is settled: slots beyond its own number go, those that the points left
+out follow at the end, and its last slot takes only the words up to the target. Everything is
+joins, grouped sums and windows over bounded groups.
 """
 
 from __future__ import annotations
@@ -16,8 +19,9 @@ from clickforge.llm.common import free_name, row_hash, saved, words
 
 #: The golden ratio's fraction times 2**32, odd: its multiples modulo 2**32 visit every value.
 GOLDEN = 2_654_435_769
-#: Equal cells of the unit interval by which points and intervals are joined.
-CELLS = 1_024
+#: Equal cells of the unit interval by which points and intervals are joined: at least so many,
+#: and four a source, so that a cell holds few intervals.
+LEAST_CELLS = 1_024
 #: Slots that are numbered together.
 CHUNK = 65_536
 
@@ -59,47 +63,78 @@ def _point(slot: Column) -> Column:
     return (high + t * (GOLDEN & 0xFFFF)) % (1 << 32)
 
 
-def schedule(sources: DataFrame, block_words: int) -> DataFrame:
-    """Slots of the mix: ``slot``, ``sid``, ``block`` (of the source's shuffled documents) and
-    ``epoch``. Slots beyond two epochs of a source stay empty and are left out."""
+def _start(block: Column) -> Column:
+    """The first word of a source's block: ``n_wide`` blocks of ``width + 1`` words, then others of ``width``."""
+    return block * F.col("width") + F.least(block, F.col("n_wide"))
+
+
+def _block_of(word: Column) -> Column:
+    wide = F.col("n_wide") * (F.col("width") + 1)
+    return F.when(word < wide, F.floor(word / (F.col("width") + 1))).otherwise(
+        F.col("n_wide") + F.floor((word - wide) / F.col("width")))
+
+
+def blocked(sources: DataFrame, block_words: int) -> DataFrame:
+    """:func:`weighed_sources` that have words, with ``n_blocks`` (of ``block_words`` words or a few
+    less), their ``width`` and ``n_wide``, ``most`` (the target in whole words), ``rest`` (words of the
+    epoch that is not whole) and ``n_slots``."""
+    rows = sources.where("source_size > 0").withColumn("n_blocks", F.ceil(F.col("source_size") / block_words)) \
+        .withColumn("width", F.expr("source_size div n_blocks")).withColumn("n_wide", F.col("source_size") % F.col("n_blocks")) \
+        .withColumn("most", F.least(F.round("target").cast("long"), 2 * F.col("source_size"))) \
+        .withColumn("rest", F.col("most") % F.col("source_size"))
+    partly = F.when(F.col("rest") > 0, _block_of(F.col("rest") - 1) + 1).otherwise(0)
+    return rows.withColumn("n_slots", (F.expr("most div source_size") * F.col("n_blocks") + partly).cast("long"))
+
+
+def schedule(sources: DataFrame) -> DataFrame:
+    """Slots of the mix of :func:`blocked` sources: ``slot``, ``sid``, ``block`` (of the source's
+    shuffled documents), ``epoch``, and ``upto``, the word at which the slot ends early (null: none)."""
     spark, span = sources.sparkSession, 1 << 32
-    by_id, all_rows = Window.orderBy("sid"), Window.partitionBy()
-    total = sources.agg(F.sum("target")).first()[0] or 0.0
-    n_slots = int(-(-total // block_words))
-    upto = F.sum("target").over(by_id.rowsBetween(Window.unboundedPreceding, 0))
+    facts = sources.agg(F.sum("n_slots").alias("n"), F.count("*").alias("m")).first()
+    n_slots, cells = facts["n"] or 0, LEAST_CELLS
+    while cells < 4 * facts["m"] and cells < 1 << 24:
+        cells *= 2
+    by_id, all_rows = Window.orderBy("sid"), Window.partitionBy()  # a row a source
+    upto = F.sum("n_slots").over(by_id.rowsBetween(Window.unboundedPreceding, 0))
     end = F.when(F.col("sid") == F.max("sid").over(all_rows), F.lit(span)).otherwise(
-        F.floor(upto / total * span) if total else F.lit(0)).cast("long")
-    parts = sources.withColumn("high", end).withColumn(
+        F.floor(upto / n_slots * span) if n_slots else F.lit(0)).cast("long")
+    parts = sources.select("sid", "n_slots", end.alias("high")).withColumn(
         "low", F.lag("high", 1, 0).over(by_id)).where("low < high")
-    width = span // CELLS
-    parts = saved(parts.select(
-        "sid", "low", "high", F.ceil(F.col("source_size") / block_words).alias("n_blocks"),
-        F.explode(F.sequence(F.floor(F.col("low") / width),
-                             F.floor((F.col("high") - 1) / width))).alias("cell")), "parts")
+    width = span // cells
+    parts = saved(parts.select("sid", "low", "high", F.explode(F.sequence(
+        F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))).alias("cell")), "parts")
     slots = spark.range(n_slots).select(F.col("id").alias("slot"),
                                         _point(F.col("id") + 1).alias("u"))
     slots = slots.withColumn("cell", F.floor(F.col("u") / width)).join(parts, "cell") \
         .where("u >= low and u < high") \
-        .select("slot", "sid", "n_blocks", F.floor(F.col("slot") / CHUNK).alias("chunk"))
+        .select("slot", "sid", F.floor(F.col("slot") / CHUNK).alias("chunk"))
     slots = saved(slots, "slots")
     counts = slots.groupBy("sid", "chunk").count()
     earlier = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("sid", "chunk", F.coalesce(
         F.sum("count").over(earlier), F.lit(0)).alias("before"))
     within = F.row_number().over(Window.partitionBy("sid", "chunk").orderBy("slot"))
-    return slots.withColumn("within", within).join(counts, ["sid", "chunk"]) \
-        .withColumn("rank", F.col("before") + F.col("within") - 1) \
-        .where(F.col("rank") < 2 * F.col("n_blocks")) \
-        .select("slot", "sid", (F.col("rank") % F.col("n_blocks")).alias("block"),
-                F.floor(F.col("rank") / F.col("n_blocks")).alias("epoch"))
+    ranked = slots.withColumn("within", within).join(counts, ["sid", "chunk"]) \
+        .select("slot", "sid", (F.col("before") + F.col("within") - 1).alias("rank"))
+    # what the points left out: a few slots a source
+    found = slots.groupBy("sid").agg(F.count("*").alias("found"))
+    left = sources.join(found, "sid", "left").withColumn("found", F.coalesce("found", F.lit(0))) \
+        .where("found < n_slots").select("sid", F.explode(F.sequence("found", F.col("n_slots") - 1)).alias("rank"))
+    left = left.select((F.lit(n_slots) + F.col("rank")).alias("slot"), "sid", "rank")
+    own = sources.select("sid", "n_slots", "n_blocks", "rest")
+    last = (F.col("rank") == F.col("n_slots") - 1) & (F.col("rest") > 0)
+    return ranked.unionAll(left).join(own, "sid").where(F.col("rank") < F.col("n_slots")).select(
+        "slot", "sid", (F.col("rank") % F.col("n_blocks")).alias("block"),
+        F.floor(F.col("rank") / F.col("n_blocks")).alias("epoch"), F.when(last, F.col("rest")).alias("upto"))
 
 
 def _placed(sized: DataFrame, sources: DataFrame, keys: list[str], seed: str) -> DataFrame:
     """Every document with its source's row and ``at``, the number of words before it in the
-    source's shuffled order (by hash; sums by hash prefix keep a hot source spread out)."""
-    docs = sized.withColumn("h", F.md5(F.concat_ws("|", F.lit(seed), F.col(keys[0]).cast("string")))) \
+    source's shuffled order (by a hash of the first two keys, id and text; sums by hash prefix
+    keep a hot source spread out)."""
+    docs = sized.withColumn("h", F.md5(F.concat_ws("|", F.lit(seed), *[F.col(k).cast("string") for k in keys[:2]]))) \
         .withColumn("part", F.substring("h", 1, 3)) \
-        .join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
+        .join(sources, sized["source"].eqNullSafe(sources["source"]), "left").drop(sources["source"])
     sums = docs.groupBy("sid", "part").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("sid", "part", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"))
@@ -114,20 +149,24 @@ def mix_sizes(sized: DataFrame, keys: list[str], weights: tuple = (3, 1, 2), sha
               block_words: int = 128, seed: str = "mix") -> DataFrame:
     """``sized`` (key columns, ``source``, ``size``, written once) with ``source_size``,
     ``target`` and ``taken``."""
-    sources = saved(weighed_sources(sized, weights, share), "sources")
-    uses = schedule(sources, block_words).groupBy("sid", "block").agg(F.count("*").alias("uses"))
-    last = F.floor((F.col("at") + F.col("size") - 1) / block_words)
-    pieces = _placed(sized, sources, keys, seed).withColumn("first", F.floor(F.col("at") / block_words))
-    pieces = pieces.withColumn("block", F.explode_outer(F.when(
-        F.col("size") > 0, F.sequence("first", last))))
-    overlap = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block_words) \
-        - F.greatest("at", F.col("block") * block_words)
+    every = saved(weighed_sources(sized, weights, share), "sources")
+    sources = saved(blocked(every, block_words), "blocked-sources")
+    uses = schedule(sources).groupBy("sid", "block").agg(
+        F.count_if(F.col("upto").isNull()).alias("uses"), F.max("upto").alias("upto"))
+    blocks = sources.select(F.col("sid").alias("_sid"), "width", "n_wide")
+    placed = _placed(sized, every.drop("weight"), keys, seed).join(blocks, F.col("sid") == F.col("_sid"), "left").drop("_sid")
+    end = F.col("at") + F.col("size")
+    pieces = placed.withColumn("block", F.explode_outer(F.when(
+        F.col("size") > 0, F.sequence(_block_of(F.col("at")), _block_of(end - 1)))))
+    low = F.greatest(F.col("at"), _start(F.col("block")))
+    whole = F.least(end, _start(F.col("block") + 1)) - low
+    partly = F.when(F.col("upto").isNotNull(), F.greatest(F.least(end, F.col("upto")) - low, F.lit(0)))
     columns = [*keys, "source", "size", "source_size", "target"]
     return pieces.join(uses, ["sid", "block"], "left").groupBy(*columns, "sid", "at") \
-        .agg(F.coalesce(F.sum(overlap * F.col("uses")), F.lit(0)).alias("taken"),
-             F.greatest(F.lit(1), F.sum((F.col("size") == 0).cast("int"))).alias("rows")) \
-        .select(*columns, "taken", F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))).alias("row")) \
-        .drop("row")
+        .agg(F.coalesce(F.sum(whole * F.col("uses") + F.coalesce(partly, F.lit(0))), F.lit(0)).cast("long").alias("taken"),
+             F.greatest(F.lit(1), F.sum((F.col("size") == 0).cast("int"))).alias("_rows")) \
+        .select(*columns, "taken", F.explode(F.array_repeat(F.lit(0), F.col("_rows").cast("int"))).alias("_copy")) \
+        .drop("_copy")
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -135,13 +174,15 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``id_col``, ``size`` (words), ``source_size``, ``target`` (both of the row's source) and
     ``taken`` (words of the row that the mix takes, repeats counted, at most twice ``size``).
 
-    A null text has size 0 and is never taken. A null source is a source of its own, the
-    last. Null and repeated ids are documents like any other; reruns agree, as rows that tie
+    Every source takes its target, rounded to whole words. A null text has size 0 and is never
+    taken. A null source is a source of its own, the last. Null and repeated ids are documents
+    like any other, told apart by their text's hash; reruns agree, as rows that tie
     in every respect are taken alike up to their order. Other columns are ignored.
     """
-    sized = saved(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+    sized = saved(docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"),
+                              F.col(source_col).alias("source"),
                               F.size(words(F.col(text_col))).cast("long").alias("size")), "sizes")
-    return mix_sizes(sized, ["id"], **how).drop("source").withColumnRenamed("id", id_col)
+    return mix_sizes(sized, ["id", "hash"], **how).drop("source", "hash").withColumnRenamed("id", id_col)
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -151,15 +192,14 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     most one row of a source and epoch is cut."""
     key = free_name(docs, "_row")
     rows = docs.withColumn(key, F.struct(F.col(id_col).alias("i"), row_hash(docs).alias("h")))
-    sized = saved(rows.select(F.col(f"{key}.i").alias("id"), F.col(f"{key}.h").alias("h"),
-                              F.col(source_col).alias("source"),
+    sized = saved(rows.select(F.col(f"{key}.i").alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"),
+                              F.col(f"{key}.h").alias("row"), F.col(source_col).alias("source"),
                               F.size(words(F.col(text_col))).cast("long").alias("size")), "sizes")
-    sized = sized.withColumnRenamed("h", "hash")
-    takes = mix_sizes(sized, ["id", "hash"], **how).where("taken > 0").groupBy("id", "hash").agg(
+    takes = mix_sizes(sized, ["id", "hash", "row"], **how).where("taken > 0").groupBy("id", "row").agg(
         F.sum(F.floor(F.col("taken") / F.col("size"))).cast("int").alias("whole"),
         F.collect_list(F.when(F.col("taken") % F.col("size") > 0, (F.col("taken") % F.col("size")).cast("int")))
         .alias("cut"))
-    takes = takes.select(F.struct(F.col("id").alias("i"), F.col("hash").alias("h")).alias(key),
+    takes = takes.select(F.struct(F.col("id").alias("i"), F.col("row").alias("h")).alias(key),
                          F.concat(F.array_repeat(F.lit(0), F.col("whole")), "cut").alias("take"))
     part, take = free_name(docs, "_part"), free_name(docs, "_take")
     takes = takes.withColumnRenamed("take", take)

@@ -104,7 +104,7 @@ FROM one a WHERE NOT EXISTS (
 """
 
 OP9 = rf"""
-WITH sized AS (SELECT doc_id, source, coalesce(len({_WORDS.format('text')}), 0)::BIGINT AS size FROM documents),
+WITH sized AS (SELECT doc_id, source, md5(coalesce(text, '')) AS h, coalesce(len({_WORDS.format('text')}), 0)::BIGINT AS size FROM documents),
 named AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS sid
   FROM sized GROUP BY source),
@@ -118,31 +118,47 @@ levels AS (
 targets AS (
   SELECT sid, source, source_size, CASE WHEN level >= most / weight THEN most ELSE
     max(level) FILTER (level < most / weight) OVER () * weight END AS target FROM levels),
-total AS (SELECT sum(target) AS t, max(sid) AS n FROM targets),
+blocks AS (
+  SELECT *, least(round(target)::BIGINT, 2 * source_size) % source_size AS rest,
+         least(round(target)::BIGINT, 2 * source_size) // source_size AS epochs,
+         source_size // n_blocks AS width, source_size % n_blocks AS n_wide
+  FROM (SELECT *, ceil(source_size / 128)::BIGINT AS n_blocks FROM targets WHERE source_size > 0)),
+counted AS (
+  SELECT *, epochs * n_blocks + CASE WHEN rest = 0 THEN 0 WHEN rest - 1 < n_wide * (width + 1) THEN (rest - 1) // (width + 1) + 1
+                                     ELSE n_wide + (rest - 1 - n_wide * (width + 1)) // width + 1 END AS n_slots FROM blocks),
+total AS (SELECT sum(n_slots) AS t, max(sid) AS n FROM counted),
 ends AS (
   SELECT *, CASE WHEN sid = n THEN 4294967296 WHEN t = 0 THEN 0
-    ELSE floor(sum(target) OVER (ORDER BY sid) / t * 4294967296)::BIGINT END AS high FROM targets, total),
+    ELSE floor(sum(n_slots) OVER (ORDER BY sid) / t * 4294967296)::BIGINT END AS high FROM counted, total),
 spans AS (SELECT *, lag(high, 1, 0) OVER (ORDER BY sid) AS low FROM ends),
 points AS (
   SELECT slot, ((((slot + 1) * (2654435769 >> 16)) % 65536) * 65536 + (slot + 1) * (2654435769 & 65535)) % 4294967296 AS u
-  FROM (SELECT unnest(range(ceil(t / 128)::BIGINT)) AS slot FROM total)),
+  FROM (SELECT unnest(range(t::BIGINT)) AS slot FROM total)),
+drawn AS (
+  SELECT sid, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank FROM points JOIN spans ON u >= low AND u < high),
 slots AS (
-  SELECT slot, sid, ceil(source_size / 128)::BIGINT AS n_blocks,
-         row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank
-  FROM points JOIN spans ON u >= low AND u < high),
-uses AS (SELECT sid, rank % n_blocks AS block, count(*) AS n FROM slots WHERE rank < 2 * n_blocks GROUP BY ALL),
+  SELECT sid, rank FROM drawn JOIN counted USING (sid) WHERE rank < n_slots
+  UNION ALL
+  SELECT sid, unnest(range(found, n_slots::BIGINT)) FROM (
+    SELECT c.sid, n_slots, count(d.rank) AS found FROM counted c LEFT JOIN drawn d ON d.sid = c.sid GROUP BY c.sid, n_slots)
+  WHERE found < n_slots),
+uses AS (
+  SELECT sid, rank % n_blocks AS block, count(*) FILTER (rest = 0 OR rank < n_slots - 1) AS n,
+         max(rest) FILTER (rest > 0 AND rank = n_slots - 1) AS upto
+  FROM slots JOIN counted USING (sid) GROUP BY ALL),
 placed AS (
-  SELECT doc_id, size, sid, source_size, target, coalesce(sum(size) OVER (
-      PARTITION BY sid ORDER BY md5('mix|' || doc_id), doc_id, size
+  SELECT doc_id, size, h, sid, source_size, target, coalesce(sum(size) OVER (
+      PARTITION BY sid ORDER BY md5(concat_ws('|', 'mix', doc_id, h)), doc_id, h, size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source),
-pieces AS (
-  SELECT *, unnest(range(base // 128, (base + size - 1) // 128 + 1)) AS block FROM placed WHERE size > 0),
+words AS (SELECT doc_id, h, sid, base, width, n_wide, unnest(range(base, base + size)) AS word FROM placed JOIN counted USING (sid)),
 takes AS (
-  SELECT doc_id, sid, base, sum((least(base + size, (block + 1) * 128) - greatest(base, block * 128)) * n)::BIGINT AS taken
-  FROM pieces JOIN uses USING (sid, block) GROUP BY ALL)
+  SELECT doc_id, h, sid, base, sum(n + CASE WHEN word < upto THEN 1 ELSE 0 END)::BIGINT AS taken
+  FROM (SELECT *, CASE WHEN word < n_wide * (width + 1) THEN word // (width + 1)
+                       ELSE n_wide + (word - n_wide * (width + 1)) // width END AS block FROM words)
+  JOIN uses USING (sid, block) GROUP BY ALL)
 SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN coalesce(taken, 0) ELSE 0 END::BIGINT AS taken
-FROM placed LEFT JOIN takes USING (doc_id, sid, base)
+FROM placed LEFT JOIN takes USING (doc_id, h, sid, base)
 """
 
 #: Unsigned CRC-32 of an ASCII text, bit by bit.

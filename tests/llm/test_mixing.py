@@ -21,29 +21,19 @@ def water(sizes, weights, share=1.5):
     return out
 
 
-def brute(rows, block):
-    docs = [(r[0], r[3], len(WORD.findall(r[1] or ""))) for r in rows]
-    names = sorted({s for _, s, _ in docs}, key=lambda s: (s is None, (s or "").encode()))
-    sizes = {s: sum(n for _, t, n in docs if t == s) for s in names}
+def brute(rows):
+    docs = [(r[0], r[3], len(WORD.findall(r[1] or "")), hashlib.md5((r[1] or "").encode()).hexdigest()) for r in rows]
+    names = sorted({d[1] for d in docs}, key=lambda s: (s is None, (s or "").encode()))
+    sizes = {s: sum(d[2] for d in docs if d[1] == s) for s in names}
     target = water(sizes, {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)})
-    total, ends, at = sum(target.values()), [], 0.0
-    for s in names:
-        at += target[s]
-        ends.append(int(at / total * 2 ** 32))
-    ends[-1] = 2 ** 32
-    n_slots, slots = int(-(-total // block)), Counter()
-    for t in range(n_slots):
-        u = (t + 1) * M.GOLDEN % 2 ** 32
-        slots[names[next(i for i, e in enumerate(ends) if u < e)]] += 1
     out = []
     for s in names:
-        n_blocks, pos = -(-sizes[s] // block), 0
-        uses = [min(2, slots[s] // n_blocks + (b < slots[s] % n_blocks)) if n_blocks else 0 for b in range(n_blocks)]
-        own = sorted([d for d in docs if d[1] == s], key=lambda d: (
-            hashlib.md5(("mix|" + str(d[0])).encode() if d[0] is not None else b"mix").hexdigest(),
-            d[0] is not None, d[0] or 0, d[2]))
-        for doc_id, _, n in own:
-            out.append((doc_id, n, sizes[s], round(target[s], 6), sum(uses[w // block] for w in range(pos, pos + n))))
+        own = sorted([d for d in docs if d[1] == s], key=lambda d: (hashlib.md5("|".join(
+            ["mix", *([str(d[0])] if d[0] is not None else []), d[3]]).encode()).hexdigest(), d[0] is not None, d[0] or 0))
+        most, pos = min(int(target[s] + 0.5), 2 * sizes[s]), 0
+        for doc_id, _, n, _ in own:  # whole epochs, and the words of the last one up to the target
+            times, rest = divmod(most, sizes[s]) if sizes[s] else (0, 0)
+            out.append((doc_id, n, sizes[s], round(target[s], 6), times * n + max(0, min(pos + n, rest) - pos)))
             pos += n
     return sorted(out, key=repr)
 
@@ -59,7 +49,7 @@ def test_matches_brute_force(spark):
     docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 as size", "2 as target", "3 as id", "4 as sid")
     for block in (8, 128):
         got = M.mix_documents(docs, block_words=block)
-        assert sorted([(*r[:3], round(r[3], 6), r[4]) for r in rows_of(got)], key=repr) == brute(rows, block)
+        assert sorted([(*r[:3], round(r[3], 6), r[4]) for r in rows_of(got)], key=repr) == brute(rows)
 
 
 def test_points_are_exact_beyond_two_to_the_31(spark):
@@ -71,9 +61,12 @@ def test_points_are_exact_beyond_two_to_the_31(spark):
 
 def test_every_stretch_is_near_the_targets(spark):
     sized = spark.createDataFrame([("a", 6000), ("b", 1000), (None, 3000)], "source string, size long")
-    sources = M.weighed_sources(sized)
+    sources = M.blocked(M.weighed_sources(sized), 10)
+    n_slots = {r.sid: r.n_slots for r in sources.collect()}
     target = {r.sid: r.target for r in sources.collect()}
-    slots = sorted(M.schedule(sources, 10).collect(), key=lambda r: r.slot)
+    assert all(t / 10 <= n_slots[s] < t / 10 + 1 for s, t in target.items())
+    slots = sorted(M.schedule(sources).collect(), key=lambda r: r.slot)
+    assert Counter(r.sid for r in slots) == n_slots
     for at in range(0, len(slots) - 200, 100):
         part = Counter(r.sid for r in slots[at:at + 200])
         assert all(abs(part[s] - 200 * t / sum(target.values())) <= 6 for s, t in target.items())
@@ -85,6 +78,26 @@ def test_every_stretch_is_near_the_targets(spark):
         seen[r.sid] = n + 1
 
 
+def test_a_long_tail_of_small_sources(spark):
+    """1,000 sources of 20 to 100 words beside one of 200,000: each takes its target."""
+    rows = [(i, "w " * (20 + i * 7 % 81), "en", f"t{i:04}", 1) for i in range(1000)]
+    rows += [(5000 + i, "h " * 1000, "en", "hot", 1) for i in range(200)]
+    taken, target = Counter(), {}
+    for r in M.mix_documents(spark.createDataFrame(rows, DOCS)).join(
+            spark.createDataFrame(rows, DOCS).select("doc_id", "source"), "doc_id").collect():
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert r.taken <= 2 * r.size
+    assert all(abs(taken[s] - t) <= 0.5 for s, t in target.items()) and len(target) == 1001
+
+
+def test_rows_of_one_id(spark):
+    """Many rows with a null id, told apart by their text."""
+    rows = [(None, f"some words and {i}", "en", "s", 1) for i in range(300)] + [(None, "same", "en", "s", 1)] * 40
+    got = rows_of(M.mix_documents(spark.createDataFrame(rows, DOCS), block_words=16))
+    assert sum(r[4] for r in got) == int(got[0][3] + 0.5) and len(got) == 340
+
+
 def test_reruns_agree_and_skewed_source(spark):
     rows = [(i, "w " * (1 + i % 50), "en", "hot" if i % 3 else f"s{i % 4}", 1) for i in range(600)]
     a, b = (M.mix_documents(spark.createDataFrame(rows, DOCS).repartition(n), block_words=16) for n in (3, 11))
