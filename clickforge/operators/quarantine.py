@@ -5,12 +5,13 @@ original stays in place) and writes ``quarantine/<key>.errors.json`` holding
 ``source_key, quarantined_at, error_count, errors[:100]``, each error being
 ``{record_index, user_id, session_id, reason}`` in record order, then check order.
 
-Here both outputs are DataFrames over all files of a run at once:
+Here the outputs are DataFrames over all files of a run at once:
 
 * :func:`quarantine_metadata` - one row per flagged file. The first 100 errors of a file
   are chosen with ``row_number() <= 100`` over ``(file, record_index, position)``; Spark
   plans that as a partial ``WindowGroupLimit`` before the shuffle, so no task ever holds
   more than 100 errors of one file, however bad the file is.
+* :func:`quarantine_copies` - the files' exact copies, with size and checksum.
 * :func:`quarantine_lines` - every line of every flagged file with its order keys. The
   flagged-file table (one row per file) is joined to the lines; AQE broadcasts it when
   its measured size is small and keeps a shuffle join otherwise.
@@ -79,3 +80,14 @@ def quarantine_lines(lines: DataFrame, metadata: DataFrame) -> DataFrame:
     splits = lines.select("file_path", "block_start").distinct().join(flagged, "file_path")
     return lines.select("file_path", "block_start", "line_id", "line") \
                 .join(splits, ["file_path", "block_start"])
+
+
+def quarantine_copies(metadata: DataFrame, target: str) -> DataFrame:
+    """The flagged files themselves, copied byte for byte to ``<target>/<quarantine_key>`` by
+    tasks: ``source_key, quarantine_key, bytes, sha256``, one row a file (written by the caller,
+    which makes the copies)."""
+    from clickforge.sources.listing import copy_files
+    files = metadata.select("file_path", F.col("quarantine_key").alias("key"))
+    return copy_files(files, target).select(
+        F.substring("key", len(QUARANTINE_PREFIX) + 1, 1 << 30).alias("source_key"),
+        F.col("key").alias("quarantine_key"), "bytes", "sha256")

@@ -9,6 +9,7 @@ others go on (C9).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,6 +22,7 @@ from clickforge.operators import metrics as M
 from clickforge.operators import paths as P
 from clickforge.plans import warehouse as W
 from clickforge.schemas import EVENT_TYPES
+from clickforge.session import scratch_path
 from clickforge.sources import files as FS
 from clickforge.sources import raw as R
 
@@ -65,11 +67,11 @@ def run_days(spark: SparkSession, raw_root: str, out_root: str, dates: Iterable,
     options = {"min_visits": min_visits, "iqr_factor": iqr_factor, "exact": exact,
                "loaded_at": loaded_at}
 
-    def store(name: str, make, partition_col: str) -> None:
+    def store(name: str, make, partition_col: str, sort: Iterable[str] = ()) -> None:
         seen = Observation()
         try:
             df = make().observe(seen, F.count(F.lit(1)).alias("rows"))
-            FS.write_days(df, out_root, name, partition_col, days=days)
+            FS.write_days(df, out_root, name, partition_col, days=days, sort=sort)
             rows[name] = seen.get["rows"]
         except Exception as e:  # noqa: BLE001 - isolation is the feature
             failures[name] = f"{type(e).__name__}: {str(e)[:500]}"
@@ -90,10 +92,27 @@ def run_days(spark: SparkSession, raw_root: str, out_root: str, dates: Iterable,
             continue
         store(f"warehouse_{table}", lambda t=table: W.load_table(
             stored_days(spark, out_root, f"metric_{t}", days, DAY)
-            .withColumnRenamed(DAY, "event_date"), t, loaded_at), "event_date")
+            .withColumnRenamed(DAY, "event_date"), t, loaded_at), "event_date", W.LAYOUT.get(table, ()))
     return {"rows": rows, "failures": failures}
 
 
+def merge_late_days(spark: SparkSession, out_root: str, table: str, delta: DataFrame) -> list[str]:
+    """S7, late data: merge ``delta`` (shaped by :func:`clickforge.plans.warehouse.load_table`) into the
+    stored result table and return its days, the only ones that are written again.
+
+    The merged days are written to the scratch space first: the table is never read while it is
+    overwritten, and a run that fails before the last step leaves it as it was. Running it again
+    gives the same table."""
+    stored = FS.read_days(spark, out_root, f"warehouse_{table}")
+    merged = W.merged_days(stored, delta, table)
+    path = scratch_path(spark, f"merge-{uuid.uuid4().hex}")
+    merged.write.parquet(path)
+    merged = spark.read.schema(merged.schema).parquet(path)
+    days = sorted(str(r[0]) for r in merged.select("event_date").distinct().collect())
+    FS.write_days(merged, out_root, f"warehouse_{table}", days=days, sort=W.LAYOUT.get(table, ()))
+    return days
+
+
 def stored_days(spark: SparkSession, root: str, name: str, days, col: str = "event_date"
                 ) -> DataFrame:
     """S3 for a table partitioned by ``col``."""

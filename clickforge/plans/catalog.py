@@ -148,8 +148,9 @@ def _batch_run(spark, d, types=EVENT_TYPES, tables=()):
     folder of the stored tables."""
     from clickforge.plans import batch as B
     root = scratch_path(spark, f"batch-{uuid.uuid4().hex}")
+    from clickforge.sources.files import split_by_type
     lines = T.raw_event_lines(spark, d)
-    lines.write.partitionBy("event_date", "event_type").text(f"{root}/raw")
+    split_by_type(lines, f"{root}/raw", fmt="text")
     days = [r[0] for r in lines.select("event_date").distinct().collect()]
     report = B.run_days(spark, f"{root}/raw", f"{root}/out", days, min_visits=2, iqr_factor=1.0,
                         exact=True, as_of=F.lit(AS_OF).cast("timestamp"),
@@ -191,6 +192,76 @@ def q_stored_report(spark, d):
 FILE_LINES = 10_000
 
 
+def q_stored_sessions(spark, d):
+    """Q4 over the stored table."""
+    from clickforge.plans import serving as S
+    t = _stored(spark, d, "time_by_device_country")["time_by_device_country"]
+    return S.session_summary(t, limit=S.SESSION_ROWS)
+
+
+def q_stored_anomalies(spark, d):
+    """Q7 over the stored table, every row from a z-score on."""
+    from clickforge.plans import serving as S
+    return S.anomaly_search(_stored(spark, d, "anomalies")["anomalies"].drop("detected_at"), min_zscore="3.5")
+
+
+#: First and second load of :func:`q_late_days`.
+LOADS = ("2026-01-01 00:00:00", "2026-02-01 00:00:00")
+
+
+def q_late_days(spark, d):
+    """S7, late data: on even days the page views of the afternoon, and those of some pages, arrive
+    after the first load; their days are computed again and merged into the stored table."""
+    from clickforge.plans import batch as B
+    from clickforge.plans import warehouse as W
+    from clickforge.sources import files as FS
+    root = scratch_path(spark, f"late-{uuid.uuid4().hex}")
+    views = T.page_views(spark, d)
+    late = (F.dayofmonth("event_date") % 2 == 0) & (
+        F.col("page_type").isin(LATE_PAGES) | (F.hour("event_timestamp") >= 12))
+
+    def load(pv, at):
+        return W.load_table(M.bounce_rate(pv), "bounce_rate", F.lit(at).cast("timestamp"))
+
+    FS.write_days(load(views.where(~late), LOADS[0]), root, "warehouse_bounce_rate")
+    days = views.where(late).select("event_date").distinct()
+    B.merge_late_days(spark, root, "bounce_rate", load(views.join(days, "event_date", "left_semi"), LOADS[1]))
+    t = B.stored_tables(spark, root, ["bounce_rate"])["bounce_rate"]
+    return t.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+#: The page types whose views arrive late on even days.
+LATE_PAGES = ["cart", "checkout"]
+
+
+def _ingested_files(spark, d):
+    """The fixture as real files, with one of no bytes in every day folder, through the ingest run.
+    Returns the folder of the outputs and that of the files."""
+    from clickforge.sources.ingest_fixture import DAY_DIR, fixture_text
+    from clickforge.sources.listing import write_files
+    from clickforge.streaming.ingest import ingest_files
+    root = scratch_path(spark, f"files-{uuid.uuid4().hex}")
+    lines = fixture_text(spark, d).select(F.col("file_path").alias("key"), F.col("line_id").alias("n"), "line")
+    voids = T.derive(T.table(spark, d, "events")).select(
+        F.concat(F.expr(DAY_DIR), F.lit("/void.jsonl")).alias("key"), F.lit(0).cast("long").alias("n"),
+        F.lit(None).cast("string").alias("line")).distinct()
+    write_files(lines.unionByName(voids), f"{root}/raw").write.parquet(f"{root}/written")
+    ingest_files(spark, f"{root}/raw", f"{root}/out", "r", quarantined_at=F.lit(AS_OF).cast("timestamp"))
+    return f"{root}/out", f"{root}/raw"
+
+
+def q_file_metrics(spark, d):
+    """V9 and V11 of real files, those of no bytes included."""
+    out, raw = _ingested_files(spark, d)
+    m = spark.read.parquet(f"{out}/ingest_metrics").drop("run_id")
+    return m.withColumn("file_path", R.object_key(F.col("file_path"), raw))
+
+
+def q_quarantine_copies(spark, d):
+    """The flagged files' copies."""
+    return spark.read.parquet(f"{_ingested_files(spark, d)[0]}/quarantine_copies").drop("run_id")
+
+
 def _fixture(spark, d):
     """The faulty lines, written once in the shared scratch space as many files, as raw lines
     arrive: what reads them twice does not make them twice."""
@@ -409,6 +480,11 @@ def queries() -> dict[str, Query]:
             "top_pages_by_time", "bounce_rate", "time_by_device_country", "conversion_funnel",
             "product_view_vs_cart", "navigation_paths", "anomalies")},
         "stored_timeline": q_stored_report,
+        "stored_serve_sessions": q_stored_sessions,
+        "stored_serve_anomalies": q_stored_anomalies,
+        "stored_after_late_days": q_late_days,
+        "ingested_file_metrics": q_file_metrics,
+        "quarantine_copies": q_quarantine_copies,
         "warehouse_key_violations": q_violations,
         "daily_summary": q_daily_summary,
         **{k: _serving(f) for k, f in SERVING.items()},

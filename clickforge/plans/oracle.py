@@ -543,6 +543,13 @@ SELECT DISTINCT file_path FROM fx WHERE starts_with(file_path, 'quarantine/')"""
         "ingest_empty_files": _with(*c, select="""
 SELECT file_path, event_type FROM met WHERE EmptyFiles = 1"""),
         "ingest_metrics": _with(*c, select="SELECT * FROM met"),
+        "ingested_file_metrics": _with(*c, select=f"""
+SELECT * FROM met UNION ALL
+SELECT DISTINCT 'raw/year=2024/month=01/day=' || lpad(CAST(day(event_date) AS VARCHAR), 2, '0') || '/void.jsonl', 'void', 1, 0, 0, 0, 0, 0, 0 FROM rawsrc"""),
+        "quarantine_copies": _with(*c, select="""
+SELECT file_path AS source_key, 'quarantine/' || file_path AS quarantine_key,
+       CAST(max(file_size) AS BIGINT) AS bytes, sha256(string_agg(line || chr(10), '' ORDER BY line_id)) AS sha256
+FROM lines WHERE file_path IN (SELECT file_path FROM errs) GROUP BY file_path"""),
         "ingest_run_summary": _with(*c, select="""
 SELECT CAST(sum(FilesProcessed) AS BIGINT) AS processed_files,
        CAST(sum(InvalidRecords) AS BIGINT) AS total_errors FROM met"""),
@@ -756,6 +763,13 @@ ORDER BY z_score DESC NULLS FIRST, event_date, session_id, anomaly_type LIMIT 8"
         out[f"stored_{t}"] = _stored(*c, select=f"SELECT *, '2026-01-01 00:00:00' AS loaded_at "
                                                 f"FROM w_{a}")
     out["stored_timeline"] = _stored(*c, select=TIMELINE)
+    out["stored_serve_sessions"] = _stored(*c, select="SELECT * FROM q4p")
+    out["stored_serve_anomalies"] = _stored(*c, select="SELECT * FROM q7 WHERE z_score >= 3.5")
+    out["stored_after_late_days"] = _with(*c, select="""
+SELECT *, CASE WHEN EXISTS (
+  SELECT 1 FROM pv WHERE pv.event_date = b.event_date AND pv.page_type IS NOT DISTINCT FROM b.page_type
+  AND NOT (day(pv.event_date) % 2 = 0 AND (page_type IN ('cart', 'checkout') OR hour(event_timestamp) >= 12)))
+  THEN '2026-01-01 00:00:00' ELSE '2026-02-01 00:00:00' END AS loaded_at FROM w_br b""")
     out["warehouse_key_violations"] = _with(*c, select=violations_sql())
     return out
 

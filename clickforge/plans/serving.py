@@ -9,6 +9,8 @@ descending sorts put nulls first, as the published database does.
 from __future__ import annotations
 
 import datetime as _dt
+import decimal
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -153,7 +155,9 @@ def anomaly_search(anom_t: DataFrame, date: str | None = None, anomaly_type: str
     rounded to 4 and value to 2 places, highest first; every row unless a page size is
     given."""
     date, z, n = check_date(date), check_zscore(min_zscore), check_limit(limit)
-    df = anom_t.filter(F.col("z_score") >= z)
+    if math.isfinite(z) and dict(anom_t.dtypes)["z_score"].startswith("decimal"):
+        z = decimal.Decimal(repr(z))  # of the column's kind, so that the filter reaches the scan
+    df = anom_t.filter(F.col("z_score") >= F.lit(z))
     df = _on_date(df, date)
     if anomaly_type:
         df = df.filter(F.col("anomaly_type") == anomaly_type)

@@ -115,6 +115,28 @@ def load_table(metric: DataFrame, table: str, loaded_at: Column | None = None,
     return df
 
 
+# What identifies a row of a table without a unique key when late data are merged.
+MERGE_KEYS = {"anomalies": ["event_date", "session_id", "anomaly_type"]}
+# The columns that stored tables are laid out by, for the filters of the serving queries.
+LAYOUT = {"anomalies": ["z_score"], "time_by_device_country": ["total_sessions"]}
+
+
+def merged_days(stored: DataFrame, delta: DataFrame, table: str) -> DataFrame:
+    """S7, late data: the rows of result table ``table`` for the days of ``delta``, as they are after
+    the merge. A row of ``delta`` replaces the stored one of its key and keeps that one's ``loaded_at``;
+    stored rows whose key ``delta`` lacks stay. Other days of ``stored`` are not read beyond a
+    semi-join on the partition column."""
+    key = TABLES[table]["key"] or MERGE_KEYS[table]
+    days = delta.select("event_date").distinct()
+    old = stored.join(days, "event_date", "left_semi")
+    both = old.select(*delta.columns).withColumn("_new", F.lit(0)) \
+        .unionByName(delta.withColumn("_new", F.lit(1)))
+    values = [c for c in delta.columns if c not in (*key, "loaded_at")]
+    return both.groupBy(*key).agg(
+        F.max_by(F.struct(*values), "_new").alias("_row"), F.min("loaded_at").alias("loaded_at")) \
+        .select(*[F.col(f"_row.{c}").alias(c) if c in values else F.col(c) for c in delta.columns])
+
+
 def key_violations(metric: DataFrame, table: str) -> DataFrame:
     """W1 report: ``(table_name, violation, rows)`` for duplicate keys, over-long strings,
     values beyond the declared precision and nulls in columns that may not hold one. One

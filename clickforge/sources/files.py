@@ -36,16 +36,18 @@ def read_days(spark: SparkSession, root: str, name: str,
 
 def write_days(df: DataFrame, root: str, name: str, partition_col: str = "event_date",
                fmt: str = "parquet", max_records_per_file: int = 5_000_000,
-               days: Iterable | None = None) -> None:
+               days: Iterable | None = None, sort: Iterable[str] = ()) -> None:
     """Write ``df`` under ``<root>/<name>`` partitioned by day, replacing the days it
     contains, and of the ``days`` that the run stands for also those without rows: they are
     overwritten with nothing, so no stale day survives a re-run.
 
     No repartition by day: a hot day would land in one task. Each task sorts its own rows
     by the partition column and writes one file per day it holds; ``maxRecordsPerFile``
-    bounds file size. The days written are observed in the same job.
+    bounds file size. The days written are observed in the same job. ``sort`` (columns) lays out
+    each file, so that filters on the first of them skip row groups.
     """
     path, seen = table_path(root, name), Observation()
+    df = df.sortWithinPartitions(partition_col, *sort) if sort else df
     (df.observe(seen, F.collect_set(partition_col).alias("days"))
        .write.mode("overwrite")
        .option("maxRecordsPerFile", max_records_per_file)
@@ -60,9 +62,10 @@ def write_days(df: DataFrame, root: str, name: str, partition_col: str = "event_
 
 
 def split_by_type(events: DataFrame, root: str, type_col: str = "event_type",
-                  date_col: str = "event_date") -> None:
+                  date_col: str = "event_date", fmt: str = "json") -> None:
     """Write a mixed feed as JSON lines, one directory per day and event type
-    (``<root>/event_date=D/event_type=T/part-*.json``).
+    (``<root>/event_date=D/event_type=T/part-*.json``). ``fmt="text"`` takes a feed whose third
+    column is the line itself.
 
     The event type is then recoverable from the path (see
     :func:`clickforge.sources.raw.event_type_from_path`), like the reference's
@@ -72,7 +75,7 @@ def split_by_type(events: DataFrame, root: str, type_col: str = "event_type",
     (events.write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(date_col, type_col)
-           .json(root))
+           .format(fmt).save(root))
 
 
 def preview(df: DataFrame, n: int = 20) -> None:

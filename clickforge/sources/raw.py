@@ -6,8 +6,6 @@ types are read in one scan; the file name carries the event type.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,20 +32,6 @@ def object_key(path: Column, root: str | None = None) -> Column:
     return p
 
 
-def list_files(spark: SparkSession, paths) -> DataFrame:
-    """``file_path, file_size`` of every file, empty ones included (V9).
-
-    Scans skip files of no bytes, so those are taken from the file index, which the driver
-    holds for every scan; sizes come from the scan's metadata (the content column is pruned).
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    sized = files.select(F.col("_metadata.file_path").alias("file_path"),
-                         F.col("_metadata.file_size").alias("file_size"))
-    names = [(re.sub(r"^file:/+", "file:/", f),) for f in files.inputFiles()]
-    return spark.createDataFrame(names, "file_path string").join(sized, "file_path", "left") \
-        .select("file_path", F.coalesce("file_size", F.lit(0)).cast("long").alias("file_size"))
-
-
 def event_type_from_path(path: Column) -> Column:
     """V1: the last path segment without ``.jsonl`` (the record's own ``event_type`` is
     not used). The object key is URL-decoded first, as notifications deliver it.
@@ -79,17 +63,18 @@ def parse_json_lines(lines: DataFrame, event_type: str, col: str = "line") -> Da
         *[F.col("_r")[f.name].alias(f.name) for f in schema.fields])
 
 
-def read_lines(spark: SparkSession, paths, root: str | None = None) -> DataFrame:
-    """S2 + V10: every line of the given JSONL files with its file path, split offset and a
-    scan-order id, plus the parsed ``variant`` (null for blank and non-JSON lines).
+def read_lines(spark: SparkSession, paths, skip_unreadable: bool = False) -> DataFrame:
+    """Every line of the given JSONL files with its file and its place: ``file_path, file_size,
+    block_start, line_id, line``. Folders are walked without turning them into partition columns.
 
-    Columns: file_path, event_type (from the name), file_size, block_start, line_id, line,
-    v. ``line_id`` orders lines inside one split (a split is at most
+    ``line_id`` orders lines inside one split (a split is at most
     ``spark.sql.files.maxPartitionBytes``), which is what record positions are built from.
+    :func:`lines_to_records` adds the lenient parse. An unreadable file stops the scan, unless
+    ``skip_unreadable``.
     """
-    text = spark.read.option("recursiveFileLookup", "true").text(paths)
-    df = with_line_ids(text_with_metadata(text))
-    return lines_to_records(df.filter(~is_quarantined(F.col("file_path"), root)))
+    text = spark.read.option("recursiveFileLookup", "true") \
+        .option("ignoreCorruptFiles", str(skip_unreadable).lower()).text(paths)
+    return with_line_ids(text_with_metadata(text))
 
 
 def text_with_metadata(text: DataFrame) -> DataFrame:
