@@ -73,6 +73,12 @@ def iqr_anomalies(df: DataFrame, col: str, factor: float = 3.0, by="event_date",
         q = F.percentile_approx(F.col(col).cast("double"), [0.25, 0.75], accuracy)
         stats = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_cnt"), q.alias("_q")) \
                   .select(*by, "_cnt", F.col("_q")[0].alias("_q1"), F.col("_q")[1].alias("_q3"))
+    return iqr_from_quartiles(df, col, stats, by, factor, min_rows)
+
+
+def iqr_from_quartiles(df: DataFrame, col: str, stats: DataFrame, by: list[str], factor: float = 3.0,
+                       min_rows: int = MIN_ROWS) -> DataFrame:
+    """A2 with given quartiles: ``stats`` has a row a batch with ``_cnt``, ``_q1`` and ``_q3``."""
     iqr = F.col("_q3") - F.col("_q1")
     ok = (F.col("_cnt") >= min_rows) & (iqr != 0)
     x = F.col(col)

@@ -36,10 +36,13 @@ def top_pages_by_time(pv: DataFrame, min_visits: int = 5, top_n: int = 20,
     by = batch_keys(by)
     agg = (pv.groupBy(*by, "page_url", "page_type")
              .agg(F.avg("time_on_page_seconds").alias("avg_time_seconds"),
-                  F.count(F.lit(1)).alias("total_visits"))
-             .filter(F.col("total_visits") >= min_visits))
-    return top_k(agg, by, [F.desc("avg_time_seconds"), F.asc("page_url"),
-                           F.asc("page_type")], top_n)
+                  F.count(F.lit(1)).alias("total_visits")))
+    return _ranked_pages(agg, by, min_visits, top_n)
+
+
+def _ranked_pages(pages: DataFrame, by: list[str], min_visits: int, top_n: int) -> DataFrame:
+    return top_k(pages.filter(F.col("total_visits") >= min_visits), by,
+                 [F.desc("avg_time_seconds"), F.asc("page_url"), F.asc("page_type")], top_n)
 
 
 def bounce_rate(pv: DataFrame, by="event_date") -> DataFrame:
@@ -49,6 +52,10 @@ def bounce_rate(pv: DataFrame, by="event_date") -> DataFrame:
     by = batch_keys(by)
     per_pair = pv.groupBy(*by, "session_id", "page_type") \
                  .agg(F.count(F.lit(1)).alias("pv_count"))
+    return _bounces(per_pair, by)
+
+
+def _bounces(per_pair: DataFrame, by: list[str]) -> DataFrame:
     return (per_pair.groupBy(*by, "page_type")
                     .agg(F.count(F.lit(1)).alias("total_sessions"),
                          F.count_if(F.col("pv_count") == 1).alias("bounce_sessions"))
@@ -65,3 +72,62 @@ def time_by_device_country(pv: DataFrame, min_rows: int = 3, by="event_date") ->
                    F.count("session_id").alias("total_sessions"),
                    F.count_distinct("user_id").alias("unique_users"))
               .filter(F.col("total_sessions") >= min_rows))
+
+
+# The grouping sets of the shared pre-aggregate and the columns of each.
+CUBE = {"page": ["page_url", "page_type"], "session": ["session_id", "page_type"],
+        "device": ["device_type", "country", "user_id"], "user": ["user_id", "stage"]}
+
+
+def page_view_cube(pv: DataFrame, by="event_date") -> DataFrame:
+    """What M1-M3 and the page-view stages of F1 need of the page views, in one pass:
+    ``by``, ``kind`` (a key of :data:`CUBE`), that kind's columns (others null; ``stage`` is
+    ``checkout`` or null) and the mergeable measures ``views``, ``sessions`` (views with a session),
+    ``seconds`` and ``timed`` (views with a time). One scan and one shuffle of map-side
+    combined rows; the results read this table instead of the events."""
+    by = batch_keys(by)
+    stage = F.when(F.col("page_type") == "checkout", "checkout").alias("stage")
+    cols = list(dict.fromkeys(c for own in CUBE.values() for c in own))
+    rows = pv.select(*by, *[c for c in cols if c != "stage"], stage, "time_on_page_seconds",
+                     F.col("session_id").alias("_s"))
+    sets = [[F.col(c) for c in (*by, *own)] for own in CUBE.values()]
+    kind = F.when(F.grouping("page_url") == 0, "page").when(F.grouping("session_id") == 0, "session") \
+        .when(F.grouping("device_type") == 0, "device").otherwise("user")
+    return rows.groupingSets(sets, *by, *cols).agg(
+        kind.alias("kind"), F.count(F.lit(1)).alias("views"), F.count("_s").alias("sessions"),
+        F.sum("time_on_page_seconds").alias("seconds"), F.count("time_on_page_seconds").alias("timed"))
+
+
+def _kind(cube: DataFrame, kind: str) -> DataFrame:
+    return cube.where(F.col("kind") == kind)
+
+
+def top_pages_of_cube(cube: DataFrame, min_visits: int = 5, top_n: int = 20, by="event_date") -> DataFrame:
+    """M1 from :func:`page_view_cube`."""
+    by = batch_keys(by)
+    pages = _kind(cube, "page").groupBy(*by, *CUBE["page"]).agg(
+        F.try_divide(F.sum("seconds"), F.sum("timed")).alias("avg_time_seconds"),
+        F.sum("views").alias("total_visits"))
+    return _ranked_pages(pages, by, min_visits, top_n)
+
+
+def bounce_rate_of_cube(cube: DataFrame, by="event_date") -> DataFrame:
+    """M2 from :func:`page_view_cube`."""
+    by = batch_keys(by)
+    return _bounces(_kind(cube, "session").groupBy(*by, *CUBE["session"]).agg(
+        F.sum("views").alias("pv_count")), by)
+
+
+def time_by_device_country_of_cube(cube: DataFrame, min_rows: int = 3, by="event_date") -> DataFrame:
+    """M3 from :func:`page_view_cube`."""
+    by = batch_keys(by)
+    return _kind(cube, "device").groupBy(*by, "device_type", "country").agg(
+        F.try_divide(F.sum("seconds"), F.sum("timed")).alias("avg_time_seconds"),
+        F.sum("sessions").alias("total_sessions"),
+        F.count_distinct("user_id").alias("unique_users")).filter(F.col("total_sessions") >= min_rows)
+
+
+def page_view_users_of_cube(cube: DataFrame, by="event_date") -> DataFrame:
+    """The page views of F1 from :func:`page_view_cube`: a row for each user and stage, in the shape
+    that the funnel takes (``user_id``, ``page_type``)."""
+    return _kind(cube, "user").select(*batch_keys(by), "user_id", F.col("stage").alias("page_type"))

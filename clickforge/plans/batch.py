@@ -28,16 +28,20 @@ from clickforge.sources import raw as R
 
 DAY = "batch_date"
 
-# Metric tables and the clean tables that each is computed from.
+# The tables that are rolled up from the pre-aggregate, which is made in one pass.
+CUBE_TABLES = ("top_pages_by_time", "bounce_rate", "time_by_device_country", "conversion_funnel")
+
+# Metric tables and the clean tables that each is computed from. ``t`` has those by event type,
+# and the shared pre-aggregate of the page views as "cube".
 METRICS = {
-    "top_pages_by_time": (("page_view",), lambda t, o: M.top_pages_by_time(
-        t["page_view"], by=DAY, min_visits=o["min_visits"])),
-    "bounce_rate": (("page_view",), lambda t, o: M.bounce_rate(t["page_view"], by=DAY)),
-    "time_by_device_country": (("page_view",), lambda t, o: M.time_by_device_country(
-        t["page_view"], by=DAY)),
+    "top_pages_by_time": (("page_view",), lambda t, o: M.top_pages_of_cube(
+        t["cube"], by=DAY, min_visits=o["min_visits"])),
+    "bounce_rate": (("page_view",), lambda t, o: M.bounce_rate_of_cube(t["cube"], by=DAY)),
+    "time_by_device_country": (("page_view",), lambda t, o: M.time_by_device_country_of_cube(
+        t["cube"], by=DAY)),
     "conversion_funnel": (("page_view", "product_view", "cart_event"), lambda t, o:
-                          FN.conversion_funnel(t["page_view"], t["product_view"],
-                                               t["cart_event"], by=DAY)),
+                          FN.conversion_funnel(M.page_view_users_of_cube(t["cube"], by=DAY),
+                                               t["product_view"], t["cart_event"], by=DAY)),
     "product_view_vs_cart": (("product_view", "cart_event"), lambda t, o:
                              FN.product_view_vs_cart(t["product_view"], t["cart_event"], by=DAY)),
     "navigation_paths": (("page_view",), lambda t, o: P.navigation_paths(t["page_view"], by=DAY)),
@@ -61,8 +65,8 @@ def run_days(spark: SparkSession, raw_root: str, out_root: str, dates: Iterable,
              types: Iterable = EVENT_TYPES, tables: Iterable = tuple(METRICS)) -> dict:
     """Run the batch for ``dates`` (of some event ``types`` and result ``tables``, which need
     their clean tables among the types or stored earlier) and return ``{"rows": {table: rows written}, "failures":
-    {table: error}}``. Tables below ``out_root``: ``clean_<type>`` and ``metric_<table>``
-    by ``batch_date``, ``warehouse_<table>`` by ``event_date``."""
+    {table: error}}``. Tables below ``out_root``: ``clean_<type>``, ``cube_page_view`` and
+    ``metric_<table>`` by ``batch_date``, ``warehouse_<table>`` by ``event_date``."""
     days, rows, failures = sorted({str(d) for d in dates}), {}, {}
     options = {"min_visits": min_visits, "iqr_factor": iqr_factor, "exact": exact,
                "loaded_at": loaded_at}
@@ -80,13 +84,21 @@ def run_days(spark: SparkSession, raw_root: str, out_root: str, dates: Iterable,
         store(f"clean_{et}", lambda et=et: C.clean_events(
             read_batch(spark, raw_root, et, days), et, as_of, keep=(DAY,)), DAY)
 
+    tables = tuple(tables)
+    if set(tables) & set(CUBE_TABLES) and "clean_page_view" not in failures:
+        store("cube_page_view", lambda: M.page_view_cube(stored_days(
+            spark, out_root, "clean_page_view", days, DAY), by=DAY), DAY, ("kind",))
+
     for table in tables:
         needs, make = METRICS[table]
-        lost = [et for et in needs if f"clean_{et}" in failures]
+        sources = [f"clean_{et}" for et in needs] + ["cube_page_view"] * (table in CUBE_TABLES)
+        lost = [name for name in sources if name in failures]
         if lost:
-            failures[f"metric_{table}"] = f"not computed: clean_{lost[0]} failed"
+            failures[f"metric_{table}"] = f"not computed: {lost[0]} failed"
             continue
         clean = {et: stored_days(spark, out_root, f"clean_{et}", days, DAY) for et in needs}
+        if table in CUBE_TABLES:
+            clean["cube"] = stored_days(spark, out_root, "cube_page_view", days, DAY)
         store(f"metric_{table}", lambda m=make, t=clean: m(t, options), DAY)
         if f"metric_{table}" in failures:
             continue

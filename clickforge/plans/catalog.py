@@ -234,6 +234,24 @@ def q_late_days(spark, d):
 LATE_PAGES = ["cart", "checkout"]
 
 
+def q_unique_users(spark, d):
+    """Q5's users over all days, from the stored daily sketches."""
+    from clickforge.plans import sketches as K
+    stored = K.store_sketches(K.user_sketches(T.page_views(spark, d)), scratch_path(
+        spark, f"sketches-{uuid.uuid4().hex}"), "users")
+    return K.unique_users(stored, "device_type", "country")
+
+
+def q_iqr_trailing(spark, d):
+    """A2 against the quartiles of seven days, from the stored daily sketches."""
+    from clickforge.plans import sketches as K
+    ev = T.derive(T.table(spark, d, "events"))
+    stored = K.store_sketches(K.value_sketches(ev, "value"), scratch_path(
+        spark, f"sketches-{uuid.uuid4().hex}"), "values")
+    z = K.iqr_trailing_days(ev, "value", stored, factor=1.0)
+    return _z6(z.select("event_date", "event_id", "value", *A.RESULT_COLUMNS))
+
+
 def _ingested_files(spark, d):
     """The fixture as real files, with one of no bytes in every day folder, through the ingest run.
     Returns the folder of the outputs and that of the files."""
@@ -483,6 +501,8 @@ def queries() -> dict[str, Query]:
         "stored_serve_sessions": q_stored_sessions,
         "stored_serve_anomalies": q_stored_anomalies,
         "stored_after_late_days": q_late_days,
+        "stored_unique_users": q_unique_users,
+        "iqr_trailing_days": q_iqr_trailing,
         "ingested_file_metrics": q_file_metrics,
         "quarantine_copies": q_quarantine_copies,
         "warehouse_key_violations": q_violations,

@@ -215,6 +215,17 @@ SELECT event_date, event_id, value, round(z, 6) AS z_score, 'iqr_value' AS anoma
         "iqr_anomalies_sketch": _with(iqr_cte("va", "d", "value", 1.0), select="""
 SELECT event_date, event_id, value, round(z, 6) AS z_score, 'iqr_value' AS anomaly_type,
        'value' AS anomaly_field, value AS anomaly_value FROM va"""),
+        "stored_unique_users": _with(select="""
+SELECT device_type, country, count(DISTINCT user_id) AS unique_users FROM pv GROUP BY device_type, country"""),
+        "iqr_trailing_days": _with("""base AS (
+  SELECT days.event_date, count(value) AS n, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3
+  FROM (SELECT DISTINCT event_date FROM d WHERE value IS NOT NULL) days
+  JOIN d ON d.event_date BETWEEN days.event_date - 6 AND days.event_date
+  GROUP BY days.event_date)""", select="""
+SELECT event_date, event_id, value, round(abs((value - (q1 + q3) / 2) / ((q3 - q1) / 2)), 6) AS z_score,
+       'iqr_value' AS anomaly_type, 'value' AS anomaly_field, value AS anomaly_value
+FROM d JOIN base USING (event_date)
+WHERE n >= 10 AND q3 <> q1 AND (value < q1 - (q3 - q1) OR value > q3 + (q3 - q1))"""),
         "click_count_anomalies": _with(CLICKS, iqr_cte("ca", "cps", "click_count", 1.0),
                                        select="""
 SELECT event_date, session_id, user_id, click_count, round(z, 6) AS z_score,
