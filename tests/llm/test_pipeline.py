@@ -43,7 +43,7 @@ def test_stages_one_by_one(spark, tmp_dir):
     took = {}
     for r in mixed.collect():
         took[r.doc_id] = took.get(r.doc_id, 0) + len(WORD.findall(r.text))
-    brute = test_mixing.brute([tuple(r) for r in near.collect()], 128)
+    brute = test_mixing.brute([tuple(r) for r in near.collect()])
     assert took == {i: n for i, _, _, _, n in brute if n}
     done = P.run(spark, tmp_dir)
     assert sorted((r.doc_id, r.decoded_sha256) for r in done.collect()) == sorted(
