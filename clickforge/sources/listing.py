@@ -1,6 +1,6 @@
 """Listing, checking and copying of files inside tasks (V9, S5, ST1).
 
-Folders are a table that tasks list, one level of the tree a pass, so neither names nor bytes
+Folders are a table that tasks walk, in as many passes as the tree needs, so neither names nor bytes
 pass through the driver. File systems are opened with ``pyarrow.fs`` by the scheme of the path;
 folder names are given plainly, without wildcards. Names that Spark's scans skip (a leading
 ``_`` or ``.``) are skipped here too.
@@ -55,30 +55,45 @@ def _is_broken(system: fs.FileSystem, info: fs.FileInfo) -> bool:
     return False
 
 
+#: Entries after which a task leaves the folders that it has not entered to the next pass.
+WALK = 1_000
+
+
+def _walked(path: str) -> Iterator[tuple[str, bool, int, bool]]:
+    """What lies below a folder (or a file itself): path, whether it is a folder that was not entered,
+    size, broken."""
+    system, inner, prefix = opened(path)
+    own = system.get_file_info(inner)
+    if own.type == fs.FileType.File:
+        yield prefix + escaped(inner), False, own.size, _is_broken(system, own)
+        return
+    waiting, seen = [inner] if own.type == fs.FileType.Directory else [], 0
+    while waiting and seen < WALK:
+        for info in system.get_file_info(fs.FileSelector(waiting.pop())):
+            seen += 1
+            if info.base_name.startswith(("_", ".")):
+                continue
+            if info.type == fs.FileType.Directory:
+                waiting.append(info.path)
+            else:
+                yield prefix + escaped(info.path), False, info.size, _is_broken(system, info)
+    for left in waiting:
+        yield prefix + left, True, 0, False
+
+
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Folders (or files) to what lies in them: path, whether a folder, size, broken."""
     for b in batches:
         for path in b.column(0).to_pylist():
-            system, inner, prefix = opened(path)
-            own = system.get_file_info(inner)
-            if own.type == fs.FileType.File:
-                found = [own]
-            else:
-                found = system.get_file_info(fs.FileSelector(inner, allow_not_found=own.type == fs.FileType.NotFound))
-            found = [i for i in found if not i.base_name.startswith(("_", "."))]
-            folder = [i.type == fs.FileType.Directory for i in found]
-            paths = [prefix + (i.path if d else escaped(i.path)) for i, d in zip(found, folder)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(paths, pa.string()), pa.array(folder, pa.bool_()),
-                pa.array([0 if d else i.size for i, d in zip(found, folder)], pa.int64()),
-                pa.array([not d and _is_broken(system, i) for i, d in zip(found, folder)], pa.bool_())],
-                ["path", "folder", "size", "broken"])
+            columns = list(zip(*_walked(path))) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                columns, (pa.string(), pa.bool_(), pa.int64(), pa.bool_()))], ["path", "folder", "size", "broken"])
 
 
 def list_tree(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``file_path`` (as scans report it), ``file_size`` and ``broken`` (a gzip file that can't be read to
-    its end) of every file below some folders, those of no bytes included. Each level of the
-    tree is listed by tasks and written; the driver sees only whether there is a next one."""
+    its end) of every file below some folders, those of no bytes included. Tasks walk a folder until they
+    have met ``WALK`` entries; the folders left are dealt out again in a next pass. What a pass finds
+    is written, the driver sees only whether there is a next one."""
     roots = [paths] if isinstance(paths, str) else list(paths)
     level, files = spark.createDataFrame([(p,) for p in roots], "path string"), None
     while True:

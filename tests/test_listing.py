@@ -46,6 +46,13 @@ def test_listing_sees_every_file(spark, tmp_dir):
     assert L.list_tree(spark, f"{tmp_dir}/missing").count() == 0
 
 
+def test_a_wide_tree_is_dealt_out_in_passes(spark, tmp_dir):
+    for i in range(1_100):
+        put(f"{tmp_dir}/raw/{i % 50}/{i}/x.jsonl", b"x" * (i % 3))
+    got = [(r.file_path.split("/raw/")[1], r.file_size) for r in L.list_tree(spark, f"{tmp_dir}/raw").collect()]
+    assert sorted(got) == sorted((f"{i % 50}/{i}/x.jsonl", i % 3) for i in range(1_100))
+
+
 def test_copies_are_exact(spark, tmp_dir):
     contents = {"a b/x.jsonl": b"one\r\ntwo\r\nno end", "y+z.jsonl.gz": gzip.compress(b"three"), "é.jsonl": b"\xff\xfe\x00", "e.jsonl": b""}
     for key, data in contents.items():
