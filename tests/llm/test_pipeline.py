@@ -57,7 +57,7 @@ def test_empty_documents(spark, tmp_dir):
 
 def test_registered_queries():
     own = queries.queries()
-    assert {f"op{i}_" for i in range(1, 11)} == {k.split("_")[0] + "_" for k in own}
+    assert {f"op{i}_" for i in range(1, 14)} == {k.split("_")[0] + "_" for k in own}
     assert own.keys() <= entry.queries().keys() and "pipeline" in entry.queries()
     assert sql.ORACLES.keys() <= own.keys() and sql.ORACLES.keys() <= entry.oracle_sql().keys()
 
@@ -66,7 +66,7 @@ def test_registered_queries():
 def test_queries_match_their_sql(spark, name):
     from check_oracle import canon
     sf, con = "/root/testdata/sf0.001", duckdb.connect()
-    for t in ("documents", "pages", "labels", "conversations"):
+    for t in ("documents", "pages", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(sf, t)}.parquet')")
     cur = con.execute(sql.ORACLES[name])
     df = queries.queries()[name](spark, sf)
