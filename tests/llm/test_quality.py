@@ -128,3 +128,23 @@ def test_marker_cut_weighs_both_sides():
     assert Q._marker_cut([], 1, 1) == Q.MARKER_RATIO
     assert Q._marker_cut([(True, 4.0), (True, 5.0), (False, 3.5)], 2, 100) > 3.5
     assert Q._marker_cut([(True, 4.0), (True, 5.0)], 2, 100) == Q.MARKER_RATIO
+
+
+def test_every_labelled_document_counts(spark):
+    """More labelled documents than any bound that was set before: none is left out."""
+    labels = spark.range(60_000).selectExpr("id as doc_id", "1 as quality", "cast(id % 2 = 0 as int) as toxic")
+    assert Q.trusted_ids(labels, "doc_id").count() == Q.toxic_ids(labels, "doc_id").count() == 30_000
+    docs = labels.selectExpr("doc_id", "if(toxic = 1, 'bad word', 'good word') as text")
+    sides = labels.selectExpr("doc_id", "doc_id % 3 = 0 as held", "toxic = 1 as toxic")
+    words = {(r.n, r.good) for r in Q.fit_counts(docs, sides, "doc_id", "text", 64).where("of_words").collect()}
+    assert words == {(20_000, 0), (20_000, 20_000)}
+
+
+def test_quantile_is_exact(spark):
+    import random
+    rnd = random.Random(1)
+    for n, q in ((1, 0.3), (2, 0.5), (500, 0.005), (501, 0.25), (77, 1.0)):
+        xs = [rnd.choice((rnd.gauss(0, 1), 0.125, -0.5)) for _ in range(n)]
+        df = spark.createDataFrame([(x,) for x in xs], "score double")
+        assert Q._quantile(df, q) == pytest.approx(df.selectExpr(f"percentile(score, {q})").first()[0], abs=1e-12)
+    assert Q._quantile(df.limit(0), 0.5) is None
