@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickforge.llm.text_blocks import blocks
+from clickforge.llm.text_blocks import blocks, chunks
 
-#: States, and half of the pre-tokens, kept per worker. Further states are made and forgotten;
-#: of the pre-tokens the older half gives way.
+#: States, and half of the chunks and pre-tokens, kept per worker. Further states are made and
+#: forgotten; of the chunks and pre-tokens the older half gives way.
 MAX_STATES = 60_000
 MAX_PIECES = 150_000
-#: Longer pre-tokens are not kept.
+#: Compatible or incompatible pairs of tokens kept per worker.
+MAX_PAIRS = 200_000
+#: Longer ones are not kept.
 KEPT_PIECE = 40
 
 
@@ -92,7 +94,7 @@ class Transducer:
                     raise ValueError(f"rank {r} is not reached by merges of lower ranks")
                 self.parts[r] = parts[0], parts[1]
         self.joined = {p: r for r, p in self.parts.items()}
-        self.left, self.right = {}, {}
+        self.left, self.right, self.fitting = {}, {}, {}
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens that stood at one edge (0 left, 1 right) of a token while it was being
@@ -112,6 +114,15 @@ class Transducer:
         parts stand at the border when its rank is due."""
         if last < 0:
             return True
+        pair = last << 32 | token
+        known = self.fitting.get(pair)
+        if known is None:
+            if len(self.fitting) >= MAX_PAIRS:
+                self.fitting.clear()
+            known = self.fitting[pair] = self._stays_cut(last, token)
+        return known
+
+    def _stays_cut(self, last: int, token: int) -> bool:
         for l, left_until in self._edge(last, 1):
             for r, right_until in self._edge(token, 0):
                 across = self.joined.get((l, r))
@@ -120,26 +131,26 @@ class Transducer:
         return True
 
     def _move(self, state: _State, byte: int) -> tuple[_State, tuple]:
-        runs, done = [], []
+        runs, done, child, tokens = [], None, self.child, self.token
         for node, pending, last in state.runs:
-            node = self.child[node].get(byte)
+            node = child[node].get(byte)
             if node is None:
                 continue
-            token = self.token[node]
-            if token >= 0 and self._fits(last, token):
-                done.append((0, (*pending, token), token))
-            if self.child[node]:
+            # exactly one run ends here: once it is found, the others only go on
+            if done is None and (token := tokens[node]) >= 0 and self._fits(last, token):
+                done = (0, (*pending, token), token)
+            if child[node]:
                 runs.append((node, pending, last))
-        if len(done) != 1:
+        if done is None:
             raise ValueError(f"byte {byte} has no single encoding: the ranks lack a byte or a merge")
-        runs += done
-        written, others = runs[0][1], runs[1:]
-        for i, token in enumerate(written):
-            if any(len(r[1]) <= i or r[1][i] != token for r in others):
-                written = written[:i]
-                break
+        runs.append(done)
+        written, n = runs[0][1], 0
         if written:
-            n = len(written)
+            most = min(len(r[1]) for r in runs)
+            while n < most and all(r[1][n] == written[n] for r in runs):
+                n += 1
+            written = written[:n]
+        if n:
             runs = [(node, pending[n:], last) for node, pending, last in runs]
         key = tuple(runs)
         known = self.states.get(key)
@@ -202,8 +213,13 @@ class Decoder:
 
     def __init__(self, spelling: dict[int, bytes]):
         self.spelling, self.moves = spelling, {}
+        self.closed = {}  # what a token writes that begins and ends between two characters
         for token, data in spelling.items():
-            self.moves[b"", token] = utf8_step(b"", data)
+            text, rest = utf8_step(b"", data)
+            if rest:
+                self.moves[b"", token] = text, rest
+            else:
+                self.closed[token] = text
 
     def decode(self, ids: Iterator[int]) -> Iterator[str]:
         """Ids outside the table, and a sequence left unfinished, give U+FFFD."""
@@ -222,10 +238,41 @@ class Decoder:
         if pending:
             yield "�"
 
+    def text(self, ids: list[int]) -> str:
+        """All characters of ``ids``. Moves from the state without an unfinished sequence back to
+        itself are taken together; from the first other token on the machine goes step by step."""
+        closed = self.closed
+        texts = [*map(closed.get, ids)]
+        if None not in texts:
+            return "".join(texts)
+        out, at = [], 0
+        while at < len(ids):
+            try:
+                end = texts.index(None, at)
+            except ValueError:
+                end = len(ids)
+            out += texts[at:end]
+            pending, at = b"", end
+            while at < len(ids) and (pending or texts[at] is None):
+                i = ids[at]
+                if i not in self.spelling:
+                    out.append("�" * (1 + bool(pending)))
+                    pending = b""
+                else:
+                    move = self.moves.get((pending, i))
+                    if move is None:
+                        move = self.moves[pending, i] = utf8_step(pending, self.spelling[i])
+                    out.append(move[0])
+                    pending = move[1]
+                at += 1
+            if pending:
+                out.append("�")
+        return "".join(out)
+
 
 class TextEncoder:
     """Packed ids (little-endian unsigned 32-bit integers) of texts: a transducer behind the
-    split pattern, with the results of short recent pre-tokens at hand."""
+    split pattern, with the results of short recent chunks and pre-tokens at hand."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
@@ -233,20 +280,41 @@ class TextEncoder:
         self.known, self.older = {}, {}
 
     def _encode(self, piece: str) -> bytes:
-        packed = self.older.get(piece)
-        if packed is None:
-            ids = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
-            packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= KEPT_PIECE:
+        ids = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _kept(self, part: str, packed: bytes) -> bytes:
+        if len(part) <= KEPT_PIECE:
             if len(self.known) >= MAX_PIECES:  # what is met again comes back from the older half
                 self.known, self.older = {}, self.known
-            self.known[piece] = packed
+            self.known[part] = packed
         return packed
 
+    def _chunk(self, chunk: str) -> bytes:
+        """A chunk that is not at hand: its pre-tokens, one by one."""
+        packed = self.older.get(chunk)
+        if packed is None:
+            pieces = self.split(chunk)
+            if len(pieces) == 1:
+                packed = self._encode(chunk)
+            else:
+                packed = b"".join([self.known.get(p) or self._piece(p) for p in pieces])
+        return self._kept(chunk, packed)
+
+    def _piece(self, piece: str) -> bytes:
+        packed = self.older.get(piece)
+        return self._kept(piece, self._encode(piece) if packed is None else packed)
+
     def encode(self, text: str) -> bytes:
-        known, out = self.known.get, []
+        out = []
         for block in blocks(text):
-            out += [known(p) or self._encode(p) for p in self.split(block)]
+            known = self.known.get
+            for c in chunks(block):
+                packed = known(c)
+                if packed is None:
+                    packed = self._chunk(c)
+                    known = self.known.get
+                out.append(packed)
         return b"".join(out)
 
 
@@ -302,10 +370,7 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataF
             texts = []
             for ids in b.column(1):
                 data = ids.as_py() or b""
-                part, n = [], len(data) // 4
-                for at in range(0, n, 1 << 18):
-                    part.append(np.frombuffer(data, "<u4", min(1 << 18, n - at), 4 * at))
-                texts.append("".join(own.decode(i for p in part for i in p.tolist())))
+                texts.append(own.text(np.frombuffer(data, "<u4", len(data) // 4).tolist()))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(texts, pa.string())],
                 [*b.schema.names[:2], "decoded"])

@@ -1,4 +1,5 @@
 import base64
+import functools
 import hashlib
 import io
 import random
@@ -200,3 +201,54 @@ def test_digest_columns(spark, tik):
         ids = np.array(tik.encode_ordinary(texts[r.doc_id]), "<u4")
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_a_text_without_unfinished_sequences_is_decoded_in_one_go(tik):
+    own, ranks, rnd = bpe.Decoder({r: t for t, r in bpe.read_ranks(RANKS).items()}), bpe.read_ranks(RANKS), random.Random(8)
+    pool = [ranks[bytes([b])] for b in range(256)] + sorted(ranks.values())[300:700] + [10 ** 6]
+    for _ in range(800):
+        ids = [rnd.choice(pool) for _ in range(rnd.randint(0, 9))]
+        assert own.text(ids) == "".join(own.decode(ids)), ids
+
+
+def test_each_chunk_is_split_and_encoded_once(tik):
+    own, calls = bpe.TextEncoder(bpe.read_ranks(RANKS), bpe.split_pattern()), []
+    split = own.split
+    own.split = lambda text: calls.append(text) or split(text)
+    text = "the same, words again. " * 50
+    for _ in range(3):
+        assert _ids(own.encode(text)) == tik.encode_ordinary(text)
+    assert len(calls) == len(set(calls)) == 6, calls
+
+
+def test_pairs_of_tokens_are_tried_once(monkeypatch):
+    machine, tried = bpe.Transducer(bpe.read_ranks(RANKS)), []
+    cut = machine._stays_cut
+    monkeypatch.setattr(machine, "_stays_cut", lambda a, b: tried.append((a, b)) or cut(a, b))
+    for piece in (b" reendhanth", b" thandreend", b" ndharenthe") * 3:
+        machine.encode(piece)
+    assert tried and len(tried) == len(set(tried))
+
+
+@settings(max_examples=100, deadline=None)
+@given(text=st.text(alphabet="ab'.,1\u00e9\u6f22\u0301\u0130 \t\n\xa0\u2003\x1c", max_size=40))
+def test_odd_blanks_and_marks(tik, text):
+    assert _ids(bpe.text_encoder(RANKS, bpe.split_pattern()).encode(text)) == tik.encode_ordinary(text)
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        assert sum(_lists(name).parts([text])[0], []) == _library_of(_lists(name), text)
+
+
+@functools.cache
+def _lists(name):
+    return library_tokens.LibraryTokens(public_tokenizers.path(name), lambda ids: [int(i) for i in ids])
+
+
+def test_long_chunks_are_not_kept_and_known_ones_not_asked_again(monkeypatch):
+    own, asked = library_tokens.LibraryTokens(public_tokenizers.path("word_bpe_49k.json"), list), []
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda chunks: asked.extend(chunks) or learn(chunks))
+    for _ in range(2):
+        got = own.parts(["so many words, " + "x1" * 40 + " end", "so many"])
+        assert sum(got[0], []) == _library_of(own, "so many words, " + "x1" * 40 + " end")
+    assert asked.count(" many") == 1 and sum(len(c) > 40 for c in asked) == 2
+    assert all(len(c) <= library_tokens.KEPT_CHUNK for c in own.known)
