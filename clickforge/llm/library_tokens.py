@@ -22,10 +22,10 @@ import numpy as np
 
 from clickforge.llm.text_blocks import blocks
 
-#: Chunks are blanks and then a run of letters and digits before a punctuation mark, or all
+#: Chunks are blanks and then a run of Latin letters and digits before a punctuation mark, or all
 #: that is not blank. No token reaches from a Latin letter or a digit into these marks; other
 #: letters may end in a combining mark once they are normalised, and are not cut off.
-_CHUNKS = re.compile(r"[\t-\r ]*(?:[^\W_]*[0-9A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]"
+_CHUNKS = re.compile(r"[\t-\r ]*+(?:[0-9A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]++"
                      r"(?=[.,;:!?])|[^\t-\r ]+)|[\t-\r ]+")
 #: Blanks beyond ASCII ones, after which a chunk boundary is not safe.
 _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -133,15 +133,15 @@ class LibraryTokens:
         cut = [[] if i in odd else _CHUNKS.findall(t) for i, t in enumerate(texts)]
         if len(self.known) >= MAX_CHUNKS:
             self.known, self.older = {}, self.known
-        out = [list(map(self.known.get, p)) for p in cut]
-        missing = {c for p, v in zip(cut, out) if None in v for c, x in zip(p, v) if x is None}
+        missing = set().union(*cut).difference(self.known)
+        long = [c for c in missing if len(c) > KEPT_CHUNK]
         if missing:
-            back = {c: x for c in missing if (x := self.older.get(c)) is not None}
-            new = back | self._learn(sorted(missing - back.keys()))
-            for i, (p, v) in enumerate(zip(cut, out)):
-                if None in v:
-                    out[i] = [new[c] if x is None else x for c, x in zip(p, v)]
-            self.known.update((c, x) for c, x in new.items() if len(c) <= KEPT_CHUNK)
+            back = {c: self.older[c] for c in missing.intersection(self.older)}
+            self.known |= back
+            self.known |= self._learn(sorted(missing.difference(back)))
+        out = [list(map(self.known.__getitem__, p)) for p in cut]
+        for c in long:
+            del self.known[c]
         for i, ids in odd.items():
             out[i] = [self.value(ids)]
         return out
