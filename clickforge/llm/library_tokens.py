@@ -19,6 +19,8 @@ from typing import Any
 from unicodedata import is_normalized
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from clickforge.llm.text_blocks import blocks
 
@@ -27,6 +29,8 @@ from clickforge.llm.text_blocks import blocks
 #: letters may end in a combining mark once they are normalised, and are not cut off.
 _CHUNKS = re.compile(r"[\t-\r ]*+(?:[0-9A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]++"
                      r"(?=[.,;:!?])|[^\t-\r ]+)|[\t-\r ]+")
+#: A mark before which chunks end.
+_AFTER_LETTER = re.compile(r"[.,;:!?](?<=[0-9A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f].)")
 #: Blanks beyond ASCII ones, after which a chunk boundary is not safe.
 _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Chunks kept per worker (half of them; the older half gives way), chunks per call, and the
@@ -73,6 +77,22 @@ def _lowers_words(described: dict) -> bool:
         and not split[1]["use_regex"]
 
 
+#: A split whose pieces hold no blanks, so that blanks only part words.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _drops_blanks(described: dict) -> bool:
+    """Whether the words between blanks of a text give its ids one after the other, with blanks
+    giving none, and ASCII text those of its lower-cased form."""
+    added = described["added_tokens"]
+    return _lowers_words(described) \
+        and described["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == _WORDS \
+        and described["normalizer"]["normalizers"][1]["pattern"] == {"Regex": r"\s+"} \
+        and described["normalizer"]["normalizers"][1]["content"] == " " \
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]
+                    or re.search(r"\s", t["content"]) for t in added)
+
+
 class LibraryTokens:
     """Results of a ``.json`` file of the tokenizers library, without added special tokens,
     truncation or padding. ``value`` makes what is kept of some ids, such as their number."""
@@ -86,7 +106,7 @@ class LibraryTokens:
         with open(path, encoding="utf-8") as f:
             described = json.load(f)
         added = described["added_tokens"]
-        self.lower_words = _lowers_words(described)
+        self.lower_words, self.drops_blanks = _lowers_words(described), _drops_blanks(described)
         self.marks = [t["content"] for t in added]
         # a mark that takes no neighbouring blanks and is looked for in the text as it is
         plain = [t for t in added if t["special"] and not re.search(r"\s", t["content"])
@@ -124,29 +144,66 @@ class LibraryTokens:
                 got[c] = self.value(ids[s:e])
         return got
 
-    def parts(self, texts: list[str]) -> list[list]:
-        """For each text the values of its parts, in order."""
-        if self.mark is None:
-            return [[self.value(i)] for i in self._encode(texts)]
-        whole = [i for i, t in enumerate(texts) if _is_odd(t)]
-        odd = dict(zip(whole, self._encode([texts[i] for i in whole]))) if whole else {}
-        cut = [[] if i in odd else _CHUNKS.findall(t) for i, t in enumerate(texts)]
+    def _values(self, cut: list[list[str]]) -> list[list]:
+        """The values of lists of chunks."""
         if len(self.known) >= MAX_CHUNKS:
             self.known, self.older = {}, self.known
         missing = set().union(*cut).difference(self.known)
         long = [c for c in missing if len(c) > KEPT_CHUNK]
         if missing:
-            back = {c: self.older[c] for c in missing.intersection(self.older)}
+            back = {c: self.older[c] for c in missing if c in self.older}
             self.known |= back
             self.known |= self._learn(sorted(missing.difference(back)))
         out = [list(map(self.known.__getitem__, p)) for p in cut]
         for c in long:
             del self.known[c]
+        return out
+
+    def parts(self, texts: list[str]) -> list[list]:
+        """For each text the values of its parts, in order."""
+        if self.mark is None:
+            return [[self.value(i)] for i in self._encode(texts)]
+        whole = [i for i, t in enumerate(texts) if _is_odd(t)]
+        odd = dict(zip(whole, self._encode([texts[i] for i in whole]))) if whole else {}
+        cut = [[] if i in odd else _CHUNKS.findall(t) for i, t in enumerate(texts)]
+        out = self._values(cut)
         for i, ids in odd.items():
             out[i] = [self.value(ids)]
         return out
 
 
+class LibraryIds(LibraryTokens):
+    """Packed ids of texts. Where blanks only part words, Arrow cuts the texts of a call at
+    them and finds the distinct words, and only these are looked at one by one."""
+
+    def __init__(self, path: str):
+        super().__init__(path, packed)
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The packed ids of each text."""
+        if self.mark is None or not self.drops_blanks or not texts:
+            return [b"".join(p) for p in self.parts(texts)]
+        whole = [i for i, t in enumerate(texts) if _is_odd(t)]
+        odd = dict(zip(whole, self._encode([texts[i] for i in whole]))) if whole else {}
+        plain = ["" if i in odd else self._parted(t) for i, t in enumerate(texts)]
+        split = pc.ascii_split_whitespace(pa.array(plain, pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(self._values([words])[0], pa.large_binary()).take(coded.indices)
+        _, places, data = ids.buffers()
+        places = np.frombuffer(places, np.int64)[ids.offset:][split.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        return [packed(odd[i]) if i in odd else bytes(data[s:e])
+                for i, (s, e) in enumerate(zip(places, places[1:]))]
+
+    def _parted(self, text: str) -> str:
+        """A text of the same ids that has fewer distinct words."""
+        low = text.lower() if text.isascii() else text
+        if any(m in text or m.lower() in low for m in self.marks):
+            return text
+        return _AFTER_LETTER.sub(r" \g<0>", low)
+
+
 def by_bytes(texts: Iterable[str], most: int = 1 << 20) -> Iterator[list[tuple[int, str]]]:
     """Batches of (number of the text, part of it) of about ``most`` bytes: short texts
     together, long ones in parts cut at safe boundaries."""
@@ -154,7 +211,7 @@ def by_bytes(texts: Iterable[str], most: int = 1 << 20) -> Iterator[list[tuple[i
     for i, text in enumerate(texts):
         for part in blocks(text, most):
             batch.append((i, part))
-            size += len(part.encode("utf-8", "surrogatepass"))
+            size += len(part) if part.isascii() else len(part.encode("utf-8", "surrogatepass"))
             if size >= most:
                 yield batch
                 batch, size = [], 0
@@ -168,5 +225,5 @@ def library_counts(path: str) -> LibraryTokens:
 
 
 @functools.cache
-def library_ids(path: str) -> LibraryTokens:
-    return LibraryTokens(path, packed)
+def library_ids(path: str) -> LibraryIds:
+    return LibraryIds(path)

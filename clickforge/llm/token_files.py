@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from clickforge.llm import pfor
 from clickforge.llm.library_tokens import by_bytes, library_ids
 
-#: Bytes of ids in a batch that the reader hands on.
-READ_BYTES = 8 << 20
+#: Bytes of ids in a batch that the reader hands on, and bytes of text in a call of the encoder:
+#: the more, the fewer words come back in another call.
+READ_BYTES, CALL_BYTES = 8 << 20, 4 << 20
 
 
 def _open_folder(folder: str):
@@ -53,12 +54,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
             writer = pfor.Writer(out)
             for b in (x for group in ([first], batches) for x in group):
                 ids, held, at = b.column(0).to_pylist(), [], 0
-                for batch in by_bytes(t.as_py() or "" for t in b.column(1)):
-                    for (i, _), part in zip(batch, own.parts([t for _, t in batch])):
+                for batch in by_bytes((t.as_py() or "" for t in b.column(1)), CALL_BYTES):
+                    for (i, _), part in zip(batch, own.ids([t for _, t in batch])):
                         if i != at:
                             writer.add(ids[at], np.frombuffer(b"".join([*held, end]), "<u4"))
                             held, at = [], i
-                        held += part
+                        held.append(part)
                 writer.add(ids[at], np.frombuffer(b"".join([*held, end]), "<u4"))
             writer.close()
         yield pa.RecordBatch.from_pylist([{"shard": task.partitionId(), "file": name, "n_docs":

@@ -252,3 +252,52 @@ def test_long_chunks_are_not_kept_and_known_ones_not_asked_again(monkeypatch):
         assert sum(got[0], []) == _library_of(own, "so many words, " + "x1" * 40 + " end")
     assert asked.count(" many") == 1 and sum(len(c) > 40 for c in asked) == 2
     assert all(len(c) <= library_tokens.KEPT_CHUNK for c in own.known)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(TEXTS, st.lists(st.sampled_from(
+    ["The", "the.", "It's,", "J\u030c", "I\u0307!", "a\u0301b.", "\u6f22a;", "...", "?!x", "3.5", "\xa0", "\x1c", " ", "\n", "\u0301", "\u0130.",
+     "\u03a3.", "\u039f\u03a3", "caf\xe9,", "<|endoftext|>", "<|ENDOFTEXT|>", "a<|startoftext|>.B"])).map("".join)), max_size=5))
+def test_ids_of_many_texts_are_the_librarys(texts):
+    own = _ids_of("word_bpe_49k.json")
+    assert own.drops_blanks
+    assert [_ids(x) for x in own.ids(texts)] == [_library_of(own, t) for t in texts]
+
+
+def test_ids_of_other_vocabularies_keep_blanks():
+    own = _ids_of("byte_bpe_50k.json")
+    assert not own.drops_blanks
+    texts = ["The  the.\n", "", "a<|endoftext|> b"]
+    assert [_ids(x) for x in own.ids(texts)] == [_library_of(own, t) for t in texts]
+
+
+@functools.cache
+def _ids_of(name):
+    return library_tokens.library_ids(public_tokenizers.path(name))
+
+
+def test_a_word_is_asked_for_once_whatever_its_case_blanks_and_marks(monkeypatch):
+    own, asked = library_tokens.LibraryIds(public_tokenizers.path("word_bpe_49k.json")), []
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda chunks: asked.extend(chunks) or learn(chunks))
+    text = "Word, word words.\nWORD  words! word."
+    assert _ids(b"".join(own.ids([text] * 3))) == _library_of(own, text) * 3
+    assert sorted(asked) == ["!", ",", ".", "word", "words"]
+
+
+def test_ids_with_a_tiny_cache(monkeypatch):
+    monkeypatch.setattr(library_tokens, "MAX_CHUNKS", 3)
+    own = library_tokens.LibraryIds(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [r[1] or "" for r in corpus(25)]
+    for at in range(0, len(texts), 4):
+        assert [_ids(x) for x in own.ids(texts[at:at + 4])] == [_library_of(own, t) for t in texts[at:at + 4]]
+
+
+def test_token_files_of_texts_in_several_calls(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(token_files, "CALL_BYTES", 50)
+    rows, docs = _odd_rows(spark)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_token_files(docs, f"{tmp_dir}/c", path, end_id=1)
+    got = token_files.read_token_files(spark, f"{tmp_dir}/c").collect()
+    want = [(r[0], [*_library("word_bpe_49k.json", r[1]), 1]) for r in rows]
+    assert sorted(((r.doc_id, _ids(r.ids)) for r in got), key=repr) == sorted(want, key=repr)
